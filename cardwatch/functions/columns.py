@@ -77,7 +77,6 @@ def hour_as_written(col) -> Column:
     else (or an hour above 23) is NULL.
     """
     text = _c(col)
-    hh = F.regexp_extract(text, _HOUR_RE, 1)
-    hour = F.when(hh != "", hh.cast("int"))
+    hour = F.regexp_extract(text, _HOUR_RE, 1).try_cast("int")
     return F.when(hour <= 23, hour).when(text.rlike(_DATE_ONLY_RE), F.lit(0))
 

@@ -17,8 +17,17 @@ def merchant_dimension(spark: SparkSession, rows=None) -> DataFrame:
     rows = list(rows if rows is not None else S.MERCHANTS)
     if len(rows) > LITERAL_BROADCAST_MAX_ROWS:
         raise ValueError("literal merchant table too large; load it as a table instead")
-    return spark.createDataFrame(rows, "merchant_id string, merchant_name string, "
-                                       "merchant_category string, merchant_country string")
+    return literal_table(spark, rows, ["merchant_id", "merchant_name", "merchant_category", "merchant_country"])
+
+
+def literal_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
+    """A small table from literal rows, planned JVM-side as a local relation.
+
+    (``createDataFrame`` on a Python list would scan a Python RDD and start a
+    Python worker for every query that touches the table.)
+    """
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def merchant(df: DataFrame, merchants: DataFrame | None = None, literal_rows: int | None = None,

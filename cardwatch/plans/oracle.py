@@ -240,11 +240,12 @@ def oracle_sql() -> dict[str, str]:
                              f"case when {ODD_PRED} then {ODD_REASON} end as reason from txn")
     sql["rule_first_match"] = (f"{S_} select transaction_id, stateless_fraud, fraud_rule, fraud_confidence, "
                                "fraud_reason from scored")
-    names = (f"list_filter([case when {HIGH_PRED} then '{S.RULE_HIGH_AMOUNT}' end, "
-             f"case when {INTL_PRED} then '{S.RULE_INTL_ATM}' end, case when {ODD_PRED} then '{S.RULE_UNUSUAL_HOUR}' end], "
-             "x -> x is not null)")
-    sql["rule_all_matches"] = (f"{T} select transaction_id, array_to_string({names}, ',') as matched_rules, "
-                               f"cast(len({names}) as integer) as match_count from txn")
+    names = (f"concat_ws(',', case when {HIGH_PRED} then '{S.RULE_HIGH_AMOUNT}' end, "
+             f"case when {INTL_PRED} then '{S.RULE_INTL_ATM}' end, case when {ODD_PRED} then '{S.RULE_UNUSUAL_HOUR}' end)")
+    fired = (f"(case when {HIGH_PRED} then 1 else 0 end) + (case when {INTL_PRED} then 1 else 0 end) + "
+             f"(case when {ODD_PRED} then 1 else 0 end)")
+    sql["rule_all_matches"] = (f"{T} select transaction_id, {names} as matched_rules, "
+                               f"cast({fired} as integer) as match_count from txn")
     geo = (f"home_country = 'US' and merchant_country <> 'US' and amount > {_d(S.GEO_MIN_AMOUNT)}")
     off = (f"hour(event_time) between {S.OFF_HOURS[0]} and {S.OFF_HOURS[1]} and merchant_category = 'atm' "
            f"and amount > {_d(S.OFF_HOURS_MIN_AMOUNT)}")
