@@ -314,3 +314,11 @@ QUERIES: dict[str, Query] = {
     "confusion": q_confusion,
     "scorecard": q_scorecard,
 }
+
+
+def _register_streams() -> None:
+    from cardwatch.plans.streams import STREAM_QUERIES
+    QUERIES.update(STREAM_QUERIES)
+
+
+_register_streams()

@@ -352,4 +352,56 @@ def oracle_sql() -> dict[str, str]:
                         "count_if(not final_is_fraud and not coalesce(is_fraud, false)) as tn from enriched) "
                         f"select tp, fp, fn, tn, case when tp + fp > 0 then {_round('cast(tp as double) / cast(tp + fp as double)', 3)} end as precision, "
                         f"case when tp + fn > 0 then {_round('cast(tp as double) / cast(tp + fn as double)', 3)} end as recall from c")
+    sql.update(stream_oracle_sql())
+    return sql
+
+
+# ----------------------------------------------------------------- streaming
+# Append mode emits what the final watermark has closed.  The watermark is
+# the newest event time truncated to milliseconds minus the delay (1 hour);
+# a window is out when its end is at or before it; a transaction with no
+# burst is out once event_time + window is at or before it.
+STREAM_CTE = """
+wmark as (select date_trunc('millisecond', max(ts)) - interval '1 hour' as wm from events),
+closed as (select b.* from bursts b, wmark where b.window_end <= wm),
+cflag as (
+  select t.transaction_id, max(c.txn_count) as txn_count
+  from txn t join closed c on t.user_id = c.user_id
+   and t.event_time >= c.window_start and t.event_time < c.window_end
+  group by t.transaction_id),
+emitted as (
+  select transaction_id from cflag
+  union select transaction_id from txn, wmark where event_time + interval '24 hours' <= wm)"""
+
+LATE_CTE = """
+rng as (select min(epoch_us(event_time)) as lo, max(epoch_us(event_time)) as hi from txn),
+on_time as (
+  select t.* from txn t, rng
+  where least(floor((epoch_us(t.event_time) - lo) * 4 / (hi - lo + 1)), 3) > 0),
+late_bursts as (
+  select user_id, ws as window_start, ws + interval '24 hours' as window_end, count(*) as txn_count
+  from (select user_id, time_bucket(interval '4 hours', event_time, timestamp '1970-01-01') - k * interval '4 hours' as ws
+        from on_time, range(6) r(k)) x
+  group by user_id, ws having count(*) > 6)"""
+
+
+def stream_oracle_sql() -> dict[str, str]:
+    E = _with(TXN_CTE, ENRICHED_CTE, STREAM_CTE)
+    sql = {}
+    sql["stream_decode"] = (f"{_with(TXN_CTE)} select {WIRE}, date_trunc('second', event_time) as event_time, "
+                            "event_time as ingest_time from txn")
+    sql["stream_stateless"] = (f"{_with(TXN_CTE, SCORED_CTE)} select transaction_id, stateless_fraud, fraud_rule, "
+                               "fraud_confidence, fraud_reason from scored")
+    sql["stream_velocity_windows"] = f"{E} select user_id, window_start, window_end, txn_count from closed"
+    sql["stream_velocity_alerts"] = (f"{E} select transaction_id, user_id, amount, merchant_category, merchant_country, "
+                                     f"'{S.RULE_VELOCITY}' as final_rule, fraud_confidence, fraud_reason, "
+                                     "event_time as alert_time from scored "
+                                     "where transaction_id in (select transaction_id from cflag)")
+    sql["stream_transactions_table"] = (f"{E} select {TXN_TABLE_DOUBLE} from txn_table "
+                                        "where transaction_id in (select transaction_id from emitted)")
+    sql["stream_alerts_table"] = (f"{E} select {ALERTS_DOUBLE} from alerts_table "
+                                  "where transaction_id in (select transaction_id from emitted)")
+    sql["stream_late_data"] = (f"{_with(TXN_CTE, BURSTS_CTE, STREAM_CTE, LATE_CTE)} "
+                               "select user_id, window_start, window_end, txn_count from late_bursts, wmark "
+                               "where window_end <= wm")
     return sql

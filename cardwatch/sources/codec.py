@@ -29,10 +29,14 @@ def decode(raw: DataFrame, value: str = "value", ingest_time: str | None = "time
     return parsed.select(*wanted, *rest)
 
 
+def json_value(fields: list[str] | None = None) -> Column:
+    """JSON text of the wire fields (NULL fields are left out, as ``to_json`` does)."""
+    return F.to_json(F.struct(*[F.col(f) for f in (fields or S.TRANSACTION_FIELDS)]))
+
+
 def encode(df: DataFrame, fields: list[str] | None = None, key: str | None = "user_id") -> DataFrame:
     """(key, value) pair for a keyed topic: key = user id, value = JSON of the wire fields."""
-    value = F.to_json(F.struct(*[F.col(f) for f in (fields or S.TRANSACTION_FIELDS)]))
-    cols = [value.alias("value")]
+    cols = [json_value(fields).alias("value")]
     if key:
         cols.insert(0, F.col(key).cast("string").alias("key"))
     return df.select(*cols)

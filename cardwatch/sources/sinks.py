@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardwatch.sources import codec
 
@@ -23,29 +24,42 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "transaction_id") -> DataFrame:
-    """Rows of ``batch`` whose key is neither repeated earlier in the batch nor in ``target``."""
+def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "transaction_id",
+             also_on: list[str] | None = None) -> DataFrame:
+    """Rows of ``batch`` whose key is neither repeated earlier in the batch nor in ``target``.
+
+    ``also_on`` adds columns that are a function of the key (e.g. the event
+    date a table is partitioned by) to the anti-join, which is then a join on
+    (partition, key).
+    """
     fresh = batch.dropDuplicates([key])
     if target is None:
         return fresh
-    return fresh.join(target.select(key), key, "left_anti")
+    on = list(also_on or []) + [key]
+    return fresh.join(target.select(*on), on, "left_anti")
 
 
 def insert_if_absent(batch: DataFrame, path: str, key: str = "transaction_id",
-                     partition_by: list[str] | None = None, fmt: str = "parquet") -> int | None:
-    """Append the new rows of ``batch`` to the table at ``path``; returns nothing heavy.
-
-    ``path`` must be shared storage on a cluster.  Partitioning by a date
-    column lets later reads prune by time.
+                     partition_by: list[str] | None = None, fmt: str = "parquet",
+                     prune_by: str | None = None) -> None:
+    """Append the new rows of ``batch`` to the table at ``path``.
+
+    ``path`` must be shared storage on a cluster.  With ``prune_by`` (a date
+    partition column of the table) only the target partitions between the
+    batch's first and last date are read for the anti-join, so the cost of a
+    micro-batch does not grow with the table's history.  The driver learns two
+    scalars (min, max date), nothing else.
     """
     spark = batch.sparkSession
     target = spark.read.format(fmt).load(path) if _exists(spark, path) else None
-    rows = new_rows(batch, target, key)
+    if target is not None and prune_by:
+        lo, hi = batch.agg(F.min(prune_by), F.max(prune_by)).first()
+        target = target.where(F.col(prune_by).between(F.lit(lo), F.lit(hi)))
+    rows = new_rows(batch, target, key, also_on=[prune_by] if prune_by else None)
     writer = rows.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return None
 
 
 def insert_into_table(batch: DataFrame, table: str, key: str = "transaction_id") -> None:
