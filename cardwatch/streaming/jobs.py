@@ -181,3 +181,48 @@ def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) ->
                 if q.isActive:
                     q.stop()
             raise RuntimeError(f"streaming query {failed[0].name or failed[0].id} failed") from None
+
+
+def quarantine_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch callback appending invalid records (with their violations) to ``path``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("append").parquet(path)
+
+    return sinks.foreach_batch_writer(write)
+
+
+def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_root: str, *,
+        quarantine_path: str | None = None, window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
+        threshold: int = S.VELOCITY_MAX_TRANSACTIONS, delay: str = S.WATERMARK_DELAY,
+        processing_time: str = S.TRIGGER_INTERVAL, available_now: bool = False,
+        console_debug: bool = False) -> list[StreamingQuery]:
+    """The whole pipeline on a raw (key, value, timestamp) stream, e.g. :func:`kafka_stream`.
+
+    decode -> validate (bad records to ``quarantine_path``) -> event time ->
+    watermark -> rules + velocity -> one ``foreachBatch`` writing both tables.
+    Each query has its own folder under ``checkpoint_root`` (shared storage).
+    Wait on the result with :func:`await_all`.
+    """
+    import os
+
+    from cardwatch.operators import quality
+    from cardwatch.sources import codec
+
+    decoded = codec.with_event_time(codec.decode(raw))
+    checked = quality.validate(decoded)
+    good = checked.where(F.col("is_valid")).drop("violations", "is_valid")
+    queries = []
+    v = verdicts(watermarked(good, delay), window, slide, threshold)
+    queries.append(start(v, os.path.join(checkpoint_root, "verdicts"),
+                         foreach_batch=pipeline_writer(transactions_path, alerts_path),
+                         processing_time=processing_time, available_now=available_now, query_name="verdicts"))
+    if quarantine_path:
+        bad = checked.where(~F.col("is_valid"))
+        queries.append(start(bad, os.path.join(checkpoint_root, "quarantine"),
+                             foreach_batch=quarantine_writer(quarantine_path),
+                             processing_time=processing_time, available_now=available_now,
+                             query_name="quarantine"))
+    if console_debug:
+        queries.append(console(v, processing_time=processing_time))
+    return queries

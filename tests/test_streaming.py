@@ -111,3 +111,29 @@ def test_stateless_stream_is_immediate(spark, scratch):
     s = jobs.score(_stream(spark, os.path.join(scratch, "in"), late=False, dup=False))
     _drain(s.select("transaction_id", "fraud_rule"), os.path.join(scratch, "q"))
     assert spark.read.parquet(os.path.join(scratch, "q", "out")).count() == 17
+
+
+def test_run_from_json_records(spark, scratch):
+    """Raw JSON records (as from Kafka) through the whole pipeline; bad records are quarantined."""
+    import json
+    good = [r for r in _events()]
+    folder = os.path.join(scratch, "raw")
+    names = ["transaction_id", "user_id", "amount", "currency", "merchant_id", "merchant_name",
+             "merchant_category", "merchant_country", "card_type", "card_last4", "is_international", "timestamp"]
+    recs = []
+    for r in good:
+        d = dict(zip(names, r[:-1]))
+        d["transaction_id"] = "00000000-0000-4000-8000-%012d" % (abs(hash(d["transaction_id"])) % 10**12)
+        recs.append((d["user_id"], json.dumps(d)))
+    recs.append(("X", "not json"))
+    spark.createDataFrame(recs, "key string, value string").coalesce(1).write.parquet(os.path.join(folder, "f=0"))
+    raw = ss.file_stream(spark, os.path.join(folder, "f=*"),
+                         spark.createDataFrame([], "key string, value string").schema)
+    qs = jobs.run(raw, os.path.join(scratch, "t"), os.path.join(scratch, "a"), os.path.join(scratch, "ck"),
+                  quarantine_path=os.path.join(scratch, "bad"), window="60 seconds", slide="10 seconds",
+                  delay="30 seconds", available_now=True)
+    for q in qs:
+        q.awaitTermination()
+        assert q.exception() is None
+    assert spark.read.parquet(os.path.join(scratch, "bad")).count() == 1
+    assert spark.read.parquet(os.path.join(scratch, "a")).count() == 9
