@@ -20,14 +20,25 @@ def merchant_dimension(spark: SparkSession, rows=None) -> DataFrame:
     return literal_table(spark, rows, ["merchant_id", "merchant_name", "merchant_category", "merchant_country"])
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(float(v)) + "D" if isinstance(v, float) else str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def literal_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
     """A small table from literal rows, planned JVM-side as a local relation.
 
-    (``createDataFrame`` on a Python list would scan a Python RDD and start a
-    Python worker for every query that touches the table.)
+    An inline ``VALUES`` list is parsed in one call and becomes a
+    ``LocalTableScan``.  (``createDataFrame`` on a Python list would scan a
+    Python RDD and start a Python worker for every query that touches it.)
     """
-    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def merchant(df: DataFrame, merchants: DataFrame | None = None, literal_rows: int | None = None,

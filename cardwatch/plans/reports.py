@@ -98,20 +98,23 @@ def amount_histogram(txn_table: DataFrame, bins: int = 60, max_amount: float | N
                      label: str = "final_is_fraud") -> DataFrame:
     """Equal-width histogram per label over that label's own [min, max]; last bin closed.
 
-    The per-label range is a grouped aggregate (one row per label value, so
-    the broadcast side is bounded by the label's cardinality), never a
-    window partitioned by the label.
+    The input is first counted per (label, amount) with partial aggregation,
+    so the join and the binning work on one row per distinct amount (cents
+    in the transactions table), not per transaction.  The range table has one
+    row per label value, a proven bound for its broadcast.  The input is read
+    by both branches; on the stored table that is two narrow column scans.
     """
     rows = txn_table
     if max_amount is not None:
         rows = rows.where(F.col("amount") < F.lit(max_amount))
-    rows = rows.select(F.col(label), F.col("amount").cast("double").alias("a"))
-    ranges = rows.groupBy(label).agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
-    j = rows.join(F.broadcast(ranges), label)
+    pts = (rows.select(F.col(label), F.col("amount").cast("double").alias("a"))
+           .groupBy(label, "a").agg(F.count(F.lit(1)).alias("n")))
+    ranges = pts.groupBy(label).agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
+    j = pts.join(F.broadcast(ranges), label)
     span = F.col("hi") - F.col("lo")
     b = F.when(span > 0, F.least(F.floor((F.col("a") - F.col("lo")) * F.lit(float(bins)) / span),
                                  F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    g = j.groupBy(label, b.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("txn_count"))
+    g = j.groupBy(label, b.alias("bin"), "lo", "hi").agg(F.sum("n").alias("txn_count"))
     width = span / F.lit(float(bins))
     return g.select(label, "bin",
                     (F.col("lo") + F.col("bin") * width).alias("bin_low"),

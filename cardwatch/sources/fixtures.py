@@ -34,16 +34,13 @@ def transaction_key(event_id: Column) -> Column:
     return F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(event_id.cast("string"), 12, "0"))
 
 
-def _box(country: Column, axis: int, event_id: Column, mult: int) -> Column:
-    lo = hi = None
-    for c, boxes in S.COUNTRY_BOXES.items():
-        a, b = boxes[axis]
-        lo = F.when(country == c, F.lit(a)) if lo is None else lo.when(country == c, F.lit(a))
-        hi = F.when(country == c, F.lit(b)) if hi is None else hi.when(country == c, F.lit(b))
-    us_lo, us_hi = S.COUNTRY_BOXES["US"][axis]
-    lo, hi = lo.otherwise(F.lit(us_lo)), hi.otherwise(F.lit(us_hi))
-    k = ((event_id * mult) % 1000).cast("double")
-    return lo + (k * (hi - lo)) / F.lit(1000.0)
+def _box(country: str, axis: int, event_id: str, mult: int) -> Column:
+    """A point inside the country's box, spread by the event id (one SQL expression)."""
+    def case(part: int) -> str:
+        whens = " ".join(f"WHEN '{c}' THEN {b[axis][part]!r}D" for c, b in S.COUNTRY_BOXES.items())
+        return f"(CASE {country} {whens} ELSE {S.COUNTRY_BOXES['US'][axis][part]!r}D END)"
+    lo, hi = case(0), case(1)
+    return F.expr(f"{lo} + (CAST(({event_id} * {mult}) % 1000 AS DOUBLE) * ({hi} - {lo})) / 1000.0D")
 
 
 def transactions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
@@ -74,8 +71,8 @@ def transactions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False)
         F.when(cat == "online", F.concat_ws(".", (F.col("user_num") % 254 + 1).cast("string"),
                                             (e % 256).cast("string"), (F.col("user_num") % 256).cast("string"),
                                             (e % 254 + 1).cast("string"))).alias("ip_address"),
-        _box(country, 0, e, 37).alias("latitude"),
-        _box(country, 1, e, 53).alias("longitude"),
+        _box("merchant_country", 0, "event_id", 37).alias("latitude"),
+        _box("merchant_country", 1, "event_id", 53).alias("longitude"),
         (country != home).alias("is_international"),
         home.alias("home_country"),
         "event_time", "event_id",
