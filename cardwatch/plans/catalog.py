@@ -267,6 +267,24 @@ def q_confusion(spark, d):
     return feedback.confusion(enriched(spark, d))
 
 
+def q_hourly_series(spark, d):
+    """The hourly series ascending, through the named SQL view."""
+    reports.register_views(txn_table(spark, d), alerts_table(spark, d), prefix="cw_")
+    return spark.sql("SELECT * FROM cw_fraud_metrics ORDER BY hour")
+
+
+def q_enriched_explain(spark, d):
+    e = verdict.enriched(txn(spark, d), window=FIXTURE_WINDOW, slide=FIXTURE_SLIDE,
+                         threshold=FIXTURE_THRESHOLD, mode="explain")
+    return e.select("transaction_id", "final_rule", "fraud_confidence", "fraud_reason")
+
+
+def q_velocity_flag_expansion(spark, d):
+    f = velocity.flag_by_expansion(txn(spark, d), window=FIXTURE_WINDOW, slide=FIXTURE_SLIDE,
+                                   threshold=FIXTURE_THRESHOLD)
+    return f.select("transaction_id", "user_id", "velocity_fraud", "txn_count")
+
+
 def q_scorecard(spark, d):
     return feedback.scorecard(enriched(spark, d))
 
@@ -313,6 +331,9 @@ QUERIES: dict[str, Query] = {
     "rule_precision": q_rule_precision,
     "confusion": q_confusion,
     "scorecard": q_scorecard,
+    "hourly_series": q_hourly_series,
+    "enriched_explain": q_enriched_explain,
+    "velocity_flag_expansion": q_velocity_flag_expansion,
 }
 
 

@@ -352,6 +352,13 @@ def oracle_sql() -> dict[str, str]:
                         "count_if(not final_is_fraud and not coalesce(is_fraud, false)) as tn from enriched) "
                         f"select tp, fp, fn, tn, case when tp + fp > 0 then {_round('cast(tp as double) / cast(tp + fp as double)', 3)} end as precision, "
                         f"case when tp + fn > 0 then {_round('cast(tp as double) / cast(tp + fn as double)', 3)} end as recall from c")
+    sql["hourly_series"] = sql["fraud_metrics"]
+    only_vel = "velocity_fraud and not stateless_fraud"
+    sql["enriched_explain"] = (f"{E} select transaction_id, final_rule, "
+                               f"case when {only_vel} then null else fraud_confidence end as fraud_confidence, "
+                               f"case when {only_vel} then printf('%d transactions in 24 hours', txn_count) "
+                               "else fraud_reason end as fraud_reason from enriched")
+    sql["velocity_flag_expansion"] = sql["velocity_flag"]
     sql.update(stream_oracle_sql())
     return sql
 

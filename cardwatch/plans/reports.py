@@ -161,3 +161,15 @@ def running_totals(txn_table: DataFrame, bucket: str = "1 hour") -> DataFrame:
         "bucket_start", "sent", "fraud",
         round_half_up(F.lit(100.0) * F.col("fraud") / F.col("sent"), 3).alias("fraud_pct"),
         round_half_up(F.col("sent").cast("double") / elapsed_s, 3).alias("events_per_s"))
+
+
+def register_views(txn_table: DataFrame, alerts_table: DataFrame, prefix: str = "") -> list[str]:
+    """Named views over the two tables, as the warehouse defines them (session-scoped).
+
+    ``fraud_metrics`` (hourly, newest first) and ``rule_performance``; query
+    them with ``spark.sql``.  Returns the view names.
+    """
+    names = [prefix + "fraud_metrics", prefix + "rule_performance"]
+    fraud_metrics(txn_table).createOrReplaceTempView(names[0])
+    rule_performance(alerts_table).createOrReplaceTempView(names[1])
+    return names

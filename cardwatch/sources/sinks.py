@@ -41,19 +41,20 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "transaction
 
 def insert_if_absent(batch: DataFrame, path: str, key: str = "transaction_id",
                      partition_by: list[str] | None = None, fmt: str = "parquet",
-                     prune_by: str | None = None) -> None:
+                     prune_by: str | None = None, prune_range: tuple | None = None) -> None:
     """Append the new rows of ``batch`` to the table at ``path``.
 
     ``path`` must be shared storage on a cluster.  With ``prune_by`` (a date
     partition column of the table) only the target partitions between the
     batch's first and last date are read for the anti-join, so the cost of a
     micro-batch does not grow with the table's history.  The driver learns two
-    scalars (min, max date), nothing else.
+    scalars (min, max date), nothing else; a caller that already knows a
+    covering range passes it as ``prune_range``.
     """
     spark = batch.sparkSession
     target = spark.read.format(fmt).load(path) if _exists(spark, path) else None
     if target is not None and prune_by:
-        lo, hi = batch.agg(F.min(prune_by), F.max(prune_by)).first()
+        lo, hi = prune_range or batch.agg(F.min(prune_by), F.max(prune_by)).first()
         target = target.where(F.col(prune_by).between(F.lit(lo), F.lit(hi)))
     rows = new_rows(batch, target, key, also_on=[prune_by] if prune_by else None)
     writer = rows.write.mode("append").format(fmt)

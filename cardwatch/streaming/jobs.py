@@ -130,15 +130,23 @@ def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        one = one_per_transaction(batch)
-        txn_rows = tables.to_transactions_table(one, created_at)
-        alert_rows = tables.to_alerts_table(verdict.alerts(one), created_at)
-        if partition_by:
-            txn_rows = txn_rows.withColumn(partition_by, F.to_date("event_time"))
-            alert_rows = alert_rows.withColumn(partition_by, F.to_date("alert_time"))
-        parts = [partition_by] if partition_by else None
-        sinks.insert_if_absent(txn_rows, transactions_path, partition_by=parts, prune_by=partition_by)
-        sinks.insert_if_absent(alert_rows, alerts_path, partition_by=parts, prune_by=partition_by)
+        one = one_per_transaction(batch).persist()
+        try:
+            txn_rows = tables.to_transactions_table(one, created_at)
+            alert_rows = tables.to_alerts_table(verdict.alerts(one), created_at)
+            parts, span = None, None
+            if partition_by:
+                txn_rows = txn_rows.withColumn(partition_by, F.to_date("event_time"))
+                alert_rows = alert_rows.withColumn(partition_by, F.to_date("alert_time"))
+                parts = [partition_by]
+                # Alerts are a subset of the transactions: one date range covers both.
+                span = tuple(one.agg(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first())
+            sinks.insert_if_absent(txn_rows, transactions_path, partition_by=parts, prune_by=partition_by,
+                                   prune_range=span)
+            sinks.insert_if_absent(alert_rows, alerts_path, partition_by=parts, prune_by=partition_by,
+                                   prune_range=span)
+        finally:
+            one.unpersist()
 
     return sinks.foreach_batch_writer(write)
 
