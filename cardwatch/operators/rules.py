@@ -174,8 +174,12 @@ def pandas_rule(fn, input_cols: Sequence[str], name: str, confidence: float, rea
     """
     import pandas as pd
 
-    @F.pandas_udf("boolean")
-    def _pred(*cols: pd.Series) -> pd.Series:
-        return fn(*cols).fillna(False).astype(bool)
+    names = list(input_cols)
 
-    return lambda: when_rule(_pred(*[F.col(c) for c in input_cols]), signal(name, confidence, reason))
+    def _pred(batch):
+        return fn(*[batch[c] for c in names]).fillna(False).astype(bool)
+
+    # Real types (this module defers annotations), so Spark picks the Series-to-Series form.
+    _pred.__annotations__ = {"batch": pd.DataFrame, "return": pd.Series}
+    pred = F.pandas_udf(_pred, "boolean")
+    return lambda: when_rule(pred(F.struct(*[F.col(c) for c in names])), signal(name, confidence, reason))

@@ -9,8 +9,6 @@ the target (column pruning) and shuffles both sides on the key.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,12 +105,16 @@ def foreach_batch_writer(write_fn, skip_empty: bool = True):
 
 def publish(df: DataFrame, fmt: str = "kafka", path: str | None = None, topic: str | None = None,
             options: dict | None = None) -> None:
-    """Write (key=user_id, value=JSON) records; Kafka when available, else any file format."""
+    """Write (key = user_id, value = JSON) records: to a Kafka topic, or to shared storage in any file format."""
     kv = codec.encode(df)
     w = kv.write.format(fmt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if fmt == "kafka":
+        if not topic:
+            raise ValueError("publish to kafka needs a topic")
         w.option("topic", topic).save()
     else:
-        w.mode("append").save(path or os.path.join(".", "published"))
+        if not path:
+            raise ValueError("publish to files needs a path on shared storage")
+        w.mode("append").save(path)

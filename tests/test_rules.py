@@ -94,3 +94,17 @@ def test_custom_rule_appended(spark):
         (F.col("amount") % 100) == 0, rules.signal("ROUND_AMOUNT", 0.3, "round amount")))
     df = spark.createDataFrame([("x", 300.0, "gas", False, "2024-01-01T12:00:00Z")], COLS)
     assert rules.apply_rules(df, rs).first()["fraud_rule"] == "ROUND_AMOUNT"
+
+
+def test_pandas_rule_is_arrow_batched(spark):
+    """A user rule that built-ins cannot state runs as a vectorised pandas UDF, never per row."""
+    def last_digit_seven(amount):
+        return (amount.round().astype("int64") % 10) == 7
+
+    rs = rules.stateless_rules().add("LUCKY", rules.pandas_rule(last_digit_seven, ["amount"], "LUCKY", 0.1, "lucky"))
+    df = spark.createDataFrame([("x", 17.0, "gas", False, "2024-01-01T12:00:00Z"),
+                                ("y", 18.0, "gas", False, "2024-01-01T12:00:00Z")], COLS)
+    out = rules.apply_rules(df, rs)
+    assert {r["transaction_id"]: r["fraud_rule"] for r in out.collect()} == {"x": "LUCKY", "y": "CLEAN"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
