@@ -21,6 +21,32 @@ from cardwatch.functions import hour_as_written, round_half_up
 
 RuleFn = Callable[[], Column]
 
+_COLUMN_CACHE: dict = {}
+
+
+def _reusable(fn):
+    """Reuse the Column a rule builder returns for the same (hashable) arguments.
+
+    A Column is an unresolved expression, independent of any DataFrame or
+    data, so building it once saves hundreds of JVM round trips per query
+    plan.  Calls with unhashable arguments (a Column, a dict) build afresh.
+    """
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        try:
+            key = (fn.__qualname__, args, tuple(sorted(kwargs.items())))
+            hash(key)
+        except TypeError:
+            return fn(*args, **kwargs)
+        col = _COLUMN_CACHE.get(key)
+        if col is None:
+            col = _COLUMN_CACHE[key] = fn(*args, **kwargs)
+        return col
+
+    return wrapper
+
 
 def signal(rule_name, confidence, reason, is_fraud=True) -> Column:
     """Build a verdict struct from columns or literals."""
@@ -33,6 +59,7 @@ def signal(rule_name, confidence, reason, is_fraud=True) -> Column:
     )
 
 
+@_reusable
 def clean_signal() -> Column:
     return signal(S.RULE_CLEAN, 0.0, S.REASON_CLEAN, is_fraud=False)
 
@@ -43,6 +70,7 @@ def when_rule(predicate: Column, sig: Column) -> Column:
 
 
 # ---------------------------------------------------------------- R1
+@_reusable
 def category_threshold(category="merchant_category", thresholds: dict | None = None,
                        default: float = S.DEFAULT_THRESHOLD) -> Column:
     """Threshold per category as a CASE over the (small, fixed) threshold table."""
@@ -54,6 +82,7 @@ def category_threshold(category="merchant_category", thresholds: dict | None = N
     return expr.otherwise(F.lit(float(default))) if expr is not None else F.lit(float(default))
 
 
+@_reusable
 def high_amount(amount="amount", category="merchant_category", thresholds: dict | None = None,
                 default: float = S.DEFAULT_THRESHOLD) -> Column:
     """amount > threshold(category); confidence min(1, (amount/t - 1)*0.5 + 0.6) to 3 dp."""
@@ -65,6 +94,7 @@ def high_amount(amount="amount", category="merchant_category", thresholds: dict
 
 
 # ---------------------------------------------------------------- R2
+@_reusable
 def international_atm(category="merchant_category", international="is_international", amount="amount",
                       min_amount: float = S.INTL_ATM_MIN_AMOUNT) -> Column:
     """ATM + international (NULL counts as false) + amount > 200."""
@@ -75,6 +105,7 @@ def international_atm(category="merchant_category", international="is_internatio
 
 
 # ---------------------------------------------------------------- R3
+@_reusable
 def odd_hours(timestamp="timestamp", amount="amount", hours=S.UNUSUAL_HOURS,
               min_amount: float = S.UNUSUAL_HOUR_MIN_AMOUNT) -> Column:
     """Hour as written in 1..4 and amount > 200."""
@@ -86,16 +117,19 @@ def odd_hours(timestamp="timestamp", amount="amount", hours=S.UNUSUAL_HOURS,
 
 
 # ---------------------------------------------------------------- labels (simulator patterns)
+@_reusable
 def extreme_amount(amount="amount", limit: float = S.EXTREME_AMOUNT) -> Column:
     return when_rule(F.col(amount) > F.lit(limit), signal("EXTREME_AMOUNT", 1.0, "extreme amount"))
 
 
+@_reusable
 def geo_anomaly(home_country="home_country", merchant_country="merchant_country", amount="amount",
                 home: str = S.GEO_HOME_COUNTRY, min_amount: float = S.GEO_MIN_AMOUNT) -> Column:
     pred = (F.col(home_country) == home) & (F.col(merchant_country) != home) & (F.col(amount) > F.lit(min_amount))
     return when_rule(pred, signal("GEO_ANOMALY", 1.0, "merchant outside home country"))
 
 
+@_reusable
 def off_hours_atm(event_time="event_time", category="merchant_category", amount="amount",
                   hours=S.OFF_HOURS, min_amount: float = S.OFF_HOURS_MIN_AMOUNT) -> Column:
     pred = (F.hour(F.col(event_time)).between(hours[0], hours[1]) & (F.col(category) == "atm")
@@ -103,6 +137,7 @@ def off_hours_atm(event_time="event_time", category="merchant_category", amount=
     return when_rule(pred, signal("OFF_HOURS_ATM", 1.0, "ATM use off hours"))
 
 
+@_reusable
 def rapid_use(flag="rapid_use") -> Column:
     """Fires on a precomputed velocity flag (see ``velocity.trailing``)."""
     return when_rule(F.coalesce(F.col(flag), F.lit(False)), signal("RAPID_USE", 1.0, "rapid use"))

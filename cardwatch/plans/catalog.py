@@ -41,26 +41,44 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- shared plans
+# The shared plans are built once per (session, folder) and reused by the
+# queries: only the logical plan is kept, never data, so every run still
+# reads and computes everything.
+_PLANS: dict = {}
+
+
+def _plan(kind: str, spark: SparkSession, d: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (kind, id(spark), d)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _PLANS[key] = (spark, build())
+    return hit[1]
+
+
 def txn(spark, d) -> DataFrame:
-    return fixtures.transactions(spark, d)
+    return _plan("txn", spark, d, lambda: fixtures.transactions(spark, d))
 
 
 def enriched(spark, d) -> DataFrame:
-    return verdict.enriched(txn(spark, d), window=FIXTURE_WINDOW, slide=FIXTURE_SLIDE,
-                            threshold=FIXTURE_THRESHOLD)
+    return _plan("enriched", spark, d, lambda: verdict.enriched(
+        txn(spark, d), window=FIXTURE_WINDOW, slide=FIXTURE_SLIDE, threshold=FIXTURE_THRESHOLD))
 
 
 def txn_table(spark, d) -> DataFrame:
-    return tables.to_transactions_table(enriched(spark, d), created_at=_as_of())
+    return _plan("txn_table", spark, d,
+                 lambda: tables.to_transactions_table(enriched(spark, d), created_at=_as_of()))
 
 
 def alerts_table(spark, d) -> DataFrame:
-    return tables.to_alerts_table(verdict.alerts(enriched(spark, d)), created_at=_as_of())
+    return _plan("alerts_table", spark, d,
+                 lambda: tables.to_alerts_table(verdict.alerts(enriched(spark, d)), created_at=_as_of()))
 
 
 def reviewed_alerts(spark, d) -> DataFrame:
-    a = alerts_table(spark, d)
-    return feedback.apply(a, fixtures.reviews(a))
+    def build():
+        a = alerts_table(spark, d)
+        return feedback.apply(a, fixtures.reviews(a))
+    return _plan("reviewed_alerts", spark, d, build)
 
 
 def defective_records(spark, d) -> DataFrame:
