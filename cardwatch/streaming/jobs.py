@@ -176,19 +176,24 @@ def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) ->
     """Wait until any query ends; a failure stops the others and is re-raised."""
     if not queries:
         return
-    spark = queries[0].sparkSession
+    from pyspark.sql import SparkSession
+
+    streams = SparkSession.getActiveSession().streams
     try:
         if timeout_s is None:
-            spark.streams.awaitAnyTermination()
+            streams.awaitAnyTermination()
         else:
-            spark.streams.awaitAnyTermination(timeout_s)
+            streams.awaitAnyTermination(timeout_s)
+    except Exception:  # the failed query is found below
+        pass
     finally:
-        failed = [q for q in queries if q.exception() is not None]
-        if failed:
-            for q in queries:
-                if q.isActive:
-                    q.stop()
-            raise RuntimeError(f"streaming query {failed[0].name or failed[0].id} failed") from None
+        streams.resetTerminated()
+    failed = [q for q in queries if not q.isActive and q.exception() is not None]
+    if failed:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        raise RuntimeError(f"streaming query {failed[0].name or failed[0].id} failed: {failed[0].exception()}")
 
 
 def quarantine_writer(path: str) -> Callable[[DataFrame, int], None]:

@@ -137,3 +137,19 @@ def test_run_from_json_records(spark, scratch):
         assert q.exception() is None
     assert spark.read.parquet(os.path.join(scratch, "bad")).count() == 1
     assert spark.read.parquet(os.path.join(scratch, "a")).count() == 9
+
+
+def test_await_all_stops_the_others_on_failure(spark, scratch):
+    import pytest
+    src = _stream(spark, os.path.join(scratch, "in"), late=False, dup=False)
+
+    def boom(df, batch_id):
+        raise ValueError("sink down")
+
+    ok = jobs.start(jobs.score(src).select("transaction_id"), os.path.join(scratch, "ck1"),
+                    path=os.path.join(scratch, "out1"), processing_time="1 second")
+    bad = jobs.start(src.select("transaction_id"), os.path.join(scratch, "ck2"), foreach_batch=boom,
+                     processing_time="1 second")
+    with pytest.raises(RuntimeError):
+        jobs.await_all([ok, bad], timeout_s=120)
+    assert not ok.isActive and not bad.isActive
