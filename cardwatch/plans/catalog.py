@@ -201,6 +201,11 @@ def q_velocity_trailing(spark, d):
     return t.select("transaction_id", "user_id", "trailing_count", "trailing_fraud")
 
 
+def q_velocity_trailing_split(spark, d):
+    t = velocity.trailing_split(txn(spark, d), FIXTURE_WINDOW, FIXTURE_THRESHOLD)
+    return t.select("transaction_id", "user_id", "trailing_count", "trailing_fraud")
+
+
 def q_rapid_use(spark, d):
     return velocity.rapid_use(txn(spark, d)).select("transaction_id", "user_id", "rapid_count", "rapid_use")
 
@@ -329,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "velocity_join_windows": q_velocity_join_windows,
     "velocity_flag": q_velocity_flag,
     "velocity_trailing": q_velocity_trailing,
+    "velocity_trailing_split": q_velocity_trailing_split,
     "rapid_use": q_rapid_use,
     "enriched_transactions": q_enriched_transactions,
     "fraud_alerts": q_fraud_alerts,

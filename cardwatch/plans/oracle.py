@@ -359,6 +359,7 @@ def oracle_sql() -> dict[str, str]:
                                f"case when {only_vel} then printf('%d transactions in 24 hours', txn_count) "
                                "else fraud_reason end as fraud_reason from enriched")
     sql["velocity_flag_expansion"] = sql["velocity_flag"]
+    sql["velocity_trailing_split"] = sql["velocity_trailing"]
     sql.update(stream_oracle_sql())
     return sql
 

@@ -54,3 +54,34 @@ def test_histogram_counts_sum_to_input(spark):
 def test_alerts_are_the_fraud_subset(spark):
     e = catalog.enriched(spark, SF0001)
     assert verdict.alerts(e).count() == e.where("final_is_fraud").count()
+
+
+def _same(a, b):
+    a = a.select("transaction_id", "trailing_count")
+    b = b.select("transaction_id", "trailing_count")
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_trailing_split_equals_trailing(spark):
+    t = fixtures.transactions(spark, SF0001)
+    assert _same(velocity.trailing(t, W, TH), velocity.trailing_split(t, W, TH))
+    assert _same(velocity.trailing(t, W, TH), velocity.trailing_split(t, W, TH, bucket="7 hours"))
+    assert _same(velocity.trailing(t, W, TH, lower_inclusive=False),
+                 velocity.trailing_split(t, W, TH, lower_inclusive=False, bucket="5 hours"))
+
+
+def test_trailing_split_hot_user_with_ties_and_gaps(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    secs = [0, 0, 0, 5, 30, 59, 60, 60, 61, 119, 120, 400, 401, 401, 460, 461, 3600, 3659, 3660, 3660]
+    rows = [(f"h{i}", "HOT", base + dt.timedelta(seconds=s)) for i, s in enumerate(secs)]
+    rows += [(f"c{i}", "COLD", base + dt.timedelta(seconds=s)) for i, s in enumerate([0, 61, 62])]
+    df = spark.createDataFrame(rows, "transaction_id string, user_id string, event_time timestamp_ntz")
+    for inclusive in (True, False):
+        ref = velocity.trailing(df, "60 seconds", 3, lower_inclusive=inclusive)
+        for b in (None, "1 second", "7 seconds", "59 seconds"):
+            got = velocity.trailing_split(df, "60 seconds", 3, lower_inclusive=inclusive, bucket=b)
+            assert _same(ref, got), (inclusive, b)
+    import pytest
+    with pytest.raises(ValueError):
+        velocity.trailing_split(df, "60 seconds", 3, bucket="2 minutes")
