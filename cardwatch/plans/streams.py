@@ -50,7 +50,8 @@ def _drain(df: DataFrame, name: str, foreach_batch=None):
     base = _folder(spark, name)
     out = os.path.join(base, "out")
     q = jobs.start(df, os.path.join(base, "checkpoint"), path=None if foreach_batch else out,
-                   foreach_batch=foreach_batch, available_now=True)
+                   foreach_batch=foreach_batch, available_now=True,
+                   shuffle_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {q.exception()}")

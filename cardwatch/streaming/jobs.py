@@ -154,15 +154,32 @@ def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
 def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str = "parquet",
           foreach_batch: Callable[[DataFrame, int], None] | None = None, output_mode: str = "append",
           processing_time: str | None = S.TRIGGER_INTERVAL, available_now: bool = False,
-          query_name: str | None = None) -> StreamingQuery:
-    """Start a query with a required checkpoint; ``available_now`` drains the input and stops."""
+          query_name: str | None = None, shuffle_partitions: int | None = None) -> StreamingQuery:
+    """Start a query with a required checkpoint; ``available_now`` drains the input and stops.
+
+    ``shuffle_partitions`` sets the number of state partitions of this query
+    only.  A stream keeps the number it first started with (it is recorded in
+    the checkpoint) and adaptive execution does not coalesce it, so size it
+    to the cores that will run the stream rather than the batch default.
+    """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     if foreach_batch is not None:
-        return w.foreachBatch(foreach_batch).start()
-    return w.format(fmt).option("path", path).start()
+        w = w.foreachBatch(foreach_batch)
+    else:
+        w = w.format(fmt).option("path", path)
+    if shuffle_partitions is None:
+        return w.start()
+    conf = df.sparkSession.conf
+    key = "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(int(shuffle_partitions)))
+    try:
+        return w.start()
+    finally:
+        conf.set(key, before)
 
 
 def console(df: DataFrame, columns: list[str] | None = None, processing_time: str = S.TRIGGER_INTERVAL) -> StreamingQuery:
@@ -209,13 +226,14 @@ def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_roo
         quarantine_path: str | None = None, window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
         threshold: int = S.VELOCITY_MAX_TRANSACTIONS, delay: str = S.WATERMARK_DELAY,
         processing_time: str = S.TRIGGER_INTERVAL, available_now: bool = False,
-        console_debug: bool = False) -> list[StreamingQuery]:
+        console_debug: bool = False, state_partitions: int | None = None) -> list[StreamingQuery]:
     """The whole pipeline on a raw (key, value, timestamp) stream, e.g. :func:`kafka_stream`.
 
     decode -> validate (bad records to ``quarantine_path``) -> event time ->
     watermark -> rules + velocity -> one ``foreachBatch`` writing both tables.
     Each query has its own folder under ``checkpoint_root`` (shared storage).
-    Wait on the result with :func:`await_all`.
+    ``state_partitions`` fixes the verdict query's state partitions (see
+    :func:`start`).  Wait on the result with :func:`await_all`.
     """
     import os
 
@@ -229,7 +247,8 @@ def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_roo
     v = verdicts(watermarked(good, delay), window, slide, threshold)
     queries.append(start(v, os.path.join(checkpoint_root, "verdicts"),
                          foreach_batch=pipeline_writer(transactions_path, alerts_path),
-                         processing_time=processing_time, available_now=available_now, query_name="verdicts"))
+                         processing_time=processing_time, available_now=available_now, query_name="verdicts",
+                         shuffle_partitions=state_partitions))
     if quarantine_path:
         bad = checked.where(~F.col("is_valid"))
         queries.append(start(bad, os.path.join(checkpoint_root, "quarantine"),
