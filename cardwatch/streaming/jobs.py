@@ -190,21 +190,30 @@ def console(df: DataFrame, columns: list[str] | None = None, processing_time: st
 
 
 def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait until any query ends; a failure stops the others and is re-raised."""
+    """Wait until one of ``queries`` ends; a failure stops the others and is re-raised.
+
+    Terminations of other queries in the session are ignored.  Returns
+    quietly when ``timeout_s`` passes with all of them still running.
+    """
+    import time
+
     if not queries:
         return
     from pyspark.sql import SparkSession
 
     streams = SparkSession.getActiveSession().streams
-    try:
-        if timeout_s is None:
-            streams.awaitAnyTermination()
-        else:
-            streams.awaitAnyTermination(timeout_s)
-    except Exception:  # the failed query is found below
-        pass
-    finally:
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    while all(q.isActive for q in queries):
+        left = None if deadline is None else deadline - time.monotonic()
+        if left is not None and left <= 0:
+            return
         streams.resetTerminated()
+        if not all(q.isActive for q in queries):
+            break
+        try:
+            streams.awaitAnyTermination(10 if left is None else max(0.1, min(10.0, left)))
+        except Exception:  # some query failed; ours are inspected below
+            pass
     failed = [q for q in queries if not q.isActive and q.exception() is not None]
     if failed:
         for q in queries:
