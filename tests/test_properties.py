@@ -85,3 +85,35 @@ def test_trailing_split_hot_user_with_ties_and_gaps(spark):
     import pytest
     with pytest.raises(ValueError):
         velocity.trailing_split(df, "60 seconds", 3, bucket="2 minutes")
+
+
+def test_velocity_matches_brute_force(spark):
+    import datetime as dt
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    base = dt.datetime(2024, 1, 1)
+    W, SL, TH_ = 60, 10, 2
+    ev = st.tuples(st.sampled_from(["U1", "U2", "U3"]), st.integers(0, 400))
+
+    @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(ev, min_size=5, max_size=120))
+    def check(events):
+        rows = [(f"t{i}", u, base + dt.timedelta(seconds=s)) for i, (u, s) in enumerate(events)]
+        df = spark.createDataFrame(rows, "transaction_id string, user_id string, event_time timestamp_ntz")
+        flag = {r["transaction_id"]: r["txn_count"] for r in
+                velocity.flag(df, window="60 seconds", slide="10 seconds", threshold=TH_).collect()}
+        trail = {r["transaction_id"]: r["trailing_count"] for r in
+                 velocity.trailing_split(df, "60 seconds", TH_, bucket="15 seconds").collect()}
+        for tid, u, s in [(f"t{i}", u, s) for i, (u, s) in enumerate(events)]:
+            mine = [x for (v, x) in events if v == u]
+            counts = []
+            for start in range((s // SL) * SL - W + SL, s + 1, SL):   # windows [start, start + W) holding s
+                c = sum(1 for x in mine if start <= x < start + W)
+                if c > TH_:
+                    counts.append(c)
+            assert flag[tid] == (max(counts) if counts else None), (tid, u, s)
+            assert trail[tid] == sum(1 for x in mine if s - W <= x <= s), (tid, u, s)
+
+    check()

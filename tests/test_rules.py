@@ -108,3 +108,37 @@ def test_pandas_rule_is_arrow_batched(spark):
     assert {r["transaction_id"]: r["fraud_rule"] for r in out.collect()} == {"x": "LUCKY", "y": "CLEAN"}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
+
+
+def _python_rules(amount, cat, intl, hour):
+    """The rule semantics stated directly, as a brute-force oracle."""
+    t = S.CATEGORY_THRESHOLDS.get(cat, S.DEFAULT_THRESHOLD)
+    if amount > t:
+        return "HIGH_AMOUNT", expected_conf(amount, t), "Amount $%.2f exceeds %s threshold $%.2f" % (amount, cat, t)
+    if cat == "atm" and intl and amount > 200:
+        return "INTL_ATM_WITHDRAWAL", 0.8, "International ATM withdrawal of $%.2f" % amount
+    if 1 <= hour <= 4 and amount > 200:
+        return "UNUSUAL_HOUR", 0.65, "$%.2f transaction at %02d:xx" % (amount, hour)
+    return "CLEAN", 0.0, "No fraud signals detected"
+
+
+def test_rules_match_brute_force(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    cats = st.sampled_from(list(S.CATEGORY_THRESHOLDS) + ["casino", None])
+    row = st.tuples(st.integers(0, 3_000_000), cats, st.sampled_from([True, False, None]), st.integers(0, 23))
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=50, max_size=300))
+    def check(rows):
+        data = [(f"t{i}", cents / 100.0, cat, intl, "2024-03-05T%02d:17:00+00:00" % hour)
+                for i, (cents, cat, intl, hour) in enumerate(rows)]
+        got = _score(spark, data)
+        for (tid, amount, cat, intl, _), (_, _, _, hour) in zip(data, rows):
+            rule, conf, reason = _python_rules(amount, cat, intl, hour)
+            r = got[tid]
+            assert (r["fraud_rule"], r["fraud_reason"]) == (rule, reason), (amount, cat, intl, hour)
+            assert r["fraud_confidence"] == pytest.approx(conf, abs=1e-12)
+
+    check()
