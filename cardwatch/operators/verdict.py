@@ -50,3 +50,15 @@ def alerts(enriched_df: DataFrame) -> DataFrame:
     """Fraud-only projection with ``event_time AS alert_time``."""
     return (enriched_df.where(F.col("final_is_fraud"))
             .select(*ALERT_COLUMNS[:-1], F.col("event_time").alias("alert_time")))
+
+
+def current_alerts(final_alerts: DataFrame, early_alerts: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """Alerts as known now: every final alert, plus early (stateless) alerts not yet resolved.
+
+    The early table is written the moment a transaction is scored; the final
+    table once its velocity windows have closed, with velocity taking
+    priority.  Each transaction appears once; a final verdict replaces the
+    early one.  An anti-join on the key (both sides shuffled by it).
+    """
+    pending = early_alerts.join(final_alerts.select(key), key, "left_anti")
+    return final_alerts.unionByName(pending.select(*final_alerts.columns))

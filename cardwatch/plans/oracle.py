@@ -409,6 +409,17 @@ def stream_oracle_sql() -> dict[str, str]:
                                         "where transaction_id in (select transaction_id from emitted)")
     sql["stream_alerts_table"] = (f"{E} select {ALERTS_DOUBLE} from alerts_table "
                                   "where transaction_id in (select transaction_id from emitted)")
+    early = ("select transaction_id, user_id, cast(cast(amount as decimal(12,2)) as double) as amount, "
+             "merchant_category, merchant_country, fraud_rule as final_rule, "
+             "cast(cast(fraud_confidence as decimal(5,3)) as double) as fraud_confidence, fraud_reason, "
+             "event_time as alert_time, false as reviewed, cast(null as timestamp) as reviewed_at, "
+             "cast(null as boolean) as true_positive, timestamp '2024-02-01 00:00:00' as created_at "
+             "from scored where stateless_fraud")
+    sql["stream_current_alerts"] = (f"{E}, final_a as (select {ALERTS_DOUBLE} from alerts_table "
+                                    "where transaction_id in (select transaction_id from emitted)), "
+                                    f"early_a as ({early}) "
+                                    "select * from final_a union all select * from early_a "
+                                    "where transaction_id not in (select transaction_id from final_a)")
     sql["stream_late_data"] = (f"{_with(TXN_CTE, BURSTS_CTE, STREAM_CTE, LATE_CTE)} "
                                "select user_id, window_start, window_end, txn_count from late_bursts, wmark "
                                "where window_end <= wm")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schema as S
 from cardwatch.session import ensure_checkpoint_dir
+from cardwatch.operators import verdict
 from cardwatch.sources import codec, fixtures
 from cardwatch.streaming import jobs, progress
 from cardwatch.streaming import sources as stream_sources
@@ -128,6 +129,18 @@ def q_stream_alerts_table(spark, d):
     return _doubles(_read(spark, alerts_path).drop("event_date"))
 
 
+def q_stream_current_alerts(spark, d):
+    """Two speeds: stateless alerts at once, final verdicts later, merged by transaction."""
+    created = F.lit(STREAM_CREATED_AT).cast("timestamp_ntz")
+    early_path = os.path.join(_folder(spark, "early-alerts"), "table")
+    _drain(jobs.early_alerts(_txn_stream(spark, d)), "early-alerts",
+           foreach_batch=jobs.alerts_writer(early_path, created_at=created))
+    _, alerts_path = _run_pipeline(spark, d)
+    merged = verdict.current_alerts(_read(spark, alerts_path).drop("event_date"),
+                                    _read(spark, early_path).drop("event_date"))
+    return _doubles(merged)
+
+
 def q_stream_late_data(spark, d):
     """The oldest slice arrives last: all its rows are behind the watermark and dropped."""
     w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, oldest_last=True), STREAM_DELAY),
@@ -151,6 +164,7 @@ STREAM_QUERIES = {
     "stream_velocity_alerts": q_stream_velocity_alerts,
     "stream_transactions_table": q_stream_transactions_table,
     "stream_alerts_table": q_stream_alerts_table,
+    "stream_current_alerts": q_stream_current_alerts,
     "stream_late_data": q_stream_late_data,
     "stream_progress": q_stream_progress,
 }

@@ -222,6 +222,34 @@ def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) ->
         raise RuntimeError(f"streaming query {failed[0].name or failed[0].id} failed: {failed[0].exception()}")
 
 
+def early_alerts(txn: DataFrame, rules: R.RuleSet | None = None) -> DataFrame:
+    """Stateless alerts at once (no watermark wait): the rule's own name as ``final_rule``.
+
+    The fast half of the two-speed design; :func:`verdicts` gives the final
+    word later, and :func:`cardwatch.operators.verdict.current_alerts`
+    merges the two tables.
+    """
+    s = score(txn, rules).where(F.col("stateless_fraud"))
+    s = s.withColumn("final_rule", F.col("fraud_rule"))
+    if dict(s.dtypes).get("event_time") == "timestamp":
+        s = s.withColumn("event_time", as_wall_clock("event_time"))
+    return verdict.alerts(s.withColumn("final_is_fraud", F.lit(True)))
+
+
+def alerts_writer(path: str, created_at=None, partition_by: str | None = "event_date") -> Callable[[DataFrame, int], None]:
+    """foreachBatch callback writing alert rows to an alerts table, keyed on ``transaction_id``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = tables.to_alerts_table(batch, created_at)
+        parts = None
+        if partition_by:
+            rows = rows.withColumn(partition_by, F.to_date("alert_time"))
+            parts = [partition_by]
+        sinks.insert_if_absent(rows, path, partition_by=parts, prune_by=partition_by)
+
+    return sinks.foreach_batch_writer(write)
+
+
 def quarantine_writer(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch callback appending invalid records (with their violations) to ``path``."""
 
@@ -235,14 +263,17 @@ def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_roo
         quarantine_path: str | None = None, window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
         threshold: int = S.VELOCITY_MAX_TRANSACTIONS, delay: str = S.WATERMARK_DELAY,
         processing_time: str = S.TRIGGER_INTERVAL, available_now: bool = False,
-        console_debug: bool = False, state_partitions: int | None = None) -> list[StreamingQuery]:
+        console_debug: bool = False, state_partitions: int | None = None,
+        early_alerts_path: str | None = None) -> list[StreamingQuery]:
     """The whole pipeline on a raw (key, value, timestamp) stream, e.g. :func:`kafka_stream`.
 
     decode -> validate (bad records to ``quarantine_path``) -> event time ->
     watermark -> rules + velocity -> one ``foreachBatch`` writing both tables.
     Each query has its own folder under ``checkpoint_root`` (shared storage).
     ``state_partitions`` fixes the verdict query's state partitions (see
-    :func:`start`).  Wait on the result with :func:`await_all`.
+    :func:`start`).  ``early_alerts_path`` adds the stateless alert stream
+    (alerts at once; merge with :func:`verdict.current_alerts`).  Wait on
+    the result with :func:`await_all`.
     """
     import os
 
@@ -258,6 +289,11 @@ def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_roo
                          foreach_batch=pipeline_writer(transactions_path, alerts_path),
                          processing_time=processing_time, available_now=available_now, query_name="verdicts",
                          shuffle_partitions=state_partitions))
+    if early_alerts_path:
+        queries.append(start(early_alerts(good), os.path.join(checkpoint_root, "early_alerts"),
+                             foreach_batch=alerts_writer(early_alerts_path),
+                             processing_time=processing_time, available_now=available_now,
+                             query_name="early_alerts"))
     if quarantine_path:
         bad = checked.where(~F.col("is_valid"))
         queries.append(start(bad, os.path.join(checkpoint_root, "quarantine"),

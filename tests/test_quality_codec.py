@@ -158,3 +158,11 @@ def test_insert_into_catalog_table(spark):
     sinks.insert_into_table(b, "cw_alerts_it")
     sinks.insert_into_table(b, "cw_alerts_it")
     assert sorted(r[0] for r in spark.table("cw_alerts_it").collect()) == ["t1", "t2", "t3"]
+
+
+def test_current_alerts_final_wins(spark):
+    cols = "transaction_id string, final_rule string"
+    final = spark.createDataFrame([("t1", "VELOCITY_BURST")], cols)
+    early = spark.createDataFrame([("t1", "HIGH_AMOUNT"), ("t2", "UNUSUAL_HOUR")], cols)
+    got = {r["transaction_id"]: r["final_rule"] for r in verdict.current_alerts(final, early).collect()}
+    assert got == {"t1": "VELOCITY_BURST", "t2": "UNUSUAL_HOUR"}
