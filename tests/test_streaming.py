@@ -125,18 +125,26 @@ def test_run_from_json_records(spark, scratch):
         d = dict(zip(names, r[:-1]))
         d["transaction_id"] = "00000000-0000-4000-8000-%012d" % (abs(hash(d["transaction_id"])) % 10**12)
         recs.append((d["user_id"], json.dumps(d)))
+    big = dict(zip(names, _row("BIG", "D", 100)[:-1]))
+    big.update(transaction_id="00000000-0000-4000-8000-000000000999", amount=9999.0)
+    recs.append(("D", json.dumps(big)))
     recs.append(("X", "not json"))
     spark.createDataFrame(recs, "key string, value string").coalesce(1).write.parquet(os.path.join(folder, "f=0"))
     raw = ss.file_stream(spark, os.path.join(folder, "f=*"),
                          spark.createDataFrame([], "key string, value string").schema)
     qs = jobs.run(raw, os.path.join(scratch, "t"), os.path.join(scratch, "a"), os.path.join(scratch, "ck"),
                   quarantine_path=os.path.join(scratch, "bad"), window="60 seconds", slide="10 seconds",
-                  delay="30 seconds", available_now=True)
+                  delay="30 seconds", available_now=True, early_alerts_path=os.path.join(scratch, "early"))
     for q in qs:
         q.awaitTermination()
         assert q.exception() is None
     assert spark.read.parquet(os.path.join(scratch, "bad")).count() == 1
-    assert spark.read.parquet(os.path.join(scratch, "a")).count() == 9
+    final = spark.read.parquet(os.path.join(scratch, "a"))
+    early = spark.read.parquet(os.path.join(scratch, "early"))
+    assert final.count() == 10                                  # A's burst + the large purchase
+    assert [r["final_rule"] for r in early.collect()] == ["HIGH_AMOUNT"]
+    from cardwatch.operators import verdict
+    assert verdict.current_alerts(final, early.select(*final.columns)).count() == 10
 
 
 def test_await_all_stops_the_others_on_failure(spark, scratch):
