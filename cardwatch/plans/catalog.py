@@ -115,6 +115,17 @@ def q_json_roundtrip(spark, d):
     return codec.decode(codec.encode(txn(spark, d)))
 
 
+def q_publish_records(spark, d):
+    """Keyed records (key = user id, value = JSON) published to storage, read back and decoded."""
+    import os
+    import uuid
+
+    from cardwatch.session import ensure_checkpoint_dir
+    path = os.path.join(ensure_checkpoint_dir(spark), "cardwatch-published", uuid.uuid4().hex[:12])
+    sinks.publish(txn(spark, d), fmt="parquet", path=path)
+    return codec.decode(spark.read.parquet(path), keep=["key"])
+
+
 def q_event_time_parse(spark, d):
     t = codec.with_event_time(codec.decode(codec.encode(txn(spark, d))), out="parsed_time")
     return t.select("transaction_id", "timestamp", "parsed_time",
@@ -315,6 +326,7 @@ def q_scorecard(spark, d):
 QUERIES: dict[str, Query] = {
     "txn_projection": q_txn_projection,
     "json_roundtrip": q_json_roundtrip,
+    "publish_records": q_publish_records,
     "event_time_parse": q_event_time_parse,
     "validate_transactions": q_validate_transactions,
     "quality_report": q_quality_report,

@@ -217,6 +217,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {}
     sql["txn_projection"] = f"{T} select {WIRE}, event_time from txn"
     sql["json_roundtrip"] = f"{T} select {WIRE} from txn"
+    sql["publish_records"] = f"{T} select {WIRE}, user_id as key from txn"
     sql["event_time_parse"] = (f"{T} select transaction_id, \"timestamp\", date_trunc('second', event_time) as parsed_time, "
                                f"{WRITTEN_HOUR} as written_hour from txn")
     sql["validate_transactions"] = (f"{_validated_with()} select transaction_id, user_id, currency, merchant_category, "
@@ -420,6 +421,7 @@ def stream_oracle_sql() -> dict[str, str]:
                                     f"early_a as ({early}) "
                                     "select * from final_a union all select * from early_a "
                                     "where transaction_id not in (select transaction_id from final_a)")
+    sql["stream_early_alerts"] = f"{E}, early_a as ({early}) select * from early_a"
     sql["stream_late_data"] = (f"{_with(TXN_CTE, BURSTS_CTE, STREAM_CTE, LATE_CTE)} "
                                "select user_id, window_start, window_end, txn_count from late_bursts, wmark "
                                "where window_end <= wm")

@@ -141,6 +141,15 @@ def q_stream_current_alerts(spark, d):
     return _doubles(merged)
 
 
+def q_stream_early_alerts(spark, d):
+    """Stateless alerts written the moment each transaction is scored (no watermark wait)."""
+    created = F.lit(STREAM_CREATED_AT).cast("timestamp_ntz")
+    path = os.path.join(_folder(spark, "early-alerts"), "table")
+    _drain(jobs.early_alerts(_txn_stream(spark, d)), "early-alerts-only",
+           foreach_batch=jobs.alerts_writer(path, created_at=created))
+    return _doubles(_read(spark, path).drop("event_date"))
+
+
 def q_stream_late_data(spark, d):
     """The oldest slice arrives last: all its rows are behind the watermark and dropped."""
     w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, oldest_last=True), STREAM_DELAY),
@@ -165,6 +174,7 @@ STREAM_QUERIES = {
     "stream_transactions_table": q_stream_transactions_table,
     "stream_alerts_table": q_stream_alerts_table,
     "stream_current_alerts": q_stream_current_alerts,
+    "stream_early_alerts": q_stream_early_alerts,
     "stream_late_data": q_stream_late_data,
     "stream_progress": q_stream_progress,
 }

@@ -10,12 +10,13 @@ from cardwatch.functions import to_utc_ntz
 
 
 def decode(raw: DataFrame, value: str = "value", ingest_time: str | None = "timestamp",
-           fields: list[str] | None = None, keep_raw: bool = False) -> DataFrame:
+           fields: list[str] | None = None, keep_raw: bool = False, keep: list[str] | None = None) -> DataFrame:
     """``from_json(cast(value as string))`` flattened to the 17 wire fields.
 
     Bad text yields an all-NULL record (``from_json`` is permissive); pair it
     with :func:`cardwatch.operators.quality.validate` to quarantine such rows.
-    Selecting a subset of ``fields`` lets Spark prune the JSON parse.
+    Selecting a subset of ``fields`` lets Spark prune the JSON parse;
+    ``keep`` carries other columns of ``raw`` (e.g. the record key) through.
     """
     text = F.col(value).cast("string")
     cols = [F.from_json(text, S.TRANSACTION_SCHEMA).alias("data")]
@@ -23,6 +24,7 @@ def decode(raw: DataFrame, value: str = "value", ingest_time: str | None = "time
         cols.append(F.col(ingest_time).alias("ingest_time"))
     if keep_raw:
         cols.append(text.alias("raw_value"))
+    cols += [F.col(c) for c in (keep or [])]
     parsed = raw.select(*cols)
     wanted = [f"data.{f}" for f in (fields or S.TRANSACTION_FIELDS)]
     rest = [c for c in parsed.columns if c != "data"]
