@@ -37,7 +37,7 @@ def checks() -> list[tuple[str, Column]]:
     return out
 
 
-def violations(names: bool = True) -> Column:
+def violations() -> Column:
     """Comma-joined violation names ('' when valid); NULL conditions do not fail."""
     return F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in checks()])
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch import schema as S
 from cardwatch.operators import enrich, feedback, quality, rules, tables, velocity, verdict
 from cardwatch.plans import reports
 from cardwatch.sources import codec, fixtures, sinks

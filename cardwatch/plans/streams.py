@@ -17,7 +17,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch import schema as S
 from cardwatch.session import ensure_checkpoint_dir
 from cardwatch.operators import verdict
 from cardwatch.sources import codec, fixtures
