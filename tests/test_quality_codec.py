@@ -136,6 +136,9 @@ def test_jdbc_append_is_idempotent(spark):
     sinks.jdbc_append(batch, url, "alerts_it", props)   # replay of the same batch
     got = read_jdbc(spark, url, "alerts_it", props)
     assert sorted(r["transaction_id"] for r in got.collect()) == ["t1", "t2"]
+    split = read_jdbc(spark, url, "alerts_it", props, partition_column="amount", lower=0, upper=30, num_partitions=3)
+    assert split.rdd.getNumPartitions() == 3
+    assert sorted(r["transaction_id"] for r in split.collect()) == ["t1", "t2"]
 
 
 def test_publish_keyed_records(spark, scratch):
