@@ -32,7 +32,9 @@ def progress_rows(query: StreamingQuery, observed: str = "live") -> list[dict]:
     for p in query.recentProgress:
         d = p if isinstance(p, dict) else p.jsonValue
         ops = d.get("stateOperators", [])
-        obs = (d.get("observedMetrics") or {}).get(observed, {})
+        obs = (d.get("observedMetrics") or {}).get(observed) or {}
+        if hasattr(obs, "asDict"):  # PySpark hands observed metrics over as a Row
+            obs = obs.asDict()
         out.append({
             "batch_id": d.get("batchId"),
             "num_input_rows": d.get("numInputRows"),

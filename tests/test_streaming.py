@@ -161,3 +161,14 @@ def test_await_all_stops_the_others_on_failure(spark, scratch):
     with pytest.raises(RuntimeError):
         jobs.await_all([ok, bad], timeout_s=120)
     assert not ok.isActive and not bad.isActive
+
+
+def test_live_counters(spark, scratch):
+    """observe(): per-batch events and alerts reported with the query's progress."""
+    src = _stream(spark, os.path.join(scratch, "in"), late=False, dup=False)
+    scored = jobs.score(src).withColumn("final_is_fraud", F.col("stateless_fraud"))
+    q = _drain(progress.observe(scored).select("transaction_id"), os.path.join(scratch, "q"))
+    rows = [r for r in progress.progress_rows(q) if r["events"] is not None]
+    assert sum(int(r["events"]) for r in rows) == 17
+    assert sum(int(r["alerts"]) for r in rows) == 0
+    assert progress.progress_frame(spark, q).count() == len(progress.progress_rows(q))
