@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import toxicity
+from cardwatch.llm import decontaminate, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": simhash.op1_simhash,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_decontaminate": decontaminate.OP10_SQL,
+}
