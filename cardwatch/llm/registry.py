@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontaminate, simhash, toxicity
+from cardwatch.llm import decontaminate, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
+    "op5_pii": pii.op5_pii,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }

@@ -344,7 +344,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             t = np.concatenate([x[0] for x in tagger.totals(b.column("text").to_pylist())]) if b.num_rows else np.zeros((0, 3))
             yield pa.RecordBatch.from_arrays([b.column("y"), *[pa.array(t[:, k]) for k in range(3)]], ["y", "a", "b", "c"])
 
-    got = sample.mapInArrow(totals, "y int, a double, b double, c double").orderBy("y", "a", "b", "c").toPandas()
+    got = sample.mapInArrow(totals, "y int, a double, b double, c double").toPandas().sort_values(["y", "a", "b", "c"])
     t = got[["a", "b", "c"]].to_numpy(dtype=float)
     model.doc = fit_score(Tagger(model).evidence(t), got["y"].to_numpy(dtype=float))
     return model
