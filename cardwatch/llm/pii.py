@@ -72,11 +72,11 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
 def _valid(kind: str, v: Column) -> Column:
     n = F.length(digits(v))
     return {
-        "email": lambda: v.rlike(r"\.[A-Za-z]{2,}$"),
+        "email": lambda: F.substring_index(v, ".", -1).rlike("^[A-Za-z]{2,}$"),
         "ip": lambda: v.rlike(rf"^{PART}(?:\.{PART}){{3}}$"),
         "card": lambda: F.when(n.between(16, 19), luhn(v)).otherwise(F.lit(False)),
         "phone": lambda: n.between(8, 15),
-        "email_at": lambda: v.rlike(r"[A-Za-z]{2,}$"),
+        "email_at": lambda: F.right(v, F.lit(2)).rlike("^[A-Za-z]{2}$"),
         "ipv6": lambda: v.rlike("[0-9]"),
         "card_short": lambda: luhn(v),
         "phone_local": lambda: ~digits(v).rlike(r"^[01]|^...[01]|^([0-9])\1{9}$"),
@@ -89,7 +89,7 @@ def _listed(kind: str, v: Column) -> Column:
     """The gazetteer's answer, null where none applies."""
     d = digits(v)
     if kind in ("email", "email_at"):
-        return F.lower(F.regexp_extract(v, "([A-Za-z]+)$", 1)).isin(*DOMAINS)
+        return F.lower(F.regexp_extract(F.right(v, F.lit(12)), "([A-Za-z]+)$", 1)).isin(*DOMAINS)
     if kind in ("card", "card_short"):
         return d.rlike("^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)")
     if kind == "phone":
