@@ -5,13 +5,18 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch.session import ensure_checkpoint_dir
 
+#: Bytes of text that a worker turns into Python objects at once.
+BLOCK_BYTES = 4_000_000
+
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -77,13 +82,24 @@ def annotate(docs: DataFrame, text_col: str, make: Callable[[], Callable[[pa.Arr
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = work(batch.column(text_col))
-            out = pa.RecordBatch.from_arrays([*batch.columns, *[new[n] for n in names]], [*batch.schema.names, *names])
-            yield out.filter(new[keep]) if keep else out
+            for part in blocks(batch, text_col):
+                new = work(part.column(text_col))
+                out = pa.RecordBatch.from_arrays([*part.columns, *[new[n] for n in names]], [*part.schema.names, *names])
+                yield out.filter(new[keep]) if keep else out
 
     return docs.mapInArrow(run, schema)
 
 
+def blocks(batch: pa.RecordBatch, text_col: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``most`` bytes of text, or of one row: what a worker holds as Python objects."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(size, most + (size[at - 1] if at else 0), "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def file_bytes(path: str) -> bytes:
     """A small file that the driver has, such as a vocabulary."""
     with open(path, "rb") as f:
