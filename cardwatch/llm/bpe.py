@@ -36,7 +36,7 @@ from cardwatch.llm import common
 REMEMBERED = 200_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: White space as the merges' own library knows it; the pattern's ``\s`` stands for it.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\p{White_Space}"
 
 
 def explicit(pattern: str) -> str:

@@ -35,6 +35,11 @@ def shared(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share (``spark.checkpoint.dir``)."""
+    return ensure_checkpoint_dir(spark)
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers on this host import the package from its folder.
 

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import bpe, decontaminate, pii, simhash, token_counts, toxicity
+from cardwatch.llm import bpe, decontaminate, langid, pii, quality, simhash, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
     "op2_bpe": bpe.op2_bpe,
+    "op3_quality": quality.op3_quality,
+    "op4_langid": langid.op4_langid,
     "op5_pii": pii.op5_pii,
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_toxicity": toxicity.op9_toxicity,
