@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import bpe, decontaminate, langid, pii, quality, simhash, token_counts, toxicity
+from cardwatch.llm import bpe, decontaminate, langid, pii, quality, secrets, simhash, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid": langid.op4_langid,
     "op5_pii": pii.op5_pii,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_secrets": secrets.op8_secrets,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
