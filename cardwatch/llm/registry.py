@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import bpe, decontaminate, langid, pii, quality, secrets, simhash, token_counts, toxicity
+from cardwatch.llm import bpe, decontaminate, fingerprint, langid, pii, quality, secrets, simhash, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": quality.op3_quality,
     "op4_langid": langid.op4_langid,
     "op5_pii": pii.op5_pii,
+    "op6_fingerprint": fingerprint.op6_fingerprint,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_secrets": secrets.op8_secrets,
     "op9_toxicity": toxicity.op9_toxicity,
