@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame operations only.
 
-A text is cut into paragraphs (up to a line end or a sentence's end, at most
-``LONGEST`` characters); the set of their 64-bit digests goes into a sketch of
+A text is cut into paragraphs (lines, in pieces of at most ``FINE`` characters
+near its start and ``COARSE`` after ``FINE_CHARS``); the set of their 64-bit digests goes into a sketch of
 three tables of ``CELLS`` cells, each with a count, the XOR of the digests and
 the XOR of their check values.  Subtracting two sketches leaves the differing
 digests; peeling takes cells with a single digest until all are recovered.  If
@@ -30,20 +30,26 @@ from cardwatch.llm import common
 from cardwatch.llm.spans import let
 
 TABLES, CELLS = 3, 8
-LONGEST = 100
+#: The first characters of a text are cut finely, so that short texts have several paragraphs too.
+FINE_CHARS, FINE, COARSE = 480, 60, 300
 #: Rounds of peeling; a round without a single digest changes nothing.
 ROUNDS = 8
 #: Digests of both texts that a part gets on average.
-PART = 6
+PART = 9
 #: Ranges of ids at most, found in two steps of 100.
 RANGES = 10_000
 BYTES_PER_RANGE = 32_000_000
-PARAGRAPH = r"[^.!?\n]{1,%d}[.!?\n]*|[.!?\n]+" % LONGEST
+
+
+def _paragraph(longest: int) -> str:
+    return r"[^\n]{1,%d}\n*|\n+" % longest
 
 
 def digests(text: Column) -> Column:
     """The set of paragraph digests of a text."""
-    parts = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), F.lit(0))
+    t = F.coalesce(text, F.lit(""))
+    cut = lambda part, longest: F.regexp_extract_all(part, F.lit(_paragraph(longest)), F.lit(0))
+    parts = F.concat(cut(F.left(t, F.lit(FINE_CHARS)), FINE), cut(F.substring(t, FINE_CHARS + 1, 2**31 - 1), COARSE))
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -51,19 +57,26 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
+def _layout() -> Column:
+    """Per cell the shift that brings its table's bits of a digest down, and its place in the table."""
+    return F.array(*[F.struct(F.lit(8 * t).alias("shift"), F.lit(c).cast("long").alias("place"))
+                     for t in range(TABLES) for c in range(CELLS)])
+
+
 def _here(digest: Column, cell: Column) -> Column:
-    """True if the digest belongs to the cell: table number and place in one index."""
-    table = F.floor(cell / F.lit(CELLS)).cast("int")
-    place = F.call_function("shiftrightunsigned", digest, table * 8).bitwiseAND(F.lit(CELLS - 1))
-    return place == cell % CELLS
+    """True if the digest belongs to the cell of the layout."""
+    return F.call_function("shiftrightunsigned", digest, cell["shift"]).bitwiseAND(F.lit(CELLS - 1).cast("long")) == cell["place"]
 
 
 def sketch(keys: Column) -> Column:
     """Cells of a set of digests: n, key and check."""
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
-    add = lambda s, k: F.struct((s["n"] + 1).alias("n"), s["key"].bitwiseXOR(k).alias("key"), s["check"].bitwiseXOR(_check(k)).alias("check"))
-    return F.transform(F.sequence(F.lit(0), F.lit(TABLES * CELLS - 1)),
-                       lambda c: F.aggregate(F.filter(keys, lambda k: _here(k, c)), zero, add))
+    zero = F.lit(0).cast("long")
+
+    def cell(mine: Column) -> Column:
+        return F.struct(F.size(mine).cast("long").alias("n"), F.aggregate(mine, zero, lambda s, k: s.bitwiseXOR(k)).alias("key"),
+                        F.aggregate(mine, zero, lambda s, k: s.bitwiseXOR(_check(k))).alias("check"))
+
+    return F.transform(_layout(), lambda c: let(F.filter(keys, lambda k: _here(k, c)), cell))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -77,19 +90,20 @@ def peel(cells: Column) -> Column:
     none = F.lit(0).cast("long")
 
     def take(cs: Column, p: Column) -> Column:
-        return F.transform(cs, lambda c, i: F.when(_here(p["key"], i), F.struct(
+        return F.zip_with(cs, _layout(), lambda c, at: F.when(_here(p["key"], at), F.struct(
             (c["n"] - p["n"]).alias("n"), c["key"].bitwiseXOR(p["key"]).alias("key"),
             c["check"].bitwiseXOR(_check(p["key"])).alias("check"))).otherwise(c))
 
     def step(s: Column, _: Column) -> Column:
         single = F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
         keys = F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-        return let(keys, lambda ks: F.struct(
+        more = let(keys, lambda ks: F.struct(
             F.aggregate(ks, s["cells"], take).alias("cells"),
             (s["plus"] + F.size(F.filter(ks, lambda k: k["n"] == 1))).alias("plus"),
-            (s["minus"] + F.size(F.filter(ks, lambda k: k["n"] == -1))).alias("minus")))
+            (s["minus"] + F.size(F.filter(ks, lambda k: k["n"] == -1))).alias("minus"), (F.size(ks) > 0).alias("going")))
+        return F.when(s["going"], more).otherwise(s)
 
-    start = F.struct(cells.alias("cells"), none.alias("plus"), none.alias("minus"))
+    start = F.struct(cells.alias("cells"), none.alias("plus"), none.alias("minus"), F.lit(True).alias("going"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.struct(
         (~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))).alias("ok"),
         s["plus"].alias("plus"), s["minus"].alias("minus")))
@@ -127,10 +141,12 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
     pair = F.struct(a.alias("a"), b.alias("b"))
 
     def larger(p: Column) -> Column:
-        # three deals in a row, so that a digest is compared with few part numbers however many parts there are
-        fan = F.ceil(F.pow((F.size(p["a"]) + F.size(p["b"])) / F.lit(float(PART)), F.lit(1 / 3))).cast("int")
-        return let(F.greatest(fan, F.lit(1)), lambda f: _sum(F.flatten(F.transform(_deal(p, f, 11), lambda x: F.flatten(
-            F.transform(_deal(x, f, 12), lambda y: F.transform(_deal(y, f, 13), lambda z: _retried(z, (21, 22)))))))))
+        # many parts are dealt in two steps, so that a digest is compared with few part numbers
+        parts = F.ceil((F.size(p["a"]) + F.size(p["b"])) / F.lit(float(PART))).cast("int")
+        first = F.when(parts > 16, F.ceil(F.sqrt(parts)).cast("int")).otherwise(F.greatest(parts, F.lit(1)))
+        fans = F.struct(first.alias("first"), F.ceil(parts / first.cast("double")).cast("int").alias("second"))
+        return let(fans, lambda f: _sum(F.flatten(F.transform(_deal(p, f["first"], 11), lambda x: F.transform(
+            F.when(f["second"] > 1, _deal(x, f["second"], 12)).otherwise(F.array(x)), lambda y: _retried(y, (21, 22)))))))
 
     return let(peel(subtract(sketch_a, sketch_b)), lambda r: F.when(r["ok"], r).otherwise(let(pair, larger)))
 
