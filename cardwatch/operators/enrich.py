@@ -7,16 +7,8 @@ from pyspark.sql import functions as F
 
 from cardwatch import schema as S
 
-# A dimension given as literal rows has a known, fixed row count; only such
-# sides are broadcast explicitly.  Any other dimension is joined plainly and
-# Spark decides at run time from its measured size (AQE).
-LITERAL_BROADCAST_MAX_ROWS = 10_000
-
-
 def merchant_dimension(spark: SparkSession, rows=None) -> DataFrame:
     rows = list(rows if rows is not None else S.MERCHANTS)
-    if len(rows) > LITERAL_BROADCAST_MAX_ROWS:
-        raise ValueError("literal merchant table too large; load it as a table instead")
     return literal_table(spark, rows, ["merchant_id", "merchant_name", "merchant_category", "merchant_country"])
 
 
@@ -41,20 +33,16 @@ def literal_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
-def merchant(df: DataFrame, merchants: DataFrame | None = None, literal_rows: int | None = None,
-             key: str = "merchant_id") -> DataFrame:
+def merchant(df: DataFrame, merchants: DataFrame | None = None, key: str = "merchant_id") -> DataFrame:
     """Left join merchant name/category/country onto ``df`` by ``key``.
 
-    ``literal_rows`` is the known row count of ``merchants`` when it was built
-    from literal rows; only then is it broadcast by hint.
+    No hint: Spark knows the size of a literal or stored table and broadcasts
+    it only if it is below the session's threshold.
     """
     if merchants is None:
         merchants = merchant_dimension(df.sparkSession)
-        literal_rows = len(S.MERCHANTS)
     drop = [c for c in ("merchant_name", "merchant_category", "merchant_country") if c in df.columns]
     side = merchants.withColumnRenamed("merchant_id", key) if key != "merchant_id" else merchants
-    if literal_rows is not None and literal_rows <= LITERAL_BROADCAST_MAX_ROWS:
-        side = F.broadcast(side)
     return df.drop(*drop).join(side, key, "left")
 
 

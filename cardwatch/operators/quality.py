@@ -2,9 +2,13 @@
 
 Each failed check adds a fixed name to ``violations`` (in check order):
 ``missing:<field>``, ``format:transaction_id``, ``number:amount``,
-``minimum:amount``, ``length:currency``, ``enum:merchant_category``,
+``minimum:amount``, ``maximum:amount``, ``length:currency``, ``enum:merchant_category``,
 ``enum:card_type``, ``pattern:card_last4``, ``format:timestamp``.
 All checks are built-in expressions; rows are split, never dropped.
+
+A violation is blocking if the row could not be stored or placed in time
+(``BLOCKING``); any other is advisory: the record is scored and stored like the
+original does (an unknown category gets the default threshold).
 """
 
 from __future__ import annotations
@@ -13,12 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch import schema as S
+from cardwatch.sources.codec import parse_event_time
 
 UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 DATETIME_PATTERN = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?"
                     r"([Zz]|[+-][0-9]{2}:?[0-9]{2})?$")
 
 
+BLOCKING = ("missing:transaction_id", "missing:user_id", "missing:amount", "missing:timestamp",
+            "number:amount", "maximum:amount", "format:timestamp")
+
+
 def checks() -> list[tuple[str, Column]]:
     """(violation name, failing condition) pairs; a NULL field fails only its ``missing`` check."""
     c = F.col
@@ -28,11 +37,13 @@ def checks() -> list[tuple[str, Column]]:
         ("format:transaction_id", ~c("transaction_id").rlike(UUID_PATTERN)),
         ("number:amount", F.isnan(amount) | (F.abs(amount) == F.lit(float("inf")))),
         ("minimum:amount", amount < F.lit(0.0)),
+        ("maximum:amount", ~F.isnan(amount) & (amount != F.lit(float("inf"))) & (amount >= F.lit(S.AMOUNT_LIMIT))),
         ("length:currency", F.length(c("currency")) != 3),
         ("enum:merchant_category", ~c("merchant_category").isin(*S.CATEGORY_ENUM)),
         ("enum:card_type", ~c("card_type").isin(*S.CARD_TYPE_ENUM)),
         ("pattern:card_last4", ~c("card_last4").rlike(S.CARD_LAST4_PATTERN)),
-        ("format:timestamp", ~c("timestamp").rlike(DATETIME_PATTERN)),
+        ("format:timestamp", ~c("timestamp").rlike(DATETIME_PATTERN)
+         | (c("timestamp").isNotNull() & parse_event_time(c("timestamp")).isNull())),
     ]
     return out
 
@@ -47,6 +58,11 @@ def validate(df: DataFrame, out: str = "violations") -> DataFrame:
     return df.withColumn(out, violations()).withColumn("is_valid", F.col(out) == "")
 
 
+def blocked(violations_col: str = "violations") -> Column:
+    """True if any violation of the row is blocking."""
+    return F.arrays_overlap(F.split(F.col(violations_col), ","), F.array(*[F.lit(b) for b in BLOCKING]))
+
+
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows).  Both come from one validated plan."""
     v = validate(df)

@@ -18,7 +18,7 @@ def to_transactions_table(enriched: DataFrame, created_at=None) -> DataFrame:
     """The ``transactions`` table: decimals, defaults ('USD', FALSE), ``created_at``."""
     return enriched.select(
         "transaction_id", "user_id",
-        F.col("amount").cast(S.AMOUNT_TYPE).alias("amount"),
+        F.col("amount").try_cast(S.AMOUNT_TYPE).alias("amount"),
         F.coalesce(F.col("currency"), F.lit("USD")).alias("currency"),
         "merchant_id", "merchant_name", "merchant_category", "merchant_country",
         "card_type", "card_last4", "event_time",
@@ -34,7 +34,7 @@ def to_alerts_table(alerts: DataFrame, created_at=None) -> DataFrame:
     """The ``fraud_alerts`` table with unreviewed review columns."""
     return alerts.select(
         "transaction_id", "user_id",
-        F.col("amount").cast(S.AMOUNT_TYPE).alias("amount"),
+        F.col("amount").try_cast(S.AMOUNT_TYPE).alias("amount"),
         "merchant_category", "merchant_country", "final_rule",
         F.col("fraud_confidence").cast(S.CONFIDENCE_TYPE).alias("fraud_confidence"),
         "fraud_reason", "alert_time",

@@ -14,9 +14,10 @@ third of all rows only contributes one partial count per (window, map task).
 (already filtered, small) are expanded to the panes they cover, where a pane is
 ``gcd(window, slide)`` long, and transactions equi-join on (user, pane).  A hot
 user is spread over its panes instead of landing in one task.  ``trailing``
-partitions by (user, time bucket of one range) and copies each row into the
-next bucket with its payload nulled, so no group holds more than two buckets
-of one user's rows.
+partitions by (user, time bucket of one range), with a copy of each row in the
+next bucket and a marker at its range's start (payload nulled in both); its
+windows are running sums, so the work is linear in the rows, and no group holds
+more than two buckets of one user's rows.  ``trailing_split`` also splits those.
 """
 
 from __future__ import annotations
@@ -27,13 +28,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch import schema as S
-from cardwatch.functions import epoch_micros, interval_micros
+from cardwatch.functions import epoch_micros, from_epoch_micros, interval_micros
 
 
 def windows(df: DataFrame, window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
             threshold: int = S.VELOCITY_MAX_TRANSACTIONS, user: str = "user_id",
             time: str = "event_time") -> DataFrame:
-    """(user, window_start, window_end, txn_count) for windows with more than ``threshold`` events."""
+    """(user, window_start, window_end, txn_count) for windows with more than ``threshold`` events.
+
+    Events are counted per (user, pane) first; only these counts, not the
+    events, go to the window/slide windows that contain their pane.
+    """
+    g, _ = _pane_us(window, slide)
+    w_us, s_us = interval_micros(window), interval_micros(slide)
+    panes = df.groupBy(F.col(user), pane_of(F.col(time), g).alias("_pane")).agg(F.count(F.lit(1)).alias("_n"))
+    begin = F.col("_pane") * F.lit(g)
+    last = F.floor(begin / F.lit(s_us))
+    first = F.ceil((begin + F.lit(g - w_us)) / F.lit(s_us))
+    counts = (panes.select(user, "_n", F.explode(F.sequence(first, last)).alias("_k"))
+              .groupBy(user, "_k").agg(F.sum("_n").alias("txn_count")).where(F.col("txn_count") > threshold))
+    start = F.col("_k") * F.lit(s_us)
+    return counts.select(F.col(user), from_epoch_micros(start).alias("window_start"),
+                         from_epoch_micros(start + F.lit(w_us)).alias("window_end"), F.col("txn_count"))
+
+
+def stream_windows(df: DataFrame, window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
+                   threshold: int = S.VELOCITY_MAX_TRANSACTIONS, user: str = "user_id",
+                   time: str = "event_time") -> DataFrame:
+    """:func:`windows` of a watermarked stream: one stateful ``F.window`` count, as append mode needs it."""
     counts = (df.groupBy(F.window(F.col(time), window, slide).alias("window"), F.col(user))
               .agg(F.count(F.lit(1)).alias("txn_count")))
     return (counts.where(F.col("txn_count") > threshold)
@@ -97,15 +119,15 @@ def flag_by_expansion(txn: DataFrame, window: str = S.VELOCITY_WINDOW, slide: st
                       threshold: int = S.VELOCITY_MAX_TRANSACTIONS, user: str = "user_id",
                       time: str = "event_time", key: str = "transaction_id") -> DataFrame:
     """Alternative to :func:`flag` for comparison: expand each transaction to its
-    windows, count per (user, window) with a window function, take the max per
+    windows, count per (user, window) with partial aggregates, take the max per
     transaction.  Replicates rows window/slide times; kept for the bench."""
     w_us, s_us = interval_micros(window), interval_micros(slide)
     n = -(-w_us // s_us)
     last = F.floor(epoch_micros(F.col(time)) / F.lit(s_us))
     starts = (txn.select(key, user, time, F.explode(F.sequence(last - F.lit(n - 1), last)).alias("_ws"))
               .where(epoch_micros(F.col(time)) < F.col("_ws") * F.lit(s_us) + F.lit(w_us)))
-    counted = starts.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy(user, "_ws")))
-    per_txn = (counted.groupBy(key).agg(F.max(F.when(F.col("_c") > threshold, F.col("_c"))).alias("txn_count")))
+    bursts = (starts.groupBy(user, "_ws").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > threshold))
+    per_txn = starts.join(bursts, [user, "_ws"]).groupBy(key).agg(F.max("_c").alias("txn_count"))
     return (txn.drop("txn_count", "velocity_fraud").join(per_txn, key, "left")
             .withColumn("velocity_fraud", F.col("txn_count").isNotNull()))
 
@@ -123,13 +145,24 @@ def trailing(df: DataFrame, range_: str = S.VELOCITY_WINDOW, threshold: int = S.
     payload = [c for c in df.columns if c != user]
     us = epoch_micros(F.col(time))
     rows = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / F.lit(w_us)))
-    both = F.array(F.struct(F.col("_b").alias("bk"), F.lit(True).alias("anchor")),
-                   F.struct((F.col("_b") + 1).alias("bk"), F.lit(False).alias("anchor")))
-    exp = rows.select(F.col(user), "_us", *payload, F.explode(both).alias("_e"))
-    exp = exp.select(F.col(user), "_us", F.col("_e.bk").alias("_bk"), F.col("_e.anchor").alias("_anchor"),
-                     *[F.when(F.col("_e.anchor"), F.col(c)).alias(c) for c in payload])
-    w = Window.partitionBy(user, "_bk").orderBy("_us").rangeBetween(-lower, 0)
-    out = exp.withColumn(count_col, F.count(F.lit(1)).over(w)).where(F.col("_anchor"))
+    # Three rows per event: itself, its copy for the next bucket, and a marker at the start of its range.
+    entry = lambda bk, pos, kind: F.struct(bk.alias("bk"), pos.alias("pos"), F.lit(kind).alias("kind"))
+    entries = F.array(entry(F.col("_b"), F.col("_us"), 0), entry(F.col("_b") + 1, F.col("_us"), 1),
+                      entry(F.col("_b"), F.col("_us") - F.lit(lower), 2))
+    own = F.col("_e.kind") == 0
+    exp = rows.select(F.col(user), "_us", *payload, F.explode(entries).alias("_e")).select(
+        F.col(user), "_us", F.col("_e.bk").alias("_bk"), F.col("_e.pos").alias("_pos"), F.col("_e.kind").alias("_kind"),
+        *[F.when(own, F.col(c)).alias(c) for c in payload])
+    # Running counts only (no frame is counted again per row): events up to here, and events before here.
+    run = Window.partitionBy(user, "_bk").orderBy("_pos")
+    one = F.when(F.col("_kind") < 2, 1).otherwise(0)
+    upto = F.sum(one).over(run.rangeBetween(Window.unboundedPreceding, 0))
+    before = F.coalesce(F.sum(one).over(run.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # The marker's number meets its event's by the event time, inside the same partitions.
+    same = Window.partitionBy(user, "_bk", "_us")
+    out = (exp.withColumns({"_upto": upto, "_before": before})
+           .withColumn("_skipped", F.max(F.when(F.col("_kind") == 2, F.col("_before"))).over(same))
+           .where(F.col("_kind") == 0).withColumn(count_col, F.col("_upto") - F.col("_skipped")))
     out = out.withColumn(flag_col, F.col(count_col) > threshold)
     return out.select(*df.columns, count_col, flag_col)
 

@@ -20,11 +20,6 @@ def _merchants_values() -> str:
     return ", ".join(f"('{m}', '{n}', '{c}', '{k}')" for m, n, c, k in FIXTURE_MERCHANTS)
 
 
-def _box(axis: int, part: int) -> str:
-    whens = " ".join(f"when '{c}' then {_d(b[axis][part])}" for c, b in S.COUNTRY_BOXES.items())
-    return f"case merchant_country {whens} else {_d(S.COUNTRY_BOXES['US'][axis][part])} end"
-
-
 def _threshold() -> str:
     whens = " ".join(f"when '{c}' then {_d(v)}" for c, v in S.CATEGORY_THRESHOLDS.items())
     return f"(case merchant_category {whens} else {_d(S.DEFAULT_THRESHOLD)} end)"
@@ -47,8 +42,8 @@ b2 as (
   from base b left join merchants m on b.merchant_id = m.merchant_id),
 txn_all as (
   select
-    '00000000-0000-4000-8000-' || lpad(cast(event_id as varchar), 12, '0') as transaction_id,
-    'USR_' || lpad(cast(user_num as varchar), 5, '0') as user_id,
+    '00000000-0000-4000-8000-' || lpad(cast(event_id as varchar), cast(greatest(12, length(cast(event_id as varchar))) as integer), '0') as transaction_id,
+    'USR_' || lpad(cast(user_num as varchar), cast(greatest(5, length(cast(user_num as varchar))) as integer), '0') as user_id,
     amount,
     case when merchant_country = 'US' then 'USD' when merchant_country = 'UK' then 'GBP' else 'EUR' end as currency,
     merchant_id, merchant_name, merchant_category, merchant_country,
@@ -57,11 +52,9 @@ txn_all as (
     strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '+00:00' as "timestamp",
     case when event_id % 20 = 0 then null
          else 'DEV_' || lpad(cast((user_num * 2) % 10000 + 1 as varchar), 6, '0') end as device_id,
-    case when merchant_category = 'online' then
-      cast(user_num % 254 + 1 as varchar) || '.' || cast(event_id % 256 as varchar) || '.' ||
-      cast(user_num % 256 as varchar) || '.' || cast(event_id % 254 + 1 as varchar) end as ip_address,
-    {_box(0, 0)} + (cast((event_id * 37) % 1000 as double) * ({_box(0, 1)} - {_box(0, 0)})) / {_d(1000.0)} as latitude,
-    {_box(1, 0)} + (cast((event_id * 53) % 1000 as double) * ({_box(1, 1)} - {_box(1, 0)})) / {_d(1000.0)} as longitude,
+    case when merchant_category = 'online' then '192.0.2.' || cast(event_id % 254 + 1 as varchar) end as ip_address,
+    cast((event_id * 37) % 1000 as double) / {_d(1000.0)} * {_d(120.0)} - {_d(60.0)} as latitude,
+    cast((event_id * 53) % 1000 as double) / {_d(1000.0)} * {_d(360.0)} - {_d(180.0)} as longitude,
     merchant_country <> home_country as is_international,
     (amount > {_d(S.EXTREME_AMOUNT)})
       or (home_country = 'US' and merchant_country <> 'US' and amount > {_d(S.GEO_MIN_AMOUNT)})
@@ -139,8 +132,8 @@ alerts_table as (
   from alerts),
 reviews as (
   select transaction_id, true as reviewed, alert_time + interval '1 hour' as reviewed_at,
-    cast(substring(transaction_id, 25, 12) as bigint) % 4 <> 0 as true_positive
-  from alerts_table where cast(substring(transaction_id, 25, 12) as bigint) % 3 = 0),
+    cast(substring(transaction_id, 25) as bigint) % 4 <> 0 as true_positive
+  from alerts_table where cast(substring(transaction_id, 25) as bigint) % 3 = 0),
 reviewed_alerts as (
   select a.transaction_id, a.user_id, a.amount, a.merchant_category, a.merchant_country, a.final_rule,
     a.fraud_confidence, a.fraud_reason, a.alert_time,
@@ -172,14 +165,15 @@ defective as (
          when event_id % 40 = 8 then 'txn-' || cast(event_id as varchar) else transaction_id end as transaction_id,
     user_id,
     case when event_id % 40 = 0 then -amount when event_id % 40 = 1 then cast('nan' as double)
-         when event_id % 40 = 9 then null else amount end as amount,
+         when event_id % 40 = 9 then null when event_id % 40 = 10 then cast(1e12 as double) else amount end as amount,
     case when event_id % 40 = 2 then 'USDX' else currency end as currency,
     merchant_id, merchant_name,
     case when event_id % 40 = 4 then 'casino' else merchant_category end as merchant_category,
     merchant_country,
     case when event_id % 40 = 7 then 'prepaid' else card_type end as card_type,
     case when event_id % 40 = 3 then '12a4' else card_last4 end as card_last4,
-    case when event_id % 40 = 5 then 'not-a-time' else "timestamp" end as "timestamp",
+    case when event_id % 40 = 5 then 'not-a-time' when event_id % 40 = 11 then '2024-02-30T10:00:00Z'
+         when event_id % 40 = 12 then lower("timestamp") else "timestamp" end as "timestamp",
     is_international
   from txn_all),
 validated as (
@@ -187,8 +181,12 @@ validated as (
 validated2 as (select *, violations = '' as is_valid from validated)"""
 
 
+UUID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+DATETIME_PATTERN = ("^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?"
+                    "([Zz]|[+-][0-9]{2}:?[0-9]{2})?$")
+
+
 def _checks_sql() -> str:
-    from cardwatch.operators.quality import DATETIME_PATTERN, UUID_PATTERN
     parts = [f"case when {f if f != 'timestamp' else chr(34) + 'timestamp' + chr(34)} is null then 'missing:{f}' end"
              for f in S.REQUIRED_FIELDS]
     cats = ", ".join(f"'{c}'" for c in S.CATEGORY_ENUM)
@@ -197,11 +195,13 @@ def _checks_sql() -> str:
         f"case when not regexp_matches(transaction_id, '{UUID_PATTERN}') then 'format:transaction_id' end",
         "case when isnan(amount) or isinf(amount) then 'number:amount' end",
         f"case when amount < {_d(0.0)} then 'minimum:amount' end",
+        "case when not isnan(amount) and not isinf(amount) and amount >= cast(1e10 as double) then 'maximum:amount' end",
         "case when length(currency) <> 3 then 'length:currency' end",
         f"case when merchant_category not in ({cats}) then 'enum:merchant_category' end",
         f"case when card_type not in ({cards}) then 'enum:card_type' end",
         f"case when not regexp_matches(card_last4, '{S.CARD_LAST4_PATTERN}') then 'pattern:card_last4' end",
-        f"case when not regexp_matches(\"timestamp\", '{DATETIME_PATTERN}') then 'format:timestamp' end",
+        f"case when not regexp_matches(\"timestamp\", '{DATETIME_PATTERN}') "
+        "or try_cast(upper(\"timestamp\") as timestamptz) is null and \"timestamp\" is not null then 'format:timestamp' end",
     ]
     return ", ".join(parts)
 

@@ -99,18 +99,17 @@ def amount_histogram(txn_table: DataFrame, bins: int = 60, max_amount: float | N
     """Equal-width histogram per label over that label's own [min, max]; last bin closed.
 
     The input is first counted per (label, amount) with partial aggregation,
-    so the join and the binning work on one row per distinct amount (cents
-    in the transactions table), not per transaction.  The range table has one
-    row per label value, a proven bound for its broadcast.  The input is read
-    by both branches; on the stored table that is two narrow column scans.
+    so the ranges (a window over that small table) and the binning work on one
+    row per distinct amount (cents in the transactions table), not per
+    transaction, and the input is read once.
     """
     rows = txn_table
     if max_amount is not None:
         rows = rows.where(F.col("amount") < F.lit(max_amount))
     pts = (rows.select(F.col(label), F.col("amount").cast("double").alias("a"))
            .groupBy(label, "a").agg(F.count(F.lit(1)).alias("n")))
-    ranges = pts.groupBy(label).agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
-    j = pts.join(F.broadcast(ranges), label)
+    own = Window.partitionBy(label)
+    j = pts.withColumns({"lo": F.min("a").over(own), "hi": F.max("a").over(own)})
     span = F.col("hi") - F.col("lo")
     b = F.when(span > 0, F.least(F.floor((F.col("a") - F.col("lo")) * F.lit(float(bins)) / span),
                                  F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")

@@ -50,7 +50,7 @@ def parse_event_time(text: Column) -> Column:
     ``try_to_timestamp`` honours the text's own offset; the absolute instant
     is then written as UTC wall-clock time so no session zone leaks in.
     """
-    return to_utc_ntz(F.try_to_timestamp(text))
+    return to_utc_ntz(F.try_to_timestamp(F.upper(text)))  # a lower-case t or z is allowed
 
 
 def with_event_time(df: DataFrame, text: str = "timestamp", out: str = "event_time") -> DataFrame:

@@ -25,22 +25,19 @@ def home_country_of(user_num: Column) -> Column:
             .when(user_num % 3 == 1, F.lit("UK")).otherwise(F.lit("CA")))
 
 
+def padded(num: Column, width: int) -> Column:
+    """Decimal text with leading zeros up to ``width``; longer numbers keep all digits, so keys stay unique."""
+    text = num.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def user_key(user_num: Column) -> Column:
-    return F.concat(F.lit("USR_"), F.lpad(user_num.cast("string"), 5, "0"))
+    return F.concat(F.lit("USR_"), padded(user_num, 5))
 
 
 def transaction_key(event_id: Column) -> Column:
     """UUID-shaped id from the event id (version-4 layout, zero-padded)."""
-    return F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(event_id.cast("string"), 12, "0"))
-
-
-def _box(country: str, axis: int, event_id: str, mult: int) -> Column:
-    """A point inside the country's box, spread by the event id (one SQL expression)."""
-    def case(part: int) -> str:
-        whens = " ".join(f"WHEN '{c}' THEN {b[axis][part]!r}D" for c, b in S.COUNTRY_BOXES.items())
-        return f"(CASE {country} {whens} ELSE {S.COUNTRY_BOXES['US'][axis][part]!r}D END)"
-    lo, hi = case(0), case(1)
-    return F.expr(f"{lo} + (CAST(({event_id} * {mult}) % 1000 AS DOUBLE) * ({hi} - {lo})) / 1000.0D")
+    return F.concat(F.lit("00000000-0000-4000-8000-"), padded(event_id, 12))
 
 
 def transactions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
@@ -53,7 +50,7 @@ def transactions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False)
         F.concat(F.lit("MCH_"), F.lpad((e % 13 + 1).cast("string"), 3, "0")).alias("merchant_id"),
         (F.floor(F.col("value") * F.lit(2000.0) + F.lit(0.5)) / F.lit(100.0)).alias("amount"),
     )
-    df = enrich.merchant(base, merchants, literal_rows=len(FIXTURE_MERCHANTS))
+    df = enrich.merchant(base, merchants)
     cat, country = F.col("merchant_category"), F.col("merchant_country")
     home = home_country_of(F.col("user_num"))
     df = df.select(
@@ -68,11 +65,9 @@ def transactions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False)
         F.when(e % 20 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("DEV_"), F.lpad(((F.col("user_num") * 2) % 10000 + 1).cast("string"), 6, "0")))
          .alias("device_id"),
-        F.when(cat == "online", F.concat_ws(".", (F.col("user_num") % 254 + 1).cast("string"),
-                                            (e % 256).cast("string"), (F.col("user_num") % 256).cast("string"),
-                                            (e % 254 + 1).cast("string"))).alias("ip_address"),
-        _box("merchant_country", 0, "event_id", 37).alias("latitude"),
-        _box("merchant_country", 1, "event_id", 53).alias("longitude"),
+        F.when(cat == "online", F.concat(F.lit("192.0.2."), (e % 254 + 1).cast("string"))).alias("ip_address"),
+        ((e * 37) % 1000 / F.lit(1000.0) * F.lit(120.0) - F.lit(60.0)).alias("latitude"),
+        ((e * 53) % 1000 / F.lit(1000.0) * F.lit(360.0) - F.lit(180.0)).alias("longitude"),
         (country != home).alias("is_international"),
         home.alias("home_country"),
         "event_time", "event_id",
@@ -91,8 +86,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_number(transaction_id: Column) -> Column:
-    """Inverse of :func:`transaction_key` (last 12 characters as a number)."""
-    return F.substring(transaction_id, 25, 12).cast("bigint")
+    """Inverse of :func:`transaction_key` (all characters after the fixed part, as a number)."""
+    return F.substring(transaction_id, F.lit(25), F.length(transaction_id)).cast("bigint")
 
 
 def reviews(alerts: DataFrame) -> DataFrame:

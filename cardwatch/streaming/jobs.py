@@ -66,7 +66,7 @@ def score(txn: DataFrame, rules: R.RuleSet | None = None) -> DataFrame:
 def velocity_windows(txn: DataFrame, window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
                      threshold: int = S.VELOCITY_MAX_TRANSACTIONS) -> DataFrame:
     """Burst windows (user_id, window_start, window_end, txn_count) of a watermarked stream."""
-    out = velocity.windows(txn, window, slide, threshold)
+    out = velocity.stream_windows(txn, window, slide, threshold)
     return out.select("user_id", as_wall_clock("window_start").alias("window_start"),
                       as_wall_clock("window_end").alias("window_end"), "txn_count")
 
