@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardwatch import schema as S
 from cardwatch.operators import enrich, feedback, quality, rules, tables, velocity, verdict
 from cardwatch.plans import reports
 from cardwatch.sources import codec, fixtures, sinks
@@ -61,7 +62,7 @@ def reviewed_alerts(spark, d) -> DataFrame:
     return feedback.apply(a, fixtures.reviews(a))
 
 
-def defective_records(spark, d) -> DataFrame:
+def defective_records(spark, d, keep_event_id: bool = False) -> DataFrame:
     """F1 with defects in 13 of 40 events (kinds 0-12 by event id; 12 is a valid lower-case time), as JSON text."""
     t = fixtures.transactions(spark, d, keep_event_id=True)
     k = F.col("event_id") % 40
@@ -76,6 +77,9 @@ def defective_records(spark, d) -> DataFrame:
                      .when(k == 8, F.concat(F.lit("txn-"), F.col("event_id").cast("string")))
                      .otherwise(F.col("transaction_id")))
          .withColumn("card_type", F.when(k == 7, F.lit("prepaid")).otherwise(F.col("card_type"))))
+    if keep_event_id:
+        fields = [f for f in S.TRANSACTION_FIELDS if f != "device_id"]
+        return t.select("event_id", F.col("user_id").alias("key"), codec.json_value(fields).alias("value"))
     return codec.encode(t)
 
 

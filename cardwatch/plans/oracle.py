@@ -161,6 +161,7 @@ ALERTS_DOUBLE = ("transaction_id, user_id, cast(amount as double) as amount, mer
 DEFECTIVE_CTE = f"""
 defective as (
   select
+    event_id,
     case when event_id % 40 = 6 then null
          when event_id % 40 = 8 then 'txn-' || cast(event_id as varchar) else transaction_id end as transaction_id,
     user_id,
@@ -366,22 +367,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 # ----------------------------------------------------------------- streaming
-# Append mode emits what the final watermark has closed.  The watermark is
-# the newest event time truncated to milliseconds minus the delay (1 hour);
-# a window is out when its end is at or before it; a transaction with no
-# burst is out once event_time + window is at or before it.
-STREAM_CTE = """
-wmark as (select date_trunc('millisecond', max(ts)) - interval '1 hour' as wm from events),
-closed as (select b.* from bursts b, wmark where b.window_end <= wm),
-cflag as (
-  select t.transaction_id, max(c.txn_count) as txn_count
-  from txn t join closed c on t.user_id = c.user_id
-   and t.event_time >= c.window_start and t.event_time < c.window_end
-  group by t.transaction_id),
-emitted as (
-  select transaction_id from cflag
-  union select transaction_id from txn, wmark where event_time + interval '24 hours' <= wm)"""
-
+# A replay ends with a row that closes everything open, so the results are
+# those of the whole table; only rows that arrive late are missing.
 LATE_CTE = """
 rng as (select min(epoch_us(event_time)) as lo, max(epoch_us(event_time)) as hi from txn),
 on_time as (
@@ -395,34 +382,38 @@ late_bursts as (
 
 
 def stream_oracle_sql() -> dict[str, str]:
-    E = _with(TXN_CTE, ENRICHED_CTE, STREAM_CTE)
+    E = _with(TXN_CTE, ENRICHED_CTE)
     sql = {}
     sql["stream_decode"] = (f"{_with(TXN_CTE)} select {WIRE}, date_trunc('second', event_time) as event_time, "
                             "event_time as ingest_time from txn")
     sql["stream_stateless"] = (f"{_with(TXN_CTE, SCORED_CTE)} select transaction_id, stateless_fraud, fraud_rule, "
                                "fraud_confidence, fraud_reason from scored")
-    sql["stream_velocity_windows"] = f"{E} select user_id, window_start, window_end, txn_count from closed"
+    sql["stream_velocity_windows"] = f"{E} select user_id, window_start, window_end, txn_count from bursts"
     sql["stream_velocity_alerts"] = (f"{E} select transaction_id, user_id, amount, merchant_category, merchant_country, "
                                      f"'{S.RULE_VELOCITY}' as final_rule, fraud_confidence, fraud_reason, "
                                      "event_time as alert_time from scored "
-                                     "where transaction_id in (select transaction_id from cflag)")
-    sql["stream_transactions_table"] = (f"{E} select {TXN_TABLE_DOUBLE} from txn_table "
-                                        "where transaction_id in (select transaction_id from emitted)")
-    sql["stream_alerts_table"] = (f"{E} select {ALERTS_DOUBLE} from alerts_table "
-                                  "where transaction_id in (select transaction_id from emitted)")
+                                     "where transaction_id in (select transaction_id from vflag)")
+    sql["stream_transactions_table"] = f"{E} select {TXN_TABLE_DOUBLE} from txn_table"
+    sql["stream_alerts_table"] = f"{E} select {ALERTS_DOUBLE} from alerts_table"
     early = ("select transaction_id, user_id, cast(cast(amount as decimal(12,2)) as double) as amount, "
              "merchant_category, merchant_country, fraud_rule as final_rule, "
              "cast(cast(fraud_confidence as decimal(5,3)) as double) as fraud_confidence, fraud_reason, "
              "event_time as alert_time, false as reviewed, cast(null as timestamp) as reviewed_at, "
              "cast(null as boolean) as true_positive, timestamp '2024-02-01 00:00:00' as created_at "
              "from scored where stateless_fraud")
-    sql["stream_current_alerts"] = (f"{E}, final_a as (select {ALERTS_DOUBLE} from alerts_table "
-                                    "where transaction_id in (select transaction_id from emitted)), "
+    sql["stream_current_alerts"] = (f"{E}, final_a as (select {ALERTS_DOUBLE} from alerts_table), "
                                     f"early_a as ({early}) "
                                     "select * from final_a union all select * from early_a "
                                     "where transaction_id not in (select transaction_id from final_a)")
     sql["stream_early_alerts"] = f"{E}, early_a as ({early}) select * from early_a"
-    sql["stream_late_data"] = (f"{_with(TXN_CTE, BURSTS_CTE, STREAM_CTE, LATE_CTE)} "
-                               "select user_id, window_start, window_end, txn_count from late_bursts, wmark "
-                               "where window_end <= wm")
+    sql["stream_late_data"] = (f"{_with(TXN_CTE, LATE_CTE)} "
+                               "select user_id, window_start, window_end, txn_count from late_bursts")
+    sql["stream_progress"] = "select count(*) as input_rows from events"
+    blocking = ", ".join(f"'{b}'" for b in ("missing:transaction_id", "missing:user_id", "missing:amount", "missing:timestamp",
+                                            "number:amount", "maximum:amount", "format:timestamp"))
+    every = ",".join(f"missing:{f}" for f in S.REQUIRED_FIELDS)
+    sql["stream_pipeline_audit"] = (
+        f"{_validated_with()}, outcome as (select event_id, case when event_id % 40 = 13 then '{every}' else violations end as violations "
+        "from (select v.violations, v.event_id from validated v) x) select event_id, violations from outcome "
+        f"where list_has_any(string_split(violations, ','), [{blocking}])")
     return sql

@@ -5,8 +5,9 @@ time-ordered files (``stage_in_time_order``), runs a Structured Streaming
 query with ``availableNow`` into a sink in a fresh folder under the session's
 checkpoint directory, and returns the sink read as a batch DataFrame.  The
 window, slide and threshold are the batch fixture's (24 h / 4 h / > 6) with a
-1 h watermark delay.  Append mode emits what the final watermark has closed,
-so the DuckDB oracles apply the same cut (see ``plans.oracle``).
+1 h watermark delay.  A bounded replay ends with one far later row, whose
+watermark closes every window and join that is still open, so the results are
+those of the whole table.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from cardwatch.streaming import sources as stream_sources
 
 STREAM_DELAY = "1 hour"
 STREAM_SLICES = 4
+CLOSE_AFTER = "3 days"  # longer than window, slide and delay together
 WINDOW, SLIDE, THRESHOLD = "24 hours", "4 hours", 6
 STREAM_CREATED_AT = "2024-02-01 00:00:00"
 
@@ -33,16 +35,16 @@ def _folder(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "cardwatch-streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _staged(spark: SparkSession, frame: DataFrame, name: str, oldest_last: bool = False) -> str:
+def _staged(spark: SparkSession, frame: DataFrame, name: str, oldest_last: bool = False, close: bool = False) -> DataFrame:
     order = list(range(1, STREAM_SLICES)) + [0] if oldest_last else None
-    return stream_sources.stage_in_time_order(frame, "event_time", _folder(spark, f"stage-{name}"),
-                                              STREAM_SLICES, order)
+    glob, files = stream_sources.stage_in_time_order(frame, "event_time", _folder(spark, f"stage-{name}"), STREAM_SLICES, order,
+                                                     CLOSE_AFTER if close else None)
+    return stream_sources.file_stream(spark, glob, frame.schema, max_files_per_trigger=files)
 
 
-def _txn_stream(spark: SparkSession, d: str, oldest_last: bool = False) -> DataFrame:
-    frame = fixtures.transactions(spark, d)
-    glob = _staged(spark, frame, "txn", oldest_last)
-    return stream_sources.file_stream(spark, glob, frame.schema, max_files_per_trigger=1)
+def _txn_stream(spark: SparkSession, d: str, oldest_last: bool = False, close: bool = False) -> DataFrame:
+    """The fixture's transactions as a stream; ``close`` for queries that wait for the watermark."""
+    return _staged(spark, fixtures.transactions(spark, d), "txn", oldest_last, close)
 
 
 def _drain(df: DataFrame, name: str, foreach_batch=None):
@@ -67,8 +69,7 @@ def q_stream_decode(spark, d):
     """JSON records (key, value, broker timestamp) -> typed wire fields + parsed event time."""
     t = fixtures.transactions(spark, d)
     kv = t.select(F.col("user_id").alias("key"), codec.json_value().alias("value"), "event_time")
-    glob = _staged(spark, kv, "json")
-    raw = stream_sources.file_stream(spark, glob, kv.schema, max_files_per_trigger=1)
+    raw = _staged(spark, kv, "json")
     raw = raw.withColumn("timestamp", jobs.as_instant("event_time")).drop("event_time")
     dec = codec.with_event_time(codec.decode(raw, ingest_time="timestamp"))
     dec = dec.withColumn("ingest_time", jobs.as_wall_clock("ingest_time"))
@@ -84,7 +85,7 @@ def q_stream_stateless(spark, d):
 
 
 def q_stream_velocity_windows(spark, d):
-    w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d), STREAM_DELAY), WINDOW, SLIDE, THRESHOLD)
+    w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, close=True), STREAM_DELAY), WINDOW, SLIDE, THRESHOLD)
     _, out = _drain(w, "velocity-windows")
     return _read(spark, out)
 
@@ -98,14 +99,14 @@ def _alerts_sink(path: str):
 
 
 def q_stream_velocity_alerts(spark, d):
-    a = jobs.velocity_alerts(jobs.watermarked(_txn_stream(spark, d), STREAM_DELAY), WINDOW, SLIDE, THRESHOLD)
+    a = jobs.velocity_alerts(jobs.watermarked(_txn_stream(spark, d, close=True), STREAM_DELAY), WINDOW, SLIDE, THRESHOLD)
     base = _folder(spark, "velocity-alerts-table")
     _drain(a, "velocity-alerts", foreach_batch=_alerts_sink(base))
     return _read(spark, base)
 
 
 def _run_pipeline(spark, d):
-    v = jobs.verdicts(jobs.watermarked(_txn_stream(spark, d), STREAM_DELAY), WINDOW, SLIDE, THRESHOLD)
+    v = jobs.verdicts(jobs.watermarked(_txn_stream(spark, d, close=True), STREAM_DELAY), WINDOW, SLIDE, THRESHOLD)
     base = _folder(spark, "pipeline-tables")
     txn_path, alerts_path = os.path.join(base, "transactions"), os.path.join(base, "fraud_alerts")
     created = F.lit(STREAM_CREATED_AT).cast("timestamp_ntz")
@@ -151,18 +152,60 @@ def q_stream_early_alerts(spark, d):
 
 def q_stream_late_data(spark, d):
     """The oldest slice arrives last: all its rows are behind the watermark and dropped."""
-    w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, oldest_last=True), STREAM_DELAY),
+    w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, oldest_last=True, close=True), STREAM_DELAY),
                               WINDOW, SLIDE, THRESHOLD)
     _, out = _drain(w, "late-data")
     return _read(spark, out)
 
 
+def _watched(spark, d) -> DataFrame:
+    watched = progress.watch(spark)
+    try:
+        w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, oldest_last=True), STREAM_DELAY),
+                                  WINDOW, SLIDE, THRESHOLD)
+        q, _ = _drain(w, "progress")
+        return progress.totals(spark, watched, q)
+    finally:
+        spark.streams.removeListener(watched)
+
+
 def q_stream_progress(spark, d):
-    """Input rows and late rows dropped, from the query's own progress reports."""
-    w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, oldest_last=True), STREAM_DELAY),
-                              WINDOW, SLIDE, THRESHOLD)
-    q, _ = _drain(w, "progress")
-    return progress.totals(spark, q)
+    """Input rows of a run, summed over all its batches by a listener."""
+    return _watched(spark, d).select("input_rows")
+
+
+def q_stream_late_rows(spark, d):
+    """State rows dropped as late when the oldest slice arrives last (their number depends on the map tasks)."""
+    return _watched(spark, d).select("late_state_rows_dropped")
+
+
+def q_stream_pipeline_audit(spark, d):
+    """Defective and good JSON records through the whole pipeline: where each record ended, and whether its text was kept.
+
+    Records are keyed by event number; each is in exactly one of the
+    transactions table and the quarantine.
+    """
+    from cardwatch.plans.catalog import defective_records
+
+    numbered = fixtures.transactions(spark, d, keep_event_id=True).select("transaction_id", "event_time", "event_id")
+    records = defective_records(spark, d, keep_event_id=True).join(numbered.select("event_id", "event_time"), "event_id")
+    value = F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(',"device_id":"E'), F.col("event_id").cast("string"), F.lit('"}'))
+    kv = records.select("key", F.when(F.col("event_id") % 40 == 13, F.concat(F.lit("not json "), F.col("event_id").cast("string")))
+                        .otherwise(value).alias("value"), "event_time")
+    raw = _staged(spark, kv, "audit")
+    base = _folder(spark, "audit")
+    paths = {k: os.path.join(base, k) for k in ("transactions", "alerts", "quarantine")}
+    queries = jobs.run(raw.drop("event_time"), paths["transactions"], paths["alerts"], os.path.join(base, "checkpoints"),
+                       quarantine_path=paths["quarantine"], window=WINDOW, slide=SLIDE, threshold=THRESHOLD,
+                       delay=STREAM_DELAY, available_now=True, state_partitions=spark.sparkContext.defaultParallelism)
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+    bad = _read(spark, paths["quarantine"])
+    number = F.coalesce(F.nullif(F.regexp_extract("raw_value", r'"device_id":"E([0-9]+)"\}$', 1), F.lit("")),
+                        F.nullif(F.regexp_extract("raw_value", r"^not json ([0-9]+)$", 1), F.lit("")))
+    return bad.select(number.cast("bigint").alias("event_id"), "violations")
 
 
 STREAM_QUERIES = {
@@ -176,4 +219,6 @@ STREAM_QUERIES = {
     "stream_early_alerts": q_stream_early_alerts,
     "stream_late_data": q_stream_late_data,
     "stream_progress": q_stream_progress,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_pipeline_audit": q_stream_pipeline_audit,
 }

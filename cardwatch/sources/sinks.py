@@ -1,7 +1,7 @@
 """Idempotent table sinks and the keyed publish projection.
 
 ``insert_if_absent`` is the Spark form of ``UNIQUE(key) ... ON CONFLICT DO
-NOTHING``: drop duplicate keys inside the batch, anti-join the keys already
+NOTHING``: keep one row per key inside the batch, anti-join the keys already
 in the target, append the rest.  A micro-batch replayed after a failure
 therefore adds nothing twice.  The anti-join reads only the key column of
 the target (column pruning) and shuffles both sides on the key.
@@ -23,38 +23,63 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "transaction_id",
-             also_on: list[str] | None = None) -> DataFrame:
+             also_on: list[str] | None = None, order_by: list[str] | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is neither repeated earlier in the batch nor in ``target``.
 
-    ``also_on`` adds columns that are a function of the key (e.g. the event
-    date a table is partitioned by) to the anti-join, which is then a join on
-    (partition, key).
+    Of several batch rows with one key the first by ``order_by`` stays, ties by
+    the hash of the whole row, so a replay keeps the same one.  NULL keys are
+    not equal to each other, as in SQL; the pipeline quarantines such records
+    before they get here.  ``also_on`` adds columns that are a function of the
+    key (e.g. the event date a table is partitioned by) to the anti-join,
+    which is then a join on (partition, key).
     """
-    fresh = batch.dropDuplicates([key])
+    cols = [F.col(c) for c in batch.columns]
+    rank = F.struct(*[F.col(c) for c in order_by or []], F.xxhash64(*cols).alias("_row_hash"))
+    keyed = batch.where(F.col(key).isNotNull())
+    first = keyed.groupBy(F.col(key).alias("_k")).agg(F.min_by(F.struct(*cols), rank).alias("_r")).select("_r.*")
+    fresh = first.unionByName(batch.where(F.col(key).isNull()))
     if target is None:
         return fresh
     on = list(also_on or []) + [key]
     return fresh.join(target.select(*on), on, "left_anti")
 
 
+def _stored(spark: SparkSession, path: str, fmt: str, schema, partition: str | None, values: list | None) -> DataFrame | None:
+    """The table at ``path`` with a known schema (so an empty table reads as no rows), or None before the first write.
+
+    With ``partition`` only the folders of ``values`` are listed.
+    """
+    if not _exists(spark, path):
+        return None
+    reader = spark.read.schema(schema).format(fmt)
+    if partition is None:
+        return reader.load(path)
+    folders = [p for p in (f"{path}/{partition}={v}" for v in values or []) if _exists(spark, p)]
+    return reader.option("basePath", path).load(folders) if folders else None
+
+
 def insert_if_absent(batch: DataFrame, path: str, key: str = "transaction_id",
                      partition_by: list[str] | None = None, fmt: str = "parquet",
-                     prune_by: str | None = None, prune_range: tuple | None = None) -> None:
-    """Append the new rows of ``batch`` to the table at ``path``.
-
-    ``path`` must be shared storage on a cluster.  With ``prune_by`` (a date
-    partition column of the table) only the target partitions between the
-    batch's first and last date are read for the anti-join, so the cost of a
-    micro-batch does not grow with the table's history.  The driver learns two
-    scalars (min, max date), nothing else; a caller that already knows a
-    covering range passes it as ``prune_range``.
+                     prune_by: str | None = None, order_by: list[str] | None = None) -> None:
+    """Append the new rows of ``batch`` to the table at ``path`` (shared storage on a cluster).
+
+    The key is unique in the whole table: the anti-join reads the key column,
+    restricted to the batch's key range (two scalars).  Where the key fixes a
+    partition column (a date written into the id, or a source that re-sends
+    unchanged), ``prune_by`` names it: then only the partitions that the batch
+    touches are listed and read, and a micro-batch's cost does not grow with
+    the table's history, at the price that a key sent again with another date
+    is a new row.
     """
     spark = batch.sparkSession
-    target = spark.read.format(fmt).load(path) if _exists(spark, path) else None
-    if target is not None and prune_by:
-        lo, hi = prune_range or batch.agg(F.min(prune_by), F.max(prune_by)).first()
-        target = target.where(F.col(prune_by).between(F.lit(lo), F.lit(hi)))
-    rows = new_rows(batch, target, key, also_on=[prune_by] if prune_by else None)
+    if prune_by:
+        dates = sorted(r[0] for r in batch.select(prune_by).distinct().collect() if r[0] is not None)  # days of one batch
+        target = _stored(spark, path, fmt, batch.schema, prune_by, dates)
+    else:
+        target = _stored(spark, path, fmt, batch.schema, None, None)
+        lo, hi = batch.agg(F.min(key), F.max(key)).first() if target is not None else (None, None)
+        target = target.where(F.col(key).between(F.lit(lo), F.lit(hi))) if lo is not None else None
+    rows = new_rows(batch, target, key, also_on=[prune_by] if prune_by else None, order_by=order_by)
     writer = rows.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -72,26 +97,51 @@ def insert_into_table(batch: DataFrame, table: str, key: str = "transaction_id")
         rows.select(*target.columns).write.insertInto(table)
 
 
+def _jdbc_table_exists(spark: SparkSession, url: str, table: str, properties: dict) -> bool:
+    """Asks the database's own metadata; a failed connection is an error, not a missing table."""
+    jvm = spark.sparkContext._jvm
+    info = jvm.java.util.Properties()
+    for k, v in properties.items():
+        info.setProperty(k, str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, info)
+    try:
+        found = connection.getMetaData().getTables(None, None, None, None)
+        while found.next():
+            if found.getString("TABLE_NAME").lower() == table.split(".")[-1].strip('"').lower():
+                return True
+        return False
+    finally:
+        connection.close()
+
+
 def jdbc_append(batch: DataFrame, url: str, table: str, properties: dict | None = None,
-                key: str | None = "transaction_id") -> None:
-    """JDBC append; with ``key`` the existing keys are anti-joined first (idempotent on replay)."""
+                key: str | None = "transaction_id", order_by: list[str] | None = None) -> None:
+    """JDBC append; with ``key`` the existing keys in the batch's key range are anti-joined first (idempotent on replay)."""
     spark = batch.sparkSession
+    options = dict(properties or {})
     rows = batch
     if key:
-        try:
-            existing = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
-                        .options(**(properties or {})).load().select(key))
-        except Exception:  # table not created yet
-            existing = None
-        rows = new_rows(batch, existing, key)
-    rows.write.format("jdbc").option("url", url).option("dbtable", table).options(**(properties or {})) \
-        .mode("append").save()
+        existing = None
+        if _jdbc_table_exists(spark, url, table, options):
+            lo, hi = batch.agg(F.min(key), F.max(key)).first()
+            existing = (spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
+                        .select(key))
+            if lo is not None:
+                existing = existing.where(F.col(key).between(F.lit(lo), F.lit(hi)))  # pushed down to the database
+        rows = new_rows(batch, existing, key, order_by=order_by)
+    rows.write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode("append").save()
 
 
-def foreach_batch_writer(write_fn, skip_empty: bool = True):
-    """foreachBatch callback: persist once, skip empty batches, write, unpersist."""
+def foreach_batch_writer(write_fn, skip_empty: bool = True, persist: bool = True):
+    """foreachBatch callback: persist once, skip empty batches, write, unpersist.
+
+    ``persist=False`` for a ``write_fn`` that persists what it makes of the batch.
+    """
 
     def _run(df: DataFrame, batch_id: int) -> None:
+        if not persist:
+            write_fn(df, batch_id)
+            return
         df = df.persist()
         try:
             if skip_empty and df.isEmpty():

@@ -121,34 +121,39 @@ def one_per_transaction(batch: DataFrame, key: str = "transaction_id") -> DataFr
 
 
 def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
-                    partition_by: str | None = "event_date") -> Callable[[DataFrame, int], None]:
+                    partition_by: str | None = "event_date", id_fixes_date: bool = False,
+                    jdbc: dict | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch callback for :func:`verdicts`: both tables from one persisted batch.
 
     Each table is keyed on ``transaction_id`` and written with
     :func:`cardwatch.sources.sinks.insert_if_absent`, so a micro-batch that is
-    replayed after a failure adds nothing twice.
+    replayed after a failure adds nothing twice.  ``id_fixes_date`` tells that an
+    id is never sent again with another date, so only the batch's dates are
+    read.  ``jdbc`` (url, properties) writes to database tables of the given
+    names instead of to files.
     """
 
+    def put(rows: DataFrame, target: str, time: str) -> None:
+        if jdbc:
+            sinks.jdbc_append(rows, jdbc["url"], target, jdbc.get("properties"), order_by=[time])
+            return
+        parts = None
+        if partition_by:
+            rows = rows.withColumn(partition_by, F.to_date(time))
+            parts = [partition_by]
+        sinks.insert_if_absent(rows, target, partition_by=parts, prune_by=partition_by if id_fixes_date else None, order_by=[time])
+
     def write(batch: DataFrame, batch_id: int) -> None:
         one = one_per_transaction(batch).persist()
         try:
-            txn_rows = tables.to_transactions_table(one, created_at)
-            alert_rows = tables.to_alerts_table(verdict.alerts(one), created_at)
-            parts, span = None, None
-            if partition_by:
-                txn_rows = txn_rows.withColumn(partition_by, F.to_date("event_time"))
-                alert_rows = alert_rows.withColumn(partition_by, F.to_date("alert_time"))
-                parts = [partition_by]
-                # Alerts are a subset of the transactions: one date range covers both.
-                span = tuple(one.agg(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first())
-            sinks.insert_if_absent(txn_rows, transactions_path, partition_by=parts, prune_by=partition_by,
-                                   prune_range=span)
-            sinks.insert_if_absent(alert_rows, alerts_path, partition_by=parts, prune_by=partition_by,
-                                   prune_range=span)
+            if one.isEmpty():
+                return
+            put(tables.to_transactions_table(one, created_at), transactions_path, "event_time")
+            put(tables.to_alerts_table(verdict.alerts(one), created_at), alerts_path, "alert_time")
         finally:
             one.unpersist()
 
-    return sinks.foreach_batch_writer(write)
+    return sinks.foreach_batch_writer(write, persist=False)
 
 
 def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str = "parquet",
@@ -183,8 +188,10 @@ def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str =
 
 
 def console(df: DataFrame, columns: list[str] | None = None, processing_time: str = S.TRIGGER_INTERVAL) -> StreamingQuery:
-    """Debug sink: selected columns to stdout, untruncated."""
+    """Debug sink: selected columns of fraud rows to stdout, untruncated."""
     cols = columns or ["transaction_id", "user_id", "amount", "merchant_category", "final_rule", "fraud_confidence"]
+    if "final_is_fraud" in df.columns:
+        df = df.where(F.col("final_is_fraud"))
     return (df.select(*cols).writeStream.format("console").option("truncate", "false")
             .outputMode("append").trigger(processingTime=processing_time).start())
 
@@ -245,16 +252,19 @@ def alerts_writer(path: str, created_at=None, partition_by: str | None = "event_
         if partition_by:
             rows = rows.withColumn(partition_by, F.to_date("alert_time"))
             parts = [partition_by]
-        sinks.insert_if_absent(rows, path, partition_by=parts, prune_by=partition_by)
+        sinks.insert_if_absent(rows, path, partition_by=parts, order_by=["alert_time"])
 
     return sinks.foreach_batch_writer(write)
 
 
 def quarantine_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch callback appending invalid records (with their violations) to ``path``."""
+    """foreachBatch callback writing blocked records (text and violations) to ``path``, one folder per batch.
+
+    A replayed batch overwrites its own folder, so nothing is there twice.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return sinks.foreach_batch_writer(write)
 
@@ -264,11 +274,16 @@ def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_roo
         threshold: int = S.VELOCITY_MAX_TRANSACTIONS, delay: str = S.WATERMARK_DELAY,
         processing_time: str = S.TRIGGER_INTERVAL, available_now: bool = False,
         console_debug: bool = False, state_partitions: int | None = None,
-        early_alerts_path: str | None = None) -> list[StreamingQuery]:
+        early_alerts_path: str | None = None, id_fixes_date: bool = False,
+        jdbc: dict | None = None) -> list[StreamingQuery]:
     """The whole pipeline on a raw (key, value, timestamp) stream, e.g. :func:`kafka_stream`.
 
-    decode -> validate (bad records to ``quarantine_path``) -> event time ->
-    watermark -> rules + velocity -> one ``foreachBatch`` writing both tables.
+    decode -> validate -> event time -> watermark -> rules + velocity -> one
+    ``foreachBatch`` writing both tables.  Records with a blocking violation
+    go to ``quarantine_path`` (by default beside the transactions table) with
+    their text; every other record reaches the transactions table.  ``jdbc``
+    writes the two tables to a database (see :func:`pipeline_writer`).  The
+    verdict query reports live counters (:mod:`cardwatch.streaming.progress`).
     Each query has its own folder under ``checkpoint_root`` (shared storage).
     ``state_partitions`` fixes the verdict query's state partitions (see
     :func:`start`).  ``early_alerts_path`` adds the stateless alert stream
@@ -280,13 +295,16 @@ def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_roo
     from cardwatch.operators import quality
     from cardwatch.sources import codec
 
-    decoded = codec.with_event_time(codec.decode(raw))
+    from cardwatch.streaming import progress
+
+    decoded = codec.with_event_time(codec.decode(raw, keep_raw=True))
     checked = quality.validate(decoded)
-    good = checked.where(F.col("is_valid")).drop("violations", "is_valid")
+    good = checked.where(~quality.blocked()).drop("violations", "is_valid", "raw_value")
+    quarantine_path = quarantine_path or f"{transactions_path.rstrip('/')}_quarantine"
     queries = []
-    v = verdicts(watermarked(good, delay), window, slide, threshold)
+    v = progress.observe(verdicts(watermarked(good, delay), window, slide, threshold), "verdicts_live")
     queries.append(start(v, os.path.join(checkpoint_root, "verdicts"),
-                         foreach_batch=pipeline_writer(transactions_path, alerts_path),
+                         foreach_batch=pipeline_writer(transactions_path, alerts_path, id_fixes_date=id_fixes_date, jdbc=jdbc),
                          processing_time=processing_time, available_now=available_now, query_name="verdicts",
                          shuffle_partitions=state_partitions))
     if early_alerts_path:
@@ -294,12 +312,9 @@ def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_roo
                              foreach_batch=alerts_writer(early_alerts_path),
                              processing_time=processing_time, available_now=available_now,
                              query_name="early_alerts"))
-    if quarantine_path:
-        bad = checked.where(~F.col("is_valid"))
-        queries.append(start(bad, os.path.join(checkpoint_root, "quarantine"),
-                             foreach_batch=quarantine_writer(quarantine_path),
-                             processing_time=processing_time, available_now=available_now,
-                             query_name="quarantine"))
-    if console_debug:
-        queries.append(console(v, processing_time=processing_time))
+    bad = checked.where(quality.blocked())
+    queries.append(start(bad, os.path.join(checkpoint_root, "quarantine"), foreach_batch=quarantine_writer(quarantine_path),
+                         processing_time=processing_time, available_now=available_now, query_name="quarantine"))
+    if console_debug:  # the stateless half only: the stateful plan runs once
+        queries.append(console(early_alerts(good), processing_time=processing_time))
     return queries

@@ -1,15 +1,17 @@
 """Live counters of a streaming query (events, alerts, rates, late rows, latency).
 
 ``observe`` adds named metrics that Spark computes inside the micro-batch
-(no extra job); ``progress_rows`` flattens ``StreamingQuery.recentProgress``,
-which is a handful of small records per batch kept by the driver anyway.
+(no extra job); ``Totals`` sums them over all batches of a run; ``progress_rows``
+flattens ``StreamingQuery.recentProgress``, which holds the latest batches only.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = ("batch_id long, num_input_rows long, input_rows_per_second double, "
                    "processed_rows_per_second double, watermark string, rows_dropped_by_watermark long, "
@@ -22,7 +24,7 @@ def observe(df: DataFrame, name: str = "live", ingest_time: str | None = "ingest
                F.count_if(F.coalesce(F.col("final_is_fraud"), F.lit(False))).alias("alerts")]
     if ingest_time and ingest_time in df.columns:
         lat = F.unix_millis(F.current_timestamp()) - F.unix_millis(F.col(ingest_time))
-        metrics.append(F.max(lat).alias("max_latency_ms"))
+        metrics += [F.max(lat).alias("max_latency_ms"), F.avg(lat).alias("avg_latency_ms")]
     return df.observe(name, *metrics)
 
 
@@ -54,15 +56,60 @@ def progress_frame(spark: SparkSession, query: StreamingQuery, observed: str = "
     return spark.createDataFrame(progress_rows(query, observed), PROGRESS_SCHEMA)
 
 
-def totals(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Run totals over the kept progress reports: input rows, and state rows dropped as late.
+class Totals(StreamingQueryListener):
+    """Running totals of every query of a session, by run id, over all its batches.
+
+    ``recentProgress`` forgets after a number of batches; a listener sees each
+    batch once and keeps one small record per run.
+    """
+
+    def __init__(self):
+        self.by_run: dict[str, dict] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.by_run.setdefault(str(event.runId), {"batches": 0, "input_rows": 0, "late_state_rows_dropped": 0, "events": 0, "alerts": 0})
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        t = self.by_run.setdefault(str(p.runId), {"batches": 0, "input_rows": 0, "late_state_rows_dropped": 0, "events": 0, "alerts": 0})
+        t["batches"] += 1
+        t["input_rows"] += int(p.numInputRows or 0)
+        t["late_state_rows_dropped"] += sum(int(o.numRowsDroppedByWatermark or 0) for o in p.stateOperators)
+        for row in (p.observedMetrics or {}).values():
+            seen = row.asDict()
+            t["events"] += int(seen.get("events") or 0)
+            t["alerts"] += int(seen.get("alerts") or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def of(self, query: StreamingQuery, wait_s: float = 30.0) -> dict:
+        """Totals of a query; for one that has ended, after its last event has arrived."""
+        run = str(query.runId)
+        until = time.monotonic() + wait_s
+        while not query.isActive and run not in self.ended and time.monotonic() < until:
+            time.sleep(0.05)
+        return dict(self.by_run.get(run, {}))
+
+
+def watch(spark: SparkSession) -> Totals:
+    """Start counting the queries of this session."""
+    listener = Totals()
+    spark.streams.addListener(listener)
+    return listener
+
+
+def totals(spark: SparkSession, watched: Totals, query: StreamingQuery) -> DataFrame:
+    """Run totals: input rows, and state rows dropped as late.
 
     Spark counts late rows at the state store, after partial aggregation, so
     for a windowed count the second number is late (window, key) groups per
     map task, not raw events.
     """
-    rows = progress_rows(query)
-    return spark.createDataFrame(
-        [(sum(int(r["num_input_rows"] or 0) for r in rows),
-          sum(int(r["rows_dropped_by_watermark"] or 0) for r in rows))],
-        "input_rows long, late_state_rows_dropped long")
+    t = watched.of(query)
+    return spark.createDataFrame([(t.get("input_rows", 0), t.get("late_state_rows_dropped", 0))],
+                                 "input_rows long, late_state_rows_dropped long")

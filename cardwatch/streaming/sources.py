@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.functions import epoch_micros
+from cardwatch.functions import epoch_micros, from_epoch_micros, interval_micros
 
 
 def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
@@ -43,24 +43,37 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def stage_in_time_order(df: DataFrame, time_col: str, folder: str, slices: int = 4,
-                        order: list[int] | None = None) -> str:
-    """Write ``df`` as ``slices`` folders of equal time span, oldest first.
+                        order: list[int] | None = None, close_after: str | None = None) -> tuple[str, int]:
+    """Write ``df`` as slices of equal time span, oldest first; returns the glob to stream and the files per slice.
 
-    The file source orders files by modification time, so writing the
-    slices one after another, one file each, and reading them with
-    ``maxFilesPerTrigger=1`` replays the events in time order: no row is late
-    to the watermark, whatever the delay.  This is a replay harness for tests
-    and back-fills; a live deployment reads Kafka.  Pick ``slices`` so one
-    slice fits a task.  The driver only learns the time range (two scalars).
-    ``order`` writes the slices in another order (e.g. oldest last, to
-    replay late data).  Returns the glob to stream from.
+    The file source orders files by modification time, so slices written one
+    after another and read with ``maxFilesPerTrigger`` = files per slice replay
+    the events in time order, a slice per micro-batch: no row is late to the
+    watermark, whatever the delay.  Every slice is written by several tasks,
+    all with the same number of files.  This is a replay harness for tests and
+    back-fills; a live deployment reads Kafka.  ``df`` is derived once, into
+    the folder.  ``order`` writes the slices in another order (e.g. oldest
+    last, to replay late data).  ``close_after`` adds a last slice of one row
+    that much later than all others: its watermark closes every window and
+    join that the replay left open, and it is never emitted itself.
     """
+    spark = df.sparkSession
+    whole = os.path.join(folder, "derived")
+    df.write.mode("errorifexists").parquet(whole)
+    df = spark.read.schema(df.schema).parquet(whole)
     lo, hi = df.agg(F.min(epoch_micros(time_col)), F.max(epoch_micros(time_col))).first()
     if lo is None:
         raise ValueError("nothing to stage: the table is empty")
     span = hi - lo + 1
     n = max(1, int(slices))
     part = F.least(F.floor((epoch_micros(time_col) - F.lit(lo)) * F.lit(n) / F.lit(span)), F.lit(n - 1))
-    for i in (order if order is not None else range(n)):
-        df.where(part == i).coalesce(1).write.mode("errorifexists").parquet(os.path.join(folder, f"slice={i:05d}"))
-    return os.path.join(folder, "slice=*")
+    smallest = min(r["count"] for r in df.groupBy(part.alias("p")).count().collect())
+    # Round-robin gives each file at least one row of a slice with this many rows.
+    files = max(1, min(spark.sparkContext.defaultParallelism, smallest // 64))
+    numbers = list(order if order is not None else range(n))
+    for i in numbers:
+        df.where(part == i).repartition(files).write.mode("errorifexists").parquet(os.path.join(folder, f"slice={i:05d}"))
+    if close_after:
+        end = from_epoch_micros(F.lit(hi + interval_micros(close_after)))
+        df.limit(1).withColumn(time_col, end).select(*df.columns).write.mode("errorifexists").parquet(os.path.join(folder, f"slice={n:05d}"))
+    return os.path.join(folder, "slice=*"), files
