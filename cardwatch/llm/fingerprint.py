@@ -173,7 +173,7 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
         return below(F.array(*[F.lit(b) for b in bounds]).cast("array<long>")) if bounds else F.lit(0)
     lasts = F.array(*[F.lit(r[-1]) for r in rows])
     table = F.array(*[F.array(*[F.lit(b) for b in r]) for r in rows])
-    return let(below(lasts), lambda k: k * step + F.coalesce(below(F.get(table, k)), F.lit(0)))
+    return let(below(lasts), lambda k: F.least(k * step + F.coalesce(below(F.get(table, k)), F.lit(0)), F.lit(len(bounds))))
 
 
 def successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
