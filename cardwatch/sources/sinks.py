@@ -97,19 +97,23 @@ def insert_into_table(batch: DataFrame, table: str, key: str = "transaction_id")
         rows.select(*target.columns).write.insertInto(table)
 
 
-def _jdbc_table_exists(spark: SparkSession, url: str, table: str, properties: dict) -> bool:
-    """Asks the database's own metadata; a failed connection is an error, not a missing table."""
+def _jdbc_type(spark: SparkSession, url: str, table: str, column: str, properties: dict) -> int | None:
+    """The JDBC type of a table's column by the database's own metadata, None if there is no such table.
+
+    A failed connection is an error, not a missing table.
+    """
     jvm = spark.sparkContext._jvm
     info = jvm.java.util.Properties()
     for k, v in properties.items():
         info.setProperty(k, str(v))
     connection = jvm.java.sql.DriverManager.getConnection(url, info)
     try:
-        found = connection.getMetaData().getTables(None, None, None, None)
+        name = table.split(".")[-1].strip('"').lower()
+        found = connection.getMetaData().getColumns(None, None, "%", "%")
         while found.next():
-            if found.getString("TABLE_NAME").lower() == table.split(".")[-1].strip('"').lower():
-                return True
-        return False
+            if found.getString("TABLE_NAME").lower() == name and found.getString("COLUMN_NAME").lower() == column.lower():
+                return int(found.getInt("DATA_TYPE"))
+        return None
     finally:
         connection.close()
 
@@ -122,12 +126,14 @@ def jdbc_append(batch: DataFrame, url: str, table: str, properties: dict | None
     rows = batch
     if key:
         existing = None
-        if _jdbc_table_exists(spark, url, table, options):
+        kind = _jdbc_type(spark, url, table, key, options)
+        if kind is not None:
             lo, hi = batch.agg(F.min(key), F.max(key)).first()
-            existing = (spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
-                        .select(key))
+            comparable = kind != spark.sparkContext._jvm.java.sql.Types.CLOB  # a database can't compare long objects itself
+            existing = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
+                        .option("pushDownPredicate", str(comparable).lower()).options(**options).load().select(key))
             if lo is not None:
-                existing = existing.where(F.col(key).between(F.lit(lo), F.lit(hi)))  # pushed down to the database
+                existing = existing.where(F.col(key).between(F.lit(lo), F.lit(hi)))
         rows = new_rows(batch, existing, key, order_by=order_by)
     rows.write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode("append").save()
 

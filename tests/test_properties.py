@@ -117,3 +117,39 @@ def test_velocity_matches_brute_force(spark):
             assert trail[tid] == sum(1 for x in mine if s - W <= x <= s), (tid, u, s)
 
     check()
+
+
+def test_long_user_numbers_stay_distinct(spark, tmp_path):
+    """User numbers above 99,999 keep all digits, so the user table joins one to one."""
+    import datetime as dt
+
+    rows = [(k, dt.datetime(2024, 1, 1, 0, 0, k % 60), u, "view", 10.0) for k, u in enumerate([123456, 123457, 12345, 7] * 3)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, kind string, value double").write.parquet(
+        str(tmp_path / "events.parquet"))
+    t = catalog.q_enrich_international(spark, str(tmp_path))
+    assert t.count() == 12 and t.select("user_id").distinct().count() == 4
+    assert {r["user_id"] for r in t.collect()} == {"USR_123456", "USR_123457", "USR_12345", "USR_00007"}
+
+
+def test_trailing_counts_take_linear_time(spark):
+    """One user's events of one day: twice the rows take about twice the time."""
+    import time
+
+    def run(n):
+        df = spark.range(n).select(F.concat(F.lit("t"), "id").alias("transaction_id"), F.lit("u").alias("user_id"),
+                                   F.timestamp_add("MICROSECOND", F.col("id") * (86_000_000_000 // n),
+                                                   F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")).alias("event_time"))
+        t0 = time.perf_counter()
+        got = velocity.trailing(df, "24 hours", 6).agg(F.max("trailing_count"), F.sum("trailing_count")).first()
+        assert got[0] == n and got[1] == n * (n + 1) // 2
+        return time.perf_counter() - t0
+
+    run(1000)
+    a, b = run(20_000), run(40_000)
+    assert b < 2 * a + 2
+
+
+def test_windows_count_panes_not_events(spark):
+    t = fixtures.transactions(spark, SF0001)
+    plan = velocity.windows(t, W, SL, TH)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan

@@ -60,13 +60,15 @@ def _drain(df, base, foreach_batch=None):
 
 def test_velocity_windows_stream(spark, scratch):
     w = jobs.velocity_windows(_stream(spark, os.path.join(scratch, "in"), dup=False), "60 seconds", "10 seconds", 6)
+    watched = progress.watch(spark)
     q = _drain(w, os.path.join(scratch, "q"))
     got = spark.read.parquet(os.path.join(scratch, "q", "out"))
     counts = sorted((r["window_start"].second + 60 * r["window_start"].minute, r["txn_count"])
                     for r in got.where(F.col("user_id") == "A").collect())
     assert max(c for _, c in counts) == 9
     assert got.where(F.col("user_id") != "A").count() == 0
-    totals = progress.totals(spark, q).first()
+    totals = progress.totals(spark, watched, q).first()
+    spark.streams.removeListener(watched)
     assert totals["input_rows"] == 18 and totals["late_state_rows_dropped"] >= 1
 
 
@@ -104,6 +106,7 @@ def test_pipeline_dual_sink_and_replay(spark, scratch):
     again = spark.read.parquet(txn_path).limit(3)
     from cardwatch.sources import sinks
     sinks.insert_if_absent(again, txn_path, partition_by=["event_date"], prune_by="event_date")
+    sinks.insert_if_absent(again, txn_path, partition_by=["event_date"])
     assert spark.read.parquet(txn_path).count() == 16
 
 
@@ -123,7 +126,7 @@ def test_run_from_json_records(spark, scratch):
     recs = []
     for r in good:
         d = dict(zip(names, r[:-1]))
-        d["transaction_id"] = "00000000-0000-4000-8000-%012d" % (abs(hash(d["transaction_id"])) % 10**12)
+        d["transaction_id"] = "00000000-0000-4000-8000-%012d" % int.from_bytes(d["transaction_id"].encode(), "big")
         recs.append((d["user_id"], json.dumps(d)))
     big = dict(zip(names, _row("BIG", "D", 100)[:-1]))
     big.update(transaction_id="00000000-0000-4000-8000-000000000999", amount=9999.0)
@@ -172,3 +175,103 @@ def test_live_counters(spark, scratch):
     assert sum(int(r["events"]) for r in rows) == 17
     assert sum(int(r["alerts"]) for r in rows) == 0
     assert progress.progress_frame(spark, q).count() == len(progress.progress_rows(q))
+
+
+NAMES = ["transaction_id", "user_id", "amount", "currency", "merchant_id", "merchant_name", "merchant_category",
+         "merchant_country", "card_type", "card_last4", "is_international", "timestamp"]
+
+
+def _record(number, **changes):
+    r = dict(zip(NAMES, _row("x", f"U{number}", number)[:-1]))
+    r["transaction_id"] = "00000000-0000-4000-8000-%012d" % number
+    return r | changes
+
+
+def _run(spark, scratch, files, **options):
+    """The whole pipeline over JSON records, one file per micro-batch; the folders it wrote to."""
+    import json
+    for k, records in enumerate(files):
+        rows = [("k", r if isinstance(r, str) else json.dumps(r)) for r in records]
+        spark.createDataFrame(rows, "key string, value string").coalesce(1).write.parquet(os.path.join(scratch, "raw", f"f={k}"))
+    raw = ss.file_stream(spark, os.path.join(scratch, "raw", "f=*"), spark.createDataFrame([], "key string, value string").schema,
+                         max_files_per_trigger=1)
+    paths = {k: os.path.join(scratch, k) for k in ("txn", "alerts", "early")}
+    for q in jobs.run(raw, paths["txn"], paths["alerts"], os.path.join(scratch, "ck"), window="60 seconds", slide="10 seconds",
+                      delay="1 second", available_now=True, early_alerts_path=paths["early"], state_partitions=2, **options):
+        q.awaitTermination()
+        assert q.exception() is None
+    return paths | {"quarantine": paths["txn"] + "_quarantine"}
+
+
+def test_pipeline_loses_no_record(spark, scratch):
+    """First batch without alerts, then every kind of bad record; the quarantine is written without being asked for."""
+    bad = [_record(1001, amount=1e12), _record(1002, timestamp="2024-02-30T10:00:00Z"), "not json {", _record(1003, user_id=None)]
+    fine = [_record(1004, timestamp="2024-01-01t00:01:30z"), _record(1005, merchant_category="casino", amount=6000.0)]
+    far = [_record(9_000, amount=9999.0)]  # its watermark closes all before it
+    p = _run(spark, scratch, [[_record(1), _record(2)], [_record(200), *bad, *fine], [_record(300, amount=9999.0)], far])
+    kept = spark.read.parquet(p["txn"]).collect()
+    assert sorted(r["transaction_id"][-4:] for r in kept) == ["0001", "0002", "0200", "0300", "1004", "1005"]
+    assert {r["transaction_id"][-4:]: r["final_rule"] for r in kept}["1005"] == "HIGH_AMOUNT"  # default threshold
+    out = spark.read.parquet(p["quarantine"]).collect()
+    assert len(out) == 4 and all(r["raw_value"] for r in out) and "not json {" in {r["raw_value"] for r in out}
+    assert sorted(r["violations"].split(",")[0] for r in out) == ["format:timestamp", "maximum:amount", "missing:transaction_id",
+                                                                    "missing:user_id"]
+
+
+def test_quarantine_batch_is_written_once(spark, scratch):
+    write = jobs.quarantine_writer(os.path.join(scratch, "q"))
+    batch = spark.createDataFrame([("x", "missing:amount")], "raw_value string, violations string")
+    for _ in range(2):
+        write(batch, 7)
+    write(batch, 8)
+    assert spark.read.parquet(os.path.join(scratch, "q")).count() == 2
+
+
+def test_an_id_sent_again_on_another_date_is_not_new(spark, scratch):
+    from cardwatch.sources import sinks
+    schema = "transaction_id string, event_time timestamp_ntz, event_date date, v int"
+    day = lambda d: (dt.datetime(2024, 1, d), dt.date(2024, 1, d))
+    path = os.path.join(scratch, "t")
+    first = spark.createDataFrame([("a", *day(1), 2), ("a", *day(2), 1), ("b", *day(1), 5)], schema)
+    sinks.insert_if_absent(first, path, partition_by=["event_date"], order_by=["event_time"])
+    again = spark.createDataFrame([("a", *day(9), 3), ("c", *day(9), 4), (None, *day(9), 6)], schema)
+    sinks.insert_if_absent(again, path, partition_by=["event_date"], order_by=["event_time"])
+    got = {r["transaction_id"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert got == {"a": 2, "b": 5, "c": 4, None: 6}
+
+
+def test_empty_first_write_leaves_a_readable_table(spark, scratch):
+    from cardwatch.sources import sinks
+    path = os.path.join(scratch, "t")
+    rows = spark.createDataFrame([("a", dt.date(2024, 1, 1))], "transaction_id string, event_date date")
+    sinks.insert_if_absent(rows.limit(0), path, partition_by=["event_date"])
+    sinks.insert_if_absent(rows, path, partition_by=["event_date"], prune_by="event_date")
+    sinks.insert_if_absent(rows, path, partition_by=["event_date"])
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_totals_cover_forgotten_batches(spark, scratch):
+    """With two kept progress reports, the totals of eight batches are still complete."""
+    for k in range(8):
+        spark.range(k * 10, k * 10 + 10).coalesce(1).write.parquet(os.path.join(scratch, "in", f"f={k}"))
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    watched = progress.watch(spark)
+    try:
+        src = ss.file_stream(spark, os.path.join(scratch, "in", "f=*"), spark.range(0).schema, max_files_per_trigger=1)
+        q = _drain(src, os.path.join(scratch, "q"))
+        assert watched.of(q)["input_rows"] == 80 and watched.of(q)["batches"] >= 8 and len(q.recentProgress) <= 2
+    finally:
+        spark.conf.set(key, before)
+        spark.streams.removeListener(watched)
+
+
+def test_staged_slices_have_several_files_and_close(spark, scratch):
+    rows = [(f"i{k}", T0 + dt.timedelta(seconds=k)) for k in range(1200)]
+    df = spark.createDataFrame(rows, "transaction_id string, event_time timestamp_ntz")
+    glob, files = ss.stage_in_time_order(df, "event_time", os.path.join(scratch, "s"), 3, close_after="1 hour")
+    assert files > 1
+    counts = [len([f for f in os.listdir(os.path.join(scratch, "s", d)) if f.endswith(".parquet")])
+              for d in sorted(os.listdir(os.path.join(scratch, "s"))) if d.startswith("slice=")]
+    assert counts == [files, files, files, 1] and spark.read.parquet(glob).count() == 1201
