@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import unicodedata
 from collections.abc import Callable
 
 import ahocorasick
@@ -35,6 +37,8 @@ from cardwatch.llm import common
 #: Pieces whose ids, and token pairs whose compatibility, a worker remembers.
 REMEMBERED = 200_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Code points below this take the fast form of the pattern.
+LATIN = 0x250
 #: White space as the merges' own library knows it; the pattern's ``\s`` stands for it.
 SPACE = r"\p{White_Space}"
 
@@ -44,6 +48,42 @@ def explicit(pattern: str) -> str:
     return pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
 
 
+def _ranges(test: Callable[[str], bool]) -> str:
+    """The Latin code points that pass a test, as the inside of a character class."""
+    out, k = "", 0
+    while k < LATIN:
+        if test(chr(k)):
+            to = k
+            while to + 1 < LATIN and test(chr(to + 1)):
+                to += 1
+            out += f"\\u{k:04x}-\\u{to:04x}"
+            k = to
+        k += 1
+    return out
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """A function that finds a text's pieces.
+
+    For texts of Latin characters the pattern's classes are written out as
+    ranges, which the standard library matches about twice as fast; any other
+    text takes the full pattern.
+    """
+    kinds = {r"\p{L}": _ranges(lambda c: unicodedata.category(c)[0] == "L"), r"\p{N}": _ranges(lambda c: unicodedata.category(c)[0] == "N"),
+             r"\s": r"\t-\r \x85\xa0"}
+    short = re.sub(r"\[[^\]]*\]", lambda m: _spelled(m[0], kinds, "{}"), pattern)
+    short = re.sub(r"(\[[^\]]*\])|(\\p\{[LN]\}|\\[sS])", lambda m: m[1] or (f"[^{kinds[chr(92) + 's']}]" if m[2] == r"\S" else f"[{kinds[m[2]]}]"), short)
+    beyond = re.compile(f"[^\\u0000-\\u{LATIN - 1:04x}]").search
+    fast, full = re.compile(short).findall, regex.compile(explicit(pattern)).findall
+    return lambda text: full(text) if beyond(text) else fast(text)
+
+
+def _spelled(part: str, kinds: dict[str, str], form: str) -> str:
+    for name, inside in kinds.items():
+        part = part.replace(name, form.format(inside))
+    return part
+
+
 def read_ranks(data: bytes) -> dict[bytes, int]:
     """Ranks from lines of a base64 token and its rank."""
     return {base64.b64decode(t): int(r) for t, r in (line.split() for line in data.splitlines() if line)}
@@ -55,7 +95,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.find = regex.compile(explicit(pattern)).findall
+        self.find = splitter(pattern)
         self.longest = max(map(len, ranks))
         self.automaton = ahocorasick.Automaton()
         for token in ranks:

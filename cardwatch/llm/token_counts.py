@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch.llm import common
-from cardwatch.llm.bpe import explicit
+from cardwatch.llm.bpe import splitter
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Merged pre-tokens that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: Bytes of a piece that is merged pair by pair.
+SHORT = 64
 
 
 def printable_bytes() -> dict[str, int]:
@@ -55,15 +57,28 @@ class Model:
 
 
 def merged_size(piece: bytes, merges: dict[tuple[bytes, bytes], int]) -> int:
-    """Number of tokens that the merges leave of a piece.
+    """Number of tokens that the merges leave of a piece: always the lowest pair, the leftmost first.
 
-    All occurrences of the lowest pair are merged from left to right in one
-    sweep, so a piece takes as many sweeps as it has different merges.
+    In a short piece one pair is merged at a time.  In a long one all
+    occurrences of the lowest pair are merged in one sweep from left to right,
+    so it takes as many sweeps as it has different merges.
     """
     parts = [piece[k:k + 1] for k in range(len(piece))]
+    none = 1 << 40
+    if len(parts) <= SHORT:
+        ranks = [merges.get(p, none) for p in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) < none:
+            k = ranks.index(low)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = merges.get((parts[k - 1], parts[k]), none)
+            if k < len(ranks):
+                ranks[k] = merges.get((parts[k], parts[k + 1]), none)
+        return len(parts)
     while len(parts) > 1:
-        rank, pair = min(((merges.get(p, 1 << 40), p) for p in set(zip(parts, parts[1:]))), key=lambda x: x[0])
-        if rank == 1 << 40:
+        rank, pair = min(((merges.get(p, none), p) for p in set(zip(parts, parts[1:]))), key=lambda x: x[0])
+        if rank == none:
             break
         out, k = [], 0
         while k < len(parts):
@@ -94,9 +109,9 @@ class Counter:
 
     def __init__(self, model: Model, pattern: str):
         self.model = model
-        self.find = regex.compile(explicit(pattern)).findall
+        self.find = splitter(pattern)
         self.split = regex.compile("|".join(regex.escape(s) for s in sorted(model.special, key=len, reverse=True))).split if model.special else None
-        self.whole = {t.decode("utf-8"): 1 for t in model.proven if _is_text(t)}
+        self.whole = frozenset(t.decode("utf-8") for t in model.proven if _is_text(t))
         self.merged: dict[str, int] = {}
 
     def size(self, piece: str) -> int:
@@ -112,10 +127,13 @@ class Counter:
             return 0
         runs = self.split(text) if self.split else [text]
         total = len(runs) - 1
-        whole, merged, size = self.whole.get, self.merged.get, self.size
+        merged, size = self.merged.get, self.size
         for run in runs:
-            for piece in self.find(run):
-                total += whole(piece) or merged(piece) or size(piece)
+            pieces = self.find(run)
+            rest = [p for p in pieces if p not in self.whole]
+            total += len(pieces) - len(rest)
+            for piece in rest:
+                total += merged(piece) or size(piece)
         return total
 
 
