@@ -36,8 +36,8 @@ WORD = re.compile(r"\S+")
 PREFIXES = (3, 4, 5, 6, 7)
 #: Tokens of one chain; longer texts are several chains.
 CHAIN = 64
-#: Distinct tokens whose features a worker remembers.
-REMEMBERED = 150_000
+#: Distinct tokens whose features a worker remembers, and the longest of them.
+REMEMBERED, LONGEST = 150_000, 64
 THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
 
@@ -57,7 +57,7 @@ def core(token: str) -> str:
 def features(token: str) -> list[str]:
     """Word, beginnings, ending and shape of one token."""
     w = core(token)
-    out = ["w=" + w]
+    out = ["w=" + w] if len(w) <= LONGEST else []
     out += [f"p{n}={w[:n]}" for n in PREFIXES if len(w) > n]
     out.append("s3=" + w[-3:])
     if any(c.isdigit() for c in w):
@@ -68,7 +68,7 @@ def features(token: str) -> list[str]:
 def cues(token: str) -> list[str]:
     """What may be a cue: the word and its longer beginnings."""
     w = core(token)
-    return ["w=" + w] + [f"p{n}={w[:n]}" for n in PREFIXES if n >= 4 and len(w) > n] if len(w) >= 3 else []
+    return ["w=" + w] + [f"p{n}={w[:n]}" for n in PREFIXES if n >= 4 and len(w) > n] if 3 <= len(w) <= LONGEST else []
 
 
 @dataclass
@@ -178,7 +178,8 @@ class Tagger:
         s = self.model.bias + sum(w.get(f, 0.0) for f in features(token))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        self.known[token] = s
+        if len(token) <= LONGEST:
+            self.known[token] = s
         return s
 
     def totals(self, texts: list[str | None], budget: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
