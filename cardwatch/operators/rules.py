@@ -192,10 +192,6 @@ def apply_rules(df: DataFrame, rules: RuleSet | None = None) -> DataFrame:
     return (rules or stateless_rules()).apply(df)
 
 
-def with_rule_column(df: DataFrame, rule: Callable[[], Column], name: str = "signal") -> DataFrame:
-    return df.withColumn(name, rule())
-
-
 def signal_names(col: Column) -> Column:
     """array<struct> of signals -> comma-joined rule names."""
     return F.array_join(F.transform(col, lambda s: s["rule_name"]), ",")

@@ -37,7 +37,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    given.  Only when it is unset (local tests) a scratch folder is created.
+    given.  Only a local master may leave it unset (tests): then a scratch
+    folder is created.  On a cluster a driver's own folder would be lost to
+    the executors, so an unset value is an error there.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -45,5 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardwatch-ckpt-"))
     return sc.getCheckpointDir()

@@ -153,3 +153,10 @@ def test_windows_count_panes_not_events(spark):
     t = fixtures.transactions(spark, SF0001)
     plan = velocity.windows(t, W, SL, TH)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_tables_have_the_stated_columns(spark):
+    from cardwatch import schema as S
+
+    assert catalog.txn_table(spark, SF0001).columns == S.TRANSACTIONS_TABLE_COLUMNS
+    assert catalog.alerts_table(spark, SF0001).columns == S.ALERTS_TABLE_COLUMNS
