@@ -414,6 +414,7 @@ def stream_oracle_sql() -> dict[str, str]:
     every = ",".join(f"missing:{f}" for f in S.REQUIRED_FIELDS)
     sql["stream_pipeline_audit"] = (
         f"{_validated_with()}, outcome as (select event_id, case when event_id % 40 = 13 then '{every}' else violations end as violations "
-        "from (select v.violations, v.event_id from validated v) x) select event_id, violations from outcome "
-        f"where list_has_any(string_split(violations, ','), [{blocking}])")
+        f"from validated), sorted as (select *, list_has_any(string_split(violations, ','), [{blocking}]) as blocked from outcome) "
+        "select event_id, case when blocked then 'quarantine' else 'transactions' end as place, "
+        "case when blocked then violations end as violations from sorted")
     return sql

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,19 +181,24 @@ def q_stream_late_rows(spark, d):
 
 
 def q_stream_pipeline_audit(spark, d):
-    """Defective and good JSON records through the whole pipeline: where each record ended, and whether its text was kept.
+    """Good and defective JSON records through the whole pipeline: where each record ended.
 
-    Records are keyed by event number; each is in exactly one of the
-    transactions table and the quarantine.
+    Records are keyed by event number, which a bad record must be traced by in
+    its kept text.  A last record far later closes everything open.
     """
     from cardwatch.plans.catalog import defective_records
 
-    numbered = fixtures.transactions(spark, d, keep_event_id=True).select("transaction_id", "event_time", "event_id")
-    records = defective_records(spark, d, keep_event_id=True).join(numbered.select("event_id", "event_time"), "event_id")
+    t = fixtures.transactions(spark, d, keep_event_id=True)
+    records = defective_records(spark, d, keep_event_id=True).join(t.select("event_id", "event_time"), "event_id")
     value = F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(',"device_id":"E'), F.col("event_id").cast("string"), F.lit('"}'))
     kv = records.select("key", F.when(F.col("event_id") % 40 == 13, F.concat(F.lit("not json "), F.col("event_id").cast("string")))
                         .otherwise(value).alias("value"), "event_time")
-    raw = _staged(spark, kv, "audit")
+    newest = t.agg(F.max("event_time")).first()[0] + timedelta(days=3)
+    last = (t.limit(1).withColumn("transaction_id", F.lit("close"))
+            .withColumn("timestamp", F.lit(newest.strftime("%Y-%m-%dT%H:%M:%S+00:00")))
+            .select(F.col("user_id").alias("key"), codec.json_value().alias("value"),
+                    F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz").alias("event_time")))
+    raw = _staged(spark, kv.unionByName(last), "audit")
     base = _folder(spark, "audit")
     paths = {k: os.path.join(base, k) for k in ("transactions", "alerts", "quarantine")}
     queries = jobs.run(raw.drop("event_time"), paths["transactions"], paths["alerts"], os.path.join(base, "checkpoints"),
@@ -202,10 +208,14 @@ def q_stream_pipeline_audit(spark, d):
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
-    bad = _read(spark, paths["quarantine"])
     number = F.coalesce(F.nullif(F.regexp_extract("raw_value", r'"device_id":"E([0-9]+)"\}$', 1), F.lit("")),
                         F.nullif(F.regexp_extract("raw_value", r"^not json ([0-9]+)$", 1), F.lit("")))
-    return bad.select(number.cast("bigint").alias("event_id"), "violations")
+    bad = _read(spark, paths["quarantine"]).select(number.cast("bigint").alias("event_id"), F.lit("quarantine").alias("place"), "violations")
+    odd_id = F.regexp_extract("transaction_id", "^txn-([0-9]+)$", 1)
+    good = _read(spark, paths["transactions"]).select(
+        F.when(odd_id != "", odd_id.try_cast("bigint")).otherwise(fixtures.event_number(F.col("transaction_id"))).alias("event_id"),
+        F.lit("transactions").alias("place"), F.lit(None).cast("string").alias("violations"))
+    return good.unionByName(bad)
 
 
 STREAM_QUERIES = {
