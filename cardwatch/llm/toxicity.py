@@ -337,7 +337,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = [F.xxhash64("id", "tokens"), "id"]
     rows = (chosen.filter(marked).orderBy(*order).limit(max_chains // 2)
             .union(chosen.filter((F.col("y") == 0)).orderBy(*order).limit(max_chains // 2))).collect()
-    model = fit_chain([([features(t) for t in r["tokens"]], r["marks"]) for r in rows]) if rows else Model()
+    of: dict[str, list[str]] = {}  # one list per distinct token, not per token
+    model = fit_chain([([of.get(t) or of.setdefault(t, features(t)) for t in r["tokens"]], r["marks"]) for r in rows]) if rows else Model()
+    del rows, of
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
