@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 import unicodedata
 from collections.abc import Callable
 
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 from cardwatch.llm import common
 
 #: Pieces whose ids, and token pairs whose compatibility, a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED, REMEMBERED_PAIRS = 300_000, 500_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Code points below this take the fast form of the pattern.
 LATIN = 0x250
@@ -95,74 +96,84 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
+        self.sizes = {r: len(t) for t, r in ranks.items()}
         self.find = splitter(pattern)
-        self.longest = max(map(len, ranks))
         self.automaton = ahocorasick.Automaton()
-        for token in ranks:
-            self.automaton.add_word(token.decode("latin-1"), len(token))
+        for token, rank in ranks.items():
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
-        self.shorter: dict[bytes, bytes | None] = {}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.shorter: dict[int, int] = {}
+        self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[bytes]:
         """The plain merges: always the pair of lowest rank, the leftmost first."""
         parts = [piece[k:k + 1] for k in range(len(piece))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda k: (self.ranks.get(parts[k] + parts[k + 1], 1 << 40), k))
-            if parts[best] + parts[best + 1] not in self.ranks:
-                break
-            parts[best:best + 2] = [parts[best] + parts[best + 1]]
+        rank = self.ranks.get
+        none = 1 << 40
+        pairs = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (low := min(pairs)) < none:
+            k = pairs.index(low)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del pairs[k]
+            if k:
+                pairs[k - 1] = rank(parts[k - 1] + parts[k], none)
+            if k < len(pairs):
+                pairs[k] = rank(parts[k] + parts[k + 1], none)
         return parts
 
-    def compatible(self, a: bytes, b: bytes) -> bool:
-        got = self.fits.get((a, b))
-        if got is None:
-            got = self.merge(a + b) == [a, b]
-            if len(self.fits) >= REMEMBERED:
-                self.fits.clear()
-            self.fits[a, b] = got
+    def compatible(self, a: int, b: int) -> bool:
+        """True if merging the bytes of two tokens gives these two again; remembered by pair."""
+        pair = [self.tokens[a], self.tokens[b]]
+        got = self.merge(pair[0] + pair[1]) == pair
+        if len(self.fits) >= REMEMBERED_PAIRS:
+            self.fits.clear()
+        self.fits[a << 32 | b] = got
         return got
 
-    def prefix(self, token: bytes) -> bytes | None:
-        """The longest token that is a proper beginning of this one."""
-        if token not in self.shorter:
-            self.shorter[token] = next((token[:k] for k in range(len(token) - 1, 0, -1) if token[:k] in self.ranks), None)
+    def prefix(self, token: int) -> int:
+        """The longest token that is a proper beginning of this one, or -1."""
+        raw = self.tokens[token]
+        self.shorter[token] = next((self.ranks[raw[:k]] for k in range(len(raw) - 1, 0, -1) if raw[:k] in self.ranks), -1)
         return self.shorter[token]
 
-    def backtrack(self, piece: bytes) -> list[bytes]:
+    def backtrack(self, piece: bytes) -> list[int]:
         """The merges' tokens of a piece."""
         n = len(piece)
-        reach = [0] * n  # length of the longest token from each start
-        for end, size in self.automaton.iter(piece.decode("latin-1")):
-            if size > reach[end - size + 1]:
-                reach[end - size + 1] = size
+        sizes, fits, shorter = self.sizes, self.fits, self.shorter
+        reach = [0] * n  # longest token from each start: ends come in order, so a later match is a longer one
+        for end, token in self.automaton.iter(piece.decode("latin-1")):
+            reach[end - sizes[token] + 1] = token
         dead = bytearray(n + 1)
-        out: list[bytes] = []
-        at = 0
-        token: bytes | None = piece[:reach[0]]
-        while token is not None:
-            end = at + len(token)
-            if not dead[end] and (not out or self.compatible(out[-1], token)):
+        out: list[int] = []
+        at, token = 0, reach[0]
+        while True:
+            end = at + sizes[token]
+            ok = not dead[end]
+            if ok and out:
+                got = fits.get(out[-1] << 32 | token)
+                ok = self.compatible(out[-1], token) if got is None else got
+            if ok:
                 out.append(token)
                 at = end
-                token = piece[at:at + reach[at]] if at < n else None
+                if at == n:
+                    return out
+                token = reach[at]
                 continue
-            token = self.prefix(token)
-            while token is None:
+            token = shorter[token] if token in shorter else self.prefix(token)
+            while token < 0:
                 # nothing fits here: this position is impossible, shorten the token before it
                 dead[at] = 1
-                last = out.pop()
-                at -= len(last)
-                token = self.prefix(last)
-        return out
+                token = out.pop()
+                at -= sizes[token]
+                token = shorter[token] if token in shorter else self.prefix(token)
 
     def ids_of(self, piece: str) -> bytes:
         """Ids of one piece as little-endian 32-bit integers."""
         raw = piece.encode("utf-8")
         whole = self.ranks.get(raw)
-        ids = [whole] if whole is not None else [self.ranks[t] for t in self.backtrack(raw)]
-        packed = np.array(ids, dtype="<u4").tobytes()
+        ids = [whole] if whole is not None else self.backtrack(raw)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         if len(piece) <= 64:
