@@ -1,9 +1,9 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame operations only.
 
-A text is cut into paragraphs (lines, in pieces of at most ``FINE`` characters
-near its start and ``COARSE`` after ``FINE_CHARS``); the set of their 64-bit digests goes into a sketch of
-three tables of ``CELLS`` cells, each with a count, the XOR of the digests and
-the XOR of their check values.  Subtracting two sketches leaves the differing
+A text is cut into paragraphs: at line and sentence ends, alike everywhere in
+the text, and only a sentence of more than ``LONGEST`` characters in pieces.
+The set of their 64-bit digests goes into a sketch of three tables of ``CELLS``
+cells, each with a count, the XOR of the digests and the XOR of their check values.  Subtracting two sketches leaves the differing
 digests; peeling takes cells with a single digest until all are recovered.  If
 peeling gets stuck, it is retried larger: the digests are dealt out to parts by
 their hash, each with a sketch of its own, enough parts for the two sizes, and
@@ -30,8 +30,8 @@ from cardwatch.llm import common
 from cardwatch.llm.spans import let
 
 TABLES, CELLS = 3, 8
-#: The first characters of a text are cut finely, so that short texts have several paragraphs too.
-FINE_CHARS, FINE, COARSE = 480, 60, 300
+#: A sentence longer than this is cut in pieces, counted from its own start.
+LONGEST = 300
 #: Rounds of peeling; a round without a single digest changes nothing.
 ROUNDS = 8
 #: Digests of both texts that a part gets on average.
@@ -39,17 +39,14 @@ PART = 9
 #: Ranges of ids at most, found in two steps of 100.
 RANGES = 10_000
 BYTES_PER_RANGE = 32_000_000
-
-
-def _paragraph(longest: int) -> str:
-    return r"[^\n]{1,%d}\n*|\n+" % longest
+#: Ends of sentences and lines; blanks after an end belong to it, so the next paragraph is the same at a text's start.
+ENDS = r".!?。！？\n"
+PARAGRAPH = r"[^%s]{1,%d}(?:[%s][%s \t\r]*)?|[%s][%s \t\r]*" % (ENDS, LONGEST, ENDS, ENDS, ENDS, ENDS)
 
 
 def digests(text: Column) -> Column:
     """The set of paragraph digests of a text."""
-    t = F.coalesce(text, F.lit(""))
-    cut = lambda part, longest: F.regexp_extract_all(part, F.lit(_paragraph(longest)), F.lit(0))
-    parts = F.concat(cut(F.left(t, F.lit(FINE_CHARS)), FINE), cut(F.substring(t, FINE_CHARS + 1, 2**31 - 1), COARSE))
+    parts = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), F.lit(0))
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -177,7 +174,7 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
 
 
 def successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``text``, ``keys`` of every row and ``next_text``, ``next_keys`` of the row that follows by descending id.
+    """``id``, ``text``, ``keys``, ``own`` (sketch) of every row and ``next_text``, ``next_keys``, ``following`` of the row that follows by descending id.
 
     The smallest id is followed by the largest.
     """
@@ -197,11 +194,13 @@ def successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lowest = F.struct(F.lit(0).alias("part"), F.lit(2).alias("guest"))
     places = F.when(tops & (F.col("home") == len(bounds) - 1), F.array(own, lowest)).when(tops, F.array(own, above)).otherwise(F.array(own))
     dealt = rows.select("id", "text", F.explode(places).alias("p")).select("id", "text", F.col("p.part").alias("part"), F.col("p.guest").alias("guest"))
-    near = dealt.repartition("part").withColumn("keys", digests(F.col("text")))
+    near = dealt.repartition("part").withColumn("keys", digests(F.col("text"))).withColumn("own", sketch(F.col("keys")))
     order = Window.partitionBy("part").orderBy("guest", F.desc_nulls_last("id"), "text")
-    return (near.select("id", "text", "keys", "guest", F.lead("text").over(order).alias("next_text"), F.lead("keys").over(order).alias("next_keys"))
-            .filter("guest = 0").drop("guest")
-            .withColumns({"next_text": F.coalesce("next_text", F.lit("")), "next_keys": F.coalesce("next_keys", F.array().cast("array<long>"))}))
+    ahead = [F.lead(c).over(order).alias(name) for c, name in (("text", "next_text"), ("keys", "next_keys"), ("own", "following"))]
+    none = F.array().cast("array<long>")
+    return (near.select("id", "text", "keys", "own", "guest", *ahead).filter("guest = 0").drop("guest")
+            .withColumns({"next_text": F.coalesce("next_text", F.lit("")), "next_keys": F.coalesce("next_keys", none),
+                          "following": F.coalesce("following", sketch(none))}))
 
 
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,8 +211,8 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = successors(docs, id_col, text_col).withColumn(
         "edited", F.concat(F.left("text", n - third), F.left("next_text", third)))
     rows = rows.select("id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "keys",
-                       digests(F.col("edited")).alias("edited_keys"), "next_keys")
-    rows = rows.withColumns({"own": sketch(F.col("keys")), "after": sketch(F.col("edited_keys")), "following": sketch(F.col("next_keys"))})
+                       digests(F.col("edited")).alias("edited_keys"), "next_keys", "own", "following")
+    rows = rows.withColumn("after", sketch(F.col("edited_keys")))
     a = F.size("keys")
     return rows.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
