@@ -39,7 +39,7 @@ def _folder(spark: SparkSession, name: str) -> str:
 def _staged(spark: SparkSession, frame: DataFrame, name: str, oldest_last: bool = False, close: bool = False) -> DataFrame:
     order = list(range(1, STREAM_SLICES)) + [0] if oldest_last else None
     glob, files = stream_sources.stage_in_time_order(frame, "event_time", _folder(spark, f"stage-{name}"), STREAM_SLICES, order,
-                                                     CLOSE_AFTER if close else None)
+                                                     CLOSE_AFTER if close else None, equal_spans=oldest_last)
     return stream_sources.file_stream(spark, glob, frame.schema, max_files_per_trigger=files)
 
 

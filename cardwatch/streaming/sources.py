@@ -42,37 +42,50 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
-def stage_in_time_order(df: DataFrame, time_col: str, folder: str, slices: int = 4,
-                        order: list[int] | None = None, close_after: str | None = None) -> tuple[str, int]:
-    """Write ``df`` as slices of equal time span, oldest first; returns the glob to stream and the files per slice.
+def stage_in_time_order(df: DataFrame, time_col: str, folder: str, slices: int = 4, order: list[int] | None = None,
+                        close_after: str | None = None, equal_spans: bool = False) -> tuple[str, int]:
+    """Write ``df`` as slices of about as many rows each, oldest first; returns the glob to stream and the files per slice.
 
     The file source orders files by modification time, so slices written one
     after another and read with ``maxFilesPerTrigger`` = files per slice replay
     the events in time order, a slice per micro-batch: no row is late to the
-    watermark, whatever the delay.  Every slice is written by several tasks,
-    all with the same number of files.  This is a replay harness for tests and
-    back-fills; a live deployment reads Kafka.  ``df`` is derived once, into
-    the folder.  ``order`` writes the slices in another order (e.g. oldest
-    last, to replay late data).  ``close_after`` adds a last slice of one row
-    that much later than all others: its watermark closes every window and
-    join that the replay left open, and it is never emitted itself.
+    watermark, whatever the delay.  Slices are bounded by quantiles of the
+    time, or with ``equal_spans`` by equal spans of it; a slice without rows is
+    left out.  Every slice is written by several tasks and has the same number
+    of files: empty ones are added to a slice that has fewer.  This is a replay
+    harness for tests and back-fills; a live deployment reads Kafka.  ``df`` is
+    derived once, into the folder.  ``order`` writes the slices in another
+    order (e.g. oldest last, to replay late data).  ``close_after`` adds a last
+    slice of one row that much later than all others: its watermark closes
+    every window and join that the replay left open, and it is never emitted
+    itself.
     """
     spark = df.sparkSession
     whole = os.path.join(folder, "derived")
     df.write.mode("errorifexists").parquet(whole)
     df = spark.read.schema(df.schema).parquet(whole)
-    lo, hi = df.agg(F.min(epoch_micros(time_col)), F.max(epoch_micros(time_col))).first()
+    time = epoch_micros(time_col)
+    n = max(1, int(slices))
+    cuts = F.percentile_approx(time, F.array(*[F.lit((k + 1) / n) for k in range(n)]))
+    lo, hi, rows, quantiles = df.agg(F.min(time), F.max(time), F.count("*"), cuts).first()
     if lo is None:
         raise ValueError("nothing to stage: the table is empty")
-    span = hi - lo + 1
-    n = max(1, int(slices))
-    part = F.least(F.floor((epoch_micros(time_col) - F.lit(lo)) * F.lit(n) / F.lit(span)), F.lit(n - 1))
-    smallest = min(r["count"] for r in df.groupBy(part.alias("p")).count().collect())
-    # Round-robin gives each file at least one row of a slice with this many rows.
-    files = max(1, min(spark.sparkContext.defaultParallelism, smallest // 64))
-    numbers = list(order if order is not None else range(n))
-    for i in numbers:
-        df.where(part == i).repartition(files).write.mode("errorifexists").parquet(os.path.join(folder, f"slice={i:05d}"))
+    if equal_spans:
+        part = F.least(F.floor((time - F.lit(lo)) * F.lit(n) / F.lit(hi - lo + 1)), F.lit(n - 1))
+    else:
+        part = F.lit(0)
+        for bound in sorted({q for q in quantiles if q < hi}):
+            part = part + F.when(time > bound, 1).otherwise(0)
+    filled = {r["p"] for r in df.select(part.alias("p")).distinct().collect()}
+    files = max(1, min(spark.sparkContext.defaultParallelism, rows // (64 * n)))
+    for i in (order if order is not None else range(n)):
+        if i not in filled:
+            continue
+        path = os.path.join(folder, f"slice={i:05d}")
+        df.where(part == i).repartition(files).write.mode("errorifexists").parquet(path)
+        # a task without rows writes no file
+        for _ in range(files - len(spark.read.schema(df.schema).parquet(path).inputFiles())):
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(path)
     if close_after:
         end = from_epoch_micros(F.lit(hi + interval_micros(close_after)))
         df.limit(1).withColumn(time_col, end).select(*df.columns).write.mode("errorifexists").parquet(os.path.join(folder, f"slice={n:05d}"))
