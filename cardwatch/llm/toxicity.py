@@ -34,8 +34,10 @@ from cardwatch.llm import common
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—¡¿·"
 WORD = re.compile(r"\S+")
 PREFIXES = (3, 4, 5, 6, 7)
-#: Tokens of one chain; longer texts are several chains.
+#: Steps of the grid that a text's chain is laid out in; messages go on from one column to the next.
 CHAIN = 64
+#: A message that changes by less than this is not carried further; each step makes a change smaller.
+SAME = 1e-12
 #: Distinct tokens whose features a worker remembers, and the longest of them.
 REMEMBERED, LONGEST = 150_000, 64
 THRESHOLD = 0.7
@@ -82,7 +84,7 @@ class Model:
 
 
 def chains(scores: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token scores of documents laid out as chains: a matrix (step, chain), and step and chain of each token."""
+    """Token scores of documents laid out in columns: a matrix (step, column), and step and column of each token."""
     total = int(lengths.sum())
     starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
     place = np.arange(total) - starts
@@ -95,24 +97,47 @@ def chains(scores: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return grid, step, chain
 
 
-def marginals(grid: np.ndarray, move: Iterable[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(grid: np.ndarray, move: Iterable[float], size: np.ndarray | None = None,
+              follows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Odds of the toxic state at each step of each chain.
 
     ``grid`` holds the toxic state's score over the clean state's.  Two states
-    need only their ratio: forward and backward messages are log odds.  Padding
-    steps at a chain's end have score 0 and change nothing that matters.
+    need only their ratio: forward and backward messages are log odds.  ``size``
+    is the number of real steps of each column (all by default); padding after
+    them changes nothing.  ``follows`` marks columns that continue the column
+    before them, which is full: both messages are carried over that border, so
+    the marginals are those of the whole chain.
     Returns the marginal, and the forward and backward log odds.
     """
     cc, ct, tc, tt = move
     steps, n = grid.shape
+    size = np.full(n, steps) if size is None else size
+    ahead = lambda a: np.logaddexp(ct, a + tt) - np.logaddexp(cc, a + tc)
+    back = lambda b: np.logaddexp(tc, b + tt) - np.logaddexp(cc, b + ct)
     fwd, bwd = np.empty_like(grid), np.zeros_like(grid)
     fwd[0] = grid[0]
     for k in range(1, steps):
-        a = fwd[k - 1]
-        fwd[k] = grid[k] + np.logaddexp(ct, a + tt) - np.logaddexp(cc, a + tc)
+        fwd[k] = grid[k] + ahead(fwd[k - 1])
     for k in range(steps - 2, -1, -1):
-        b = bwd[k + 1] + grid[k + 1]
-        bwd[k] = np.logaddexp(tc, b + tt) - np.logaddexp(cc, b + ct)
+        bwd[k] = np.where(k + 1 < size, back(bwd[k + 1] + grid[k + 1]), 0.0)
+    later = np.zeros(0, dtype=np.int64) if follows is None else np.flatnonzero(follows)
+    go = later
+    while len(go):
+        message = ahead(fwd[-1, go - 1])
+        for k in range(steps):
+            new = grid[k, go] + message
+            moved = np.abs(new - fwd[k, go]) > SAME
+            fwd[k, go] = new
+            go, message = go[moved], ahead(new[moved])
+        go = np.intersect1d(go + 1, later, assume_unique=True)
+    go = later - 1
+    while len(go):
+        new = back(bwd[0, go + 1] + grid[0, go + 1])
+        for k in range(steps - 1, -1, -1):
+            moved = np.abs(new - bwd[k, go]) > SAME
+            bwd[k, go] = new
+            go, new = go[moved], back(new[moved] + grid[k, go[moved]])
+        go = np.intersect1d(go, later, assume_unique=True) - 1
     return 1.0 / (1.0 + np.exp(-np.clip(fwd + bwd, -60, 60))), fwd, bwd
 
 
@@ -137,13 +162,13 @@ def fit_chain(sequences: list[tuple[list[list[str]], list[int]]], rounds: int =
                     at.append(k * n + j)
     flat_a, at_a = np.array(flat, dtype=np.int64), np.array(at, dtype=np.int64)
     w, bias, move = np.zeros(len(ids)), -4.0, np.zeros(4)
-    pairs = real[1:]
+    pairs, size = real[1:], real.sum(axis=0)
     seen = np.array([((label[:-1] == a) & (label[1:] == b) & pairs).sum() for a in (0, 1) for b in (0, 1)], dtype=float)
     speed: list[np.ndarray] = [np.zeros(len(ids)), np.zeros(1), np.zeros(4)]
     square: list[np.ndarray] = [np.zeros(len(ids)), np.zeros(1), np.zeros(4)]
     for t in range(1, rounds + 1):
         grid = np.bincount(at_a, weights=w[flat_a], minlength=CHAIN * n).reshape(CHAIN, n) + bias * real
-        p, fwd, bwd = marginals(grid, move)
+        p, fwd, bwd = marginals(grid, move, size)
         off = np.where(real, label - p, 0.0)
         # expected moves between neighbours, from both messages
         e = np.stack([np.zeros_like(fwd[:-1]) + move[0], bwd[1:] + grid[1:] + move[1], fwd[:-1] + move[2],
@@ -209,7 +234,9 @@ class Tagger:
         if not values:
             return np.zeros((len(texts), 3)), np.zeros(0)
         grid, step, chain = chains(np.array(values), lengths)
-        p, _, _ = marginals(grid, self.model.move)
+        follows = np.ones(grid.shape[1], dtype=bool)
+        follows[chain[(np.cumsum(lengths) - lengths)[lengths > 0]]] = False
+        p, _, _ = marginals(grid, self.model.move, np.bincount(chain), follows)
         p = np.clip(p[step, chain], 1e-9, 1 - 1e-9)
         ends = np.cumsum(lengths)
         out = np.zeros((len(texts), 3))
