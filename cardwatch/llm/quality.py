@@ -123,7 +123,7 @@ def learnable(labels: DataFrame, id_col: str, label_col: str, max_labelled: int)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          max_labelled: int = 20_000, trees: int = 20, depth: int = 3, penalty: float = 0.001, max_rules: int = 250) -> Model:
+          max_labelled: int = 20_000, trees: int = 20, depth: int = 3, penalty: float = 0.001) -> Model:
     """Fit the rules to at most ``max_labelled`` labelled documents outside the held-out fold."""
     ids = F.broadcast(learnable(labels, id_col, label_col, max_labelled))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id")
@@ -138,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     forest = RandomForestClassifier(featuresCol="v", weightCol="weight", numTrees=trees, maxDepth=depth, maxBins=32,
                                     featureSubsetStrategy="onethird", subsamplingRate=0.8, seed=7).fit(
         rows.select("label", "weight", array_to_vector("x").alias("v")))
-    rules = paths(forest.toDebugString)[:max_rules]
+    rules = paths(forest.toDebugString)
     if not rules:
         return Model(math.log(n1 / n0))
     tested = rows.select("label", array_to_vector(F.array(*[holds(r, F.col("__quality")).cast("double") for r in rules])).alias("v"))
