@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import bpe, decontaminate, fingerprint, langid, pii, quality, secrets, simhash, token_counts, toxicity
+from cardwatch.llm import (bpe, decontaminate, fim, fingerprint, langid, licenses, pii, quality, secrets, simhash, spelling, token_counts,
+                           toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
@@ -19,8 +20,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets.op8_secrets,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_fim": fim.op11_fim,
+    "op12_spelling": spelling.op12_spelling,
+    "op13_licenses": licenses.op13_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op10_decontaminate": decontaminate.OP10_SQL,
+    "op11_fim": fim.OP11_SQL,
 }

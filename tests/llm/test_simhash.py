@@ -89,7 +89,8 @@ def test_deduplicate_keeps_one_of_each_component(spark, odd):
     assert kept.columns == odd.columns
     per = simhash.near_duplicates(odd).select("component_id").distinct().count()
     assert kept.count() == per
-    assert kept.where(F.col("doc_id") == 1).count() == 1 and kept.where(F.col("doc_id").isin(2, 8)).count() == 0
+    # documents 1 and 8 have one text; 2 is five bits away from it, one too many
+    assert {r["doc_id"] for r in kept.where("doc_id in (1, 2, 8)").collect()} == {1, 2}
 
 
 def test_empty_table(spark, none):
