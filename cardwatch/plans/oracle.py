@@ -409,12 +409,31 @@ def stream_oracle_sql() -> dict[str, str]:
     sql["stream_late_data"] = (f"{_with(TXN_CTE, LATE_CTE)} "
                                "select user_id, window_start, window_end, txn_count from late_bursts")
     sql["stream_progress"] = "select count(*) as input_rows from events"
+    # late: the oldest of four equal time spans, which the replay sends last
+    oldest = ("(select lo, hi from rng)", "least(floor((epoch_us(event_time) - lo) * 4 / (hi - lo + 1)), 3) = 0")
+    sql["stream_late_records"] = (
+        f"{_with(TXN_CTE, SCORED_CTE, LATE_CTE)} select transaction_id, user_id, cast(cast(amount as decimal(12,2)) as double) as amount, "
+        "event_time, stateless_fraud as final_is_fraud, fraud_rule as final_rule, "
+        f"cast(cast(fraud_confidence as decimal(5,3)) as double) as fraud_confidence from scored, {oldest[0]} where {oldest[1]}")
     blocking = ", ".join(f"'{b}'" for b in ("missing:transaction_id", "missing:user_id", "missing:amount", "missing:timestamp",
                                             "number:amount", "maximum:amount", "format:timestamp"))
     every = ",".join(f"missing:{f}" for f in S.REQUIRED_FIELDS)
-    sql["stream_pipeline_audit"] = (
-        f"{_validated_with()}, outcome as (select event_id, case when event_id % 40 = 13 then '{every}' else violations end as violations "
-        f"from validated), sorted as (select *, list_has_any(string_split(violations, ','), [{blocking}]) as blocked from outcome) "
-        "select event_id, case when blocked then 'quarantine' else 'transactions' end as place, "
-        "case when blocked then violations end as violations from sorted")
+    places = (
+        f"{_with(TXN_CTE, DEFECTIVE_CTE.replace('{checks}', _checks_sql()), LATE_CTE)}, outcome as (select d.*, t.event_time, "
+        f"case when d.event_id % 40 = 13 then '{every}' else violations end as found "
+        "from validated d join txn_all t on d.event_id = t.event_id), sorted as (select outcome.*, "
+        f"list_has_any(string_split(found, ','), [{blocking}]) as blocked, {oldest[1]} as old from outcome, {oldest[0]}), "
+        "placed as (select *, case when blocked then 'quarantine' when old then 'late' else 'transactions' end as place from sorted)")
+    sql["stream_pipeline_audit"] = f"{places} select event_id, place, case when blocked then found end as violations from placed"
+    # the pipeline's own alerts: rules over the good records in time, bursts among them
+    sql["stream_pipeline_counters"] = (
+        f"{places}, ok as (select *, date_trunc('second', event_time) as moment from placed where place = 'transactions'), "
+        "windows as (select user_id, ws, count(*) as n from (select user_id, time_bucket(interval '4 hours', moment, timestamp '1970-01-01') "
+        "- k * interval '4 hours' as ws from ok, range(6) r(k)) x group by user_id, ws having count(*) > 6), "
+        "hit as (select distinct event_id from ok join windows w on ok.user_id = w.user_id and moment >= ws and moment < ws + interval '24 hours'), "
+        f"judged as (select *, ({HIGH_PRED}) or ({INTL_PRED}) or ({ODD_PRED}) as ruled from ok), "
+        "c as (select count(*) as events, count_if(coalesce(ruled, false) or event_id in (select event_id from hit)) as alerts from judged) "
+        "select (select count(*) + 1 from placed) as records, (select count(*) from placed where place = 'quarantine') as quarantined, "
+        "events, alerts, (select count(*) from placed where place = 'late') as late, "
+        f"{_round(f'{_d(100.0)} * alerts / events', 3)} as alert_rate_pct from c")
     return sql

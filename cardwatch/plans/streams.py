@@ -36,10 +36,11 @@ def _folder(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "cardwatch-streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _staged(spark: SparkSession, frame: DataFrame, name: str, oldest_last: bool = False, close: bool = False) -> DataFrame:
+def _staged(spark: SparkSession, frame: DataFrame, name: str, oldest_last: bool = False, close: bool = False,
+            closing: DataFrame | None = None) -> DataFrame:
     order = list(range(1, STREAM_SLICES)) + [0] if oldest_last else None
     glob, files = stream_sources.stage_in_time_order(frame, "event_time", _folder(spark, f"stage-{name}"), STREAM_SLICES, order,
-                                                     CLOSE_AFTER if close else None, equal_spans=oldest_last)
+                                                     CLOSE_AFTER if close else None, equal_spans=oldest_last, closing=closing)
     return stream_sources.file_stream(spark, glob, frame.schema, max_files_per_trigger=files)
 
 
@@ -159,7 +160,8 @@ def q_stream_late_data(spark, d):
     return _read(spark, out)
 
 
-def _watched(spark, d) -> DataFrame:
+def q_stream_progress(spark, d):
+    """Input rows of a run, summed over all its batches by a listener."""
     watched = progress.watch(spark)
     try:
         w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d, oldest_last=True), STREAM_DELAY),
@@ -170,18 +172,31 @@ def _watched(spark, d) -> DataFrame:
         spark.streams.removeListener(watched)
 
 
-def q_stream_progress(spark, d):
-    """Input rows of a run, summed over all its batches by a listener."""
-    return _watched(spark, d).select("input_rows")
+def q_stream_late_records(spark, d):
+    """The oldest slice arrives last: the sink keeps each of its transactions as late, with its stateless verdict."""
+    timed = jobs.watermarked(_txn_stream(spark, d, oldest_last=True, close=True), STREAM_DELAY)
+    base = _folder(spark, "late-records")
+    paths = {k: os.path.join(base, k) for k in ("transactions", "alerts", "late", "commits")}
+    created = F.lit(STREAM_CREATED_AT).cast("timestamp_ntz")
+    rows = jobs.with_arrivals(jobs.verdicts(timed, WINDOW, SLIDE, THRESHOLD), timed)
+    checkpoint = os.path.join(_folder(spark, "late-records-checkpoint"))
+    q = jobs.start(rows, checkpoint, available_now=True, shuffle_partitions=spark.sparkContext.defaultParallelism,
+                   foreach_batch=jobs.pipeline_writer(paths["transactions"], paths["alerts"], created_at=created, checkpoint=checkpoint,
+                                                      commits_path=paths["commits"], late_path=paths["late"]))
+    _finish([q])
+    late = jobs.committed(spark, paths["late"], paths["commits"])
+    return _doubles(late.select("transaction_id", "user_id", "amount", "event_time", "final_is_fraud", "final_rule", "fraud_confidence"))
 
 
-def q_stream_late_rows(spark, d):
-    """State rows dropped as late when the oldest slice arrives last (their number depends on the map tasks)."""
-    return _watched(spark, d).select("late_state_rows_dropped")
+def _finish(queries) -> None:
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
 
 
-def q_stream_pipeline_audit(spark, d):
-    """Good and defective JSON records through the whole pipeline: where each record ended.
+def _json_run(spark, d, name: str) -> dict[str, str]:
+    """Good and defective JSON records, the oldest slice last, through the whole pipeline; the folders it wrote.
 
     Records are keyed by event number, which a bad record must be traced by in
     its kept text.  A last record far later closes everything open.
@@ -198,24 +213,34 @@ def q_stream_pipeline_audit(spark, d):
             .withColumn("timestamp", F.lit(newest.strftime("%Y-%m-%dT%H:%M:%S+00:00")))
             .select(F.col("user_id").alias("key"), codec.json_value().alias("value"),
                     F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz").alias("event_time")))
-    raw = _staged(spark, kv.unionByName(last), "audit")
-    base = _folder(spark, "audit")
-    paths = {k: os.path.join(base, k) for k in ("transactions", "alerts", "quarantine")}
-    queries = jobs.run(raw.drop("event_time"), paths["transactions"], paths["alerts"], os.path.join(base, "checkpoints"),
-                       quarantine_path=paths["quarantine"], window=WINDOW, slide=SLIDE, threshold=THRESHOLD,
-                       delay=STREAM_DELAY, available_now=True, state_partitions=spark.sparkContext.defaultParallelism)
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+    raw = _staged(spark, kv, name, oldest_last=True, closing=last)
+    base = _folder(spark, name)
+    paths = {k: os.path.join(base, k) for k in ("transactions", "alerts", "quarantine", "late", "commits")}
+    _finish(jobs.run(raw.drop("event_time"), paths["transactions"], paths["alerts"], os.path.join(base, "checkpoints"),
+                     quarantine_path=paths["quarantine"], late_path=paths["late"], commits_path=paths["commits"],
+                     window=WINDOW, slide=SLIDE, threshold=THRESHOLD, delay=STREAM_DELAY, available_now=True,
+                     state_partitions=spark.sparkContext.defaultParallelism))
+    return paths
+
+
+def q_stream_pipeline_audit(spark, d):
+    """Good, defective and late JSON records through the whole pipeline: where each record ended."""
+    paths = _json_run(spark, d, "audit")
     number = F.coalesce(F.nullif(F.regexp_extract("raw_value", r'"device_id":"E([0-9]+)"\}$', 1), F.lit("")),
                         F.nullif(F.regexp_extract("raw_value", r"^not json ([0-9]+)$", 1), F.lit("")))
-    bad = _read(spark, paths["quarantine"]).select(number.cast("bigint").alias("event_id"), F.lit("quarantine").alias("place"), "violations")
+    bad = jobs.committed(spark, paths["quarantine"], paths["commits"]).select(
+        number.cast("bigint").alias("event_id"), F.lit("quarantine").alias("place"), "violations")
     odd_id = F.regexp_extract("transaction_id", "^txn-([0-9]+)$", 1)
-    good = _read(spark, paths["transactions"]).select(
-        F.when(odd_id != "", odd_id.try_cast("bigint")).otherwise(fixtures.event_number(F.col("transaction_id"))).alias("event_id"),
-        F.lit("transactions").alias("place"), F.lit(None).cast("string").alias("violations"))
-    return good.unionByName(bad)
+    event = F.when(odd_id != "", odd_id.try_cast("bigint")).otherwise(fixtures.event_number(F.col("transaction_id")))
+    for place in ("transactions", "late"):
+        rows = jobs.committed(spark, paths[place], paths["commits"])
+        bad = bad.unionByName(rows.select(event.alias("event_id"), F.lit(place).alias("place"), F.lit(None).cast("string").alias("violations")))
+    return bad
+
+
+def q_stream_pipeline_counters(spark, d):
+    """The live counters at the end of that run."""
+    return progress.counters(spark, _json_run(spark, d, "counters")["commits"])
 
 
 STREAM_QUERIES = {
@@ -229,6 +254,7 @@ STREAM_QUERIES = {
     "stream_early_alerts": q_stream_early_alerts,
     "stream_late_data": q_stream_late_data,
     "stream_progress": q_stream_progress,
-    "stream_late_rows": q_stream_late_rows,
+    "stream_late_records": q_stream_late_records,
+    "stream_pipeline_counters": q_stream_pipeline_counters,
     "stream_pipeline_audit": q_stream_pipeline_audit,
 }

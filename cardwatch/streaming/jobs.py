@@ -12,8 +12,11 @@ Shapes
                          a transaction comes out as soon as a burst window
                          containing it closes, or, with no burst, once the
                          watermark passes ``event_time + window``.
-* ``pipeline``           one query, one ``foreachBatch`` writing both the
-                         transactions and the alerts table, idempotently.
+* ``with_arrivals``      verdicts plus the transactions as they arrive, so that the
+                         sink can keep those that the joins drop as late.
+* ``pipeline_writer``    one query, one ``foreachBatch`` writing the transactions,
+                         the alerts and the late transactions, idempotently and
+                         with one commit.
 
 The joins chain after the windowed aggregation (``window_time`` carries the
 watermark).  Both join keys are (user, pane) with a pane of ``gcd(window,
@@ -25,18 +28,21 @@ The range condition on the event times lets Spark evict join state.
 
 from __future__ import annotations
 
+import os
 from math import gcd
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardwatch import schema as S
-from cardwatch.functions import from_epoch_micros, interval_micros
+from cardwatch.functions import epoch_micros, from_epoch_micros, interval_micros
 from cardwatch.operators import rules as R
-from cardwatch.operators import tables, velocity, verdict
-from cardwatch.sources import sinks
+from cardwatch.operators import quality, tables, velocity, verdict
+from cardwatch.sources import commits, sinks
+
+CONSOLE_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_category", "final_rule", "fraud_confidence"]
 
 
 def as_instant(col) -> Column:
@@ -114,48 +120,130 @@ def verdicts(txn: DataFrame, window: str = S.VELOCITY_WINDOW, slide: str = S.VEL
     return verdict.resolve(scored, mode, window).withColumn("event_time", as_wall_clock("event_time"))
 
 
+def with_arrivals(verdict_rows: DataFrame, txn: DataFrame) -> DataFrame:
+    """Verdicts, and beside them every arriving transaction as it came (``_arrived``, no verdict yet).
+
+    Spark drops rows behind the watermark inside the joins; the arrivals let the
+    sink of the same query tell which ones these are (:func:`pipeline_writer`).
+    """
+    came = txn.withColumn("event_time", as_wall_clock("event_time")).withColumn("_arrived", F.lit(True))
+    return verdict_rows.withColumn("_arrived", F.lit(False)).unionByName(came, allowMissingColumns=True)
+
+
 def one_per_transaction(batch: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Collapse a micro-batch's window fan-out: the highest burst count per transaction."""
+    """Collapse a micro-batch's window fan-out: the highest burst count per transaction.
+
+    Arrivals (:func:`with_arrivals`) have no fan-out: each different row of them stays.
+    """
     best = F.max_by(F.struct(*[F.col(c) for c in batch.columns]), F.coalesce(F.col("txn_count"), F.lit(-1)))
-    return batch.groupBy(key).agg(best.alias("_r")).select("_r.*")
+    keys = [F.col(key)]
+    if "_arrived" in batch.columns:
+        keys += [F.col("_arrived"), F.when(F.col("_arrived"), F.xxhash64(*batch.columns)).alias("_row")]
+    return batch.groupBy(*keys).agg(best.alias("_r")).select("_r.*")
 
 
 def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
                     partition_by: str | None = "event_date", id_fixes_date: bool = False,
-                    jdbc: dict | None = None) -> Callable[[DataFrame, int], None]:
+                    jdbc: dict | None = None, key_index: bool = False, commits_path: str | None = None,
+                    late_path: str | None = None, checkpoint: str | None = None, rules: R.RuleSet | None = None,
+                    show: bool = False) -> Callable[[DataFrame, int], None]:
     """foreachBatch callback for :func:`verdicts`: both tables from one persisted batch.
 
     Each table is keyed on ``transaction_id`` and written with
     :func:`cardwatch.sources.sinks.insert_if_absent`, so a micro-batch that is
     replayed after a failure adds nothing twice.  ``id_fixes_date`` tells that an
     id is never sent again with another date, so only the batch's dates are
-    read.  ``jdbc`` (url, properties) writes to database tables of the given
-    names instead of to files.
+    read; ``key_index`` reads only files that may hold one of the batch's ids.
+    ``jdbc`` (url, properties) writes to database tables of the given
+    names instead of to files, both in one transaction.
+
+    ``commits_path`` makes the tables one atomic sink: rows carry stream and
+    batch, a commit file follows the last table, and :func:`committed` reads the
+    rows of committed batches.  The commit also has the running totals of rows
+    added: ``events``, ``alerts``, ``late``.  (With ``jdbc`` the tables are
+    atomic by themselves; a batch whose merge ended but whose commit file is
+    missing is counted 0 when replayed.)
+
+    For a stream :func:`with_arrivals`, transactions behind the watermark, which
+    the joins drop, go to ``late_path`` with the verdict of the stateless rules:
+    the sink reads the batch's watermark from the query's ``checkpoint`` and
+    takes the arrivals that Spark's own rule (event time <= watermark of the
+    batch before) drops, so every transaction is either decided or late.
+    ``show`` prints the batch's fraud rows.
     """
 
-    def put(rows: DataFrame, target: str, time: str) -> None:
-        if jdbc:
-            sinks.jdbc_append(rows, jdbc["url"], target, jdbc.get("properties"), order_by=[time])
-            return
+    def put(rows: DataFrame, target: str, time: str, mark: tuple[str, int, bool] | None) -> int:
         parts = None
         if partition_by:
             rows = rows.withColumn(partition_by, F.to_date(time))
             parts = [partition_by]
-        sinks.insert_if_absent(rows, target, partition_by=parts, prune_by=partition_by if id_fixes_date else None, order_by=[time])
+        own = 0
+        if mark:
+            query, number, again = mark
+            rows = commits.marked(rows, query, number)
+            stored = sinks.stored_table(rows, target) if again else None
+            if stored is not None:  # what an earlier try of this batch has added already
+                own = stored.where((F.col(commits.QUERY) == query) & (F.col(commits.BATCH) == number)).count()
+        return own + sinks.insert_if_absent(rows, target, partition_by=parts, prune_by=partition_by if id_fixes_date else None,
+                                            order_by=[time], key_index=key_index)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        one = one_per_transaction(batch).persist()
+        spark = batch.sparkSession
+        query = commits.stream_id(spark)
+        log = commits.Commits(spark, commits_path) if commits_path else None
+        began = log.begin(query, batch_id) if log else "new"
+        if began == "done":
+            return
+        rows = batch
+        if "_arrived" in batch.columns:
+            behind = epoch_micros("event_time") <= F.lit(commits.watermarks(spark, checkpoint, batch_id) * 1000)
+            rows = batch.where(~F.col("_arrived") | behind)
+        one = one_per_transaction(rows).persist()
+        counts = {"events": 0, "alerts": 0, "late": 0}
         try:
-            if one.isEmpty():
-                return
-            put(tables.to_transactions_table(one, created_at), transactions_path, "event_time")
-            put(tables.to_alerts_table(verdict.alerts(one), created_at), alerts_path, "alert_time")
+            if not one.isEmpty():
+                decided = one.where(~F.col("_arrived")).drop("_arrived") if "_arrived" in one.columns else one
+                fraud = verdict.alerts(decided)
+                if show:
+                    decided.where("final_is_fraud").select(*CONSOLE_COLUMNS).show(truncate=False)
+                txn_rows, alert_rows = tables.to_transactions_table(decided, created_at), tables.to_alerts_table(fraud, created_at)
+                if jdbc:
+                    counts["events"], counts["alerts"] = sinks.jdbc_merge(
+                        [(txn_rows, transactions_path), (alert_rows, alerts_path)], jdbc["url"], jdbc.get("properties"),
+                        order_by=[["event_time"], ["alert_time"]])
+                else:
+                    mark = (query, batch_id, began == "again") if log else None
+                    counts["events"] = put(txn_rows, transactions_path, "event_time", mark)
+                    counts["alerts"] = put(alert_rows, alerts_path, "alert_time", mark)
+                if "_arrived" in one.columns and late_path:
+                    missed = one.where("_arrived").select(*[c for c in one.columns if c in S.TRANSACTION_FIELDS], "event_time")
+                    missed = verdict.resolve(score(missed, rules).withColumn("velocity_fraud", F.lit(False)))
+                    counts["late"] = _write_batch(tables.to_transactions_table(missed, created_at), late_path, query, batch_id)
         finally:
             one.unpersist()
+        if log:
+            log.commit(query, batch_id, counts)
 
     return sinks.foreach_batch_writer(write, persist=False)
 
 
+def _write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> int:
+    """Rows of one batch of one stream in a folder of their own, which a replay overwrites; returns how many, writes none for none."""
+    rows = rows.persist()
+    try:
+        n = rows.count()
+        if n:
+            rows.write.mode("overwrite").parquet(f"{path}/{commits.QUERY}={query}/{commits.BATCH}={batch_id}")
+        return n
+    finally:
+        rows.unpersist()
+
+
+def committed(spark, path: str, commits_path: str) -> DataFrame:
+    """The rows of a table of the pipeline that belong to committed batches."""
+    return commits.Commits(spark, commits_path).visible(spark.read.parquet(path))
+
+
 def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str = "parquet",
           foreach_batch: Callable[[DataFrame, int], None] | None = None, output_mode: str = "append",
           processing_time: str | None = S.TRIGGER_INTERVAL, available_now: bool = False,
@@ -189,7 +277,7 @@ def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str =
 
 def console(df: DataFrame, columns: list[str] | None = None, processing_time: str = S.TRIGGER_INTERVAL) -> StreamingQuery:
     """Debug sink: selected columns of fraud rows to stdout, untruncated."""
-    cols = columns or ["transaction_id", "user_id", "amount", "merchant_category", "final_rule", "fraud_confidence"]
+    cols = columns or CONSOLE_COLUMNS
     if "final_is_fraud" in df.columns:
         df = df.where(F.col("final_is_fraud"))
     return (df.select(*cols).writeStream.format("console").option("truncate", "false")
@@ -257,64 +345,82 @@ def alerts_writer(path: str, created_at=None, partition_by: str | None = "event_
     return sinks.foreach_batch_writer(write)
 
 
-def quarantine_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch callback writing blocked records (text and violations) to ``path``, one folder per batch.
+def quarantine_writer(path: str, commits_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch callback for validated records: blocked ones (text and violations) go to ``path``.
 
-    A replayed batch overwrites its own folder, so nothing is there twice.
+    Each batch of each stream has a folder of its own: a replayed batch
+    overwrites it, so nothing is there twice, and a stream with a new checkpoint
+    touches nothing that an earlier one wrote.  With ``commits_path`` the
+    stream's totals of ``records`` read and ``quarantined`` are kept.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        query = commits.stream_id(spark)
+        log = commits.Commits(spark, commits_path) if commits_path else None
+        if log and log.begin(query, batch_id) == "done":
+            return
+        read = Observation()
+        bad = batch.observe(read, F.count(F.lit(1)).alias("n")).where(quality.blocked()).persist()
+        try:
+            bad.write.format("noop").mode("overwrite").save()  # one pass over the batch, counted in its last stage
+            n = _write_batch(bad, path, query, batch_id)
+        finally:
+            bad.unpersist()
+        if log:
+            log.commit(query, batch_id, {"records": int(read.get["n"] or 0), "quarantined": n})
 
-    return sinks.foreach_batch_writer(write)
+    return sinks.foreach_batch_writer(write, persist=False)
 
 
 def run(raw: DataFrame, transactions_path: str, alerts_path: str, checkpoint_root: str, *,
-        quarantine_path: str | None = None, window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
+        quarantine_path: str | None = None, late_path: str | None = None, commits_path: str | None = None,
+        window: str = S.VELOCITY_WINDOW, slide: str = S.VELOCITY_SLIDE,
         threshold: int = S.VELOCITY_MAX_TRANSACTIONS, delay: str = S.WATERMARK_DELAY,
         processing_time: str = S.TRIGGER_INTERVAL, available_now: bool = False,
         console_debug: bool = False, state_partitions: int | None = None,
-        early_alerts_path: str | None = None, id_fixes_date: bool = False,
+        early_alerts_path: str | None = None, id_fixes_date: bool = False, key_index: bool = True,
         jdbc: dict | None = None) -> list[StreamingQuery]:
     """The whole pipeline on a raw (key, value, timestamp) stream, e.g. :func:`kafka_stream`.
 
     decode -> validate -> event time -> watermark -> rules + velocity -> one
-    ``foreachBatch`` writing both tables.  Records with a blocking violation
-    go to ``quarantine_path`` (by default beside the transactions table) with
-    their text; every other record reaches the transactions table.  ``jdbc``
-    writes the two tables to a database (see :func:`pipeline_writer`).  The
-    verdict query reports live counters (:mod:`cardwatch.streaming.progress`).
+    ``foreachBatch`` writing both tables.  Every record ends in one place: the
+    transactions table; ``late_path`` (valid, but behind the watermark); or, with
+    a blocking violation, ``quarantine_path`` with its text.  Both default to
+    folders beside the transactions table, as does ``commits_path``: read the
+    tables with :func:`committed`, the live counters with
+    :func:`cardwatch.streaming.progress.counters`.  ``jdbc``
+    writes the two tables to a database (see :func:`pipeline_writer`).
     Each query has its own folder under ``checkpoint_root`` (shared storage).
     ``state_partitions`` fixes the verdict query's state partitions (see
     :func:`start`).  ``early_alerts_path`` adds the stateless alert stream
-    (alerts at once; merge with :func:`verdict.current_alerts`).  Wait on
-    the result with :func:`await_all`.
+    (alerts at once; merge with :func:`verdict.current_alerts`).
+    ``console_debug`` prints the verdicts' fraud rows, bursts included, from the
+    same query.  Wait on the result with :func:`await_all`.
     """
-    import os
-
-    from cardwatch.operators import quality
     from cardwatch.sources import codec
 
-    from cardwatch.streaming import progress
-
+    beside = checkpoint_root if jdbc else transactions_path.rstrip("/")
+    name = "/" if jdbc else "_"
+    quarantine_path = quarantine_path or f"{beside}{name}quarantine"
+    late_path = late_path or f"{beside}{name}late"
+    commits_path = commits_path or f"{beside}{name}commits"
     decoded = codec.with_event_time(codec.decode(raw, keep_raw=True))
     checked = quality.validate(decoded)
     good = checked.where(~quality.blocked()).drop("violations", "is_valid", "raw_value")
-    quarantine_path = quarantine_path or f"{transactions_path.rstrip('/')}_quarantine"
-    queries = []
-    v = progress.observe(verdicts(watermarked(good, delay), window, slide, threshold), "verdicts_live")
-    queries.append(start(v, os.path.join(checkpoint_root, "verdicts"),
-                         foreach_batch=pipeline_writer(transactions_path, alerts_path, id_fixes_date=id_fixes_date, jdbc=jdbc),
-                         processing_time=processing_time, available_now=available_now, query_name="verdicts",
-                         shuffle_partitions=state_partitions))
+    timed = watermarked(good, delay)
+    checkpoint = os.path.join(checkpoint_root, "verdicts")
+    writer = pipeline_writer(transactions_path, alerts_path, id_fixes_date=id_fixes_date, key_index=key_index, jdbc=jdbc,
+                             commits_path=commits_path, late_path=late_path, checkpoint=checkpoint, show=console_debug)
+    queries = [start(with_arrivals(verdicts(timed, window, slide, threshold), timed), checkpoint, foreach_batch=writer,
+                     processing_time=processing_time, available_now=available_now, query_name="verdicts",
+                     shuffle_partitions=state_partitions)]
     if early_alerts_path:
         queries.append(start(early_alerts(good), os.path.join(checkpoint_root, "early_alerts"),
                              foreach_batch=alerts_writer(early_alerts_path),
                              processing_time=processing_time, available_now=available_now,
                              query_name="early_alerts"))
-    bad = checked.where(quality.blocked())
-    queries.append(start(bad, os.path.join(checkpoint_root, "quarantine"), foreach_batch=quarantine_writer(quarantine_path),
+    queries.append(start(checked, os.path.join(checkpoint_root, "quarantine"),
+                         foreach_batch=quarantine_writer(quarantine_path, commits_path),
                          processing_time=processing_time, available_now=available_now, query_name="quarantine"))
-    if console_debug:  # the stateless half only: the stateful plan runs once
-        queries.append(console(early_alerts(good), processing_time=processing_time))
     return queries

@@ -1,6 +1,6 @@
-"""Live counters of a streaming query (events, alerts, rates, late rows, latency).
+"""Live counters of streaming queries (events, alerts, rates, late rows, latency).
 
-``observe`` adds named metrics that Spark computes inside the micro-batch
+``counters`` reads the pipeline's own totals; ``observe`` adds named metrics that Spark computes inside the micro-batch
 (no extra job); ``Totals`` sums them over all batches of a run; ``progress_rows``
 flattens ``StreamingQuery.recentProgress``, which holds the latest batches only.
 """
@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from cardwatch.functions import round_half_up
+from cardwatch.sources.commits import QUERY, Commits
+
 PROGRESS_SCHEMA = ("batch_id long, num_input_rows long, input_rows_per_second double, "
                    "processed_rows_per_second double, watermark string, rows_dropped_by_watermark long, "
                    "state_rows long, events long, alerts long, max_latency_ms long")
@@ -104,12 +107,24 @@ def watch(spark: SparkSession) -> Totals:
 
 
 def totals(spark: SparkSession, watched: Totals, query: StreamingQuery) -> DataFrame:
-    """Run totals: input rows, and state rows dropped as late.
+    """Run totals: input rows, summed over the query's reads of its sources (a join of a stream with itself reads it twice;
+    :func:`counters` counts records once)."""
+    t = watched.of(query)
+    return spark.createDataFrame([(t.get("input_rows", 0),)], "input_rows long")
+
+
+COUNTERS = ["records", "quarantined", "events", "alerts", "late"]
 
-    Spark counts late rows at the state store, after partial aggregation, so
-    for a windowed count the second number is late (window, key) groups per
-    map task, not raw events.
+
+def counters(spark: SparkSession, commits_path: str) -> DataFrame:
+    """Live counters of the pipeline, one row: records read, quarantined, transactions and alerts in the tables, late transactions.
+
+    They come from the commits, which carry the rows that committed batches
+    really added, summed over the pipeline's queries and over all checkpoints
+    that wrote to these tables.
     """
-    t = watched.of(query)
-    return spark.createDataFrame([(t.get("input_rows", 0), t.get("late_state_rows_dropped", 0))],
-                                 "input_rows long, late_state_rows_dropped long")
+    rows = Commits(spark, commits_path).totals(COUNTERS)
+    # a stream has one commit file, or for a moment two
+    rows = rows.groupBy(QUERY).agg(*[F.max_by(F.col(c), F.col("batch")).alias(c) for c in COUNTERS])
+    out = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])
+    return out.withColumn("alert_rate_pct", round_half_up(F.coalesce(F.try_divide(F.lit(100.0) * F.col("alerts"), F.col("events")), F.lit(0.0)), 3))
