@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch import schema as S
-from cardwatch.functions import hour_as_written, round_half_up
+from cardwatch.functions import hour_as_written, round_half_up, to_utc_ntz
 
 RuleFn = Callable[[], Column]
 
@@ -84,15 +84,39 @@ def category_threshold(category="merchant_category", thresholds: dict | None = N
 
 @_reusable
 def high_amount(amount="amount", category="merchant_category", thresholds: dict | None = None,
-                default: float = S.DEFAULT_THRESHOLD) -> Column:
-    """amount > threshold(category); confidence min(1, (amount/t - 1)*0.5 + 0.6) to 3 dp."""
+                default: float = S.DEFAULT_THRESHOLD, threshold: str | None = None) -> Column:
+    """amount > threshold(category); confidence min(1, (amount/t - 1)*0.5 + 0.6) to 3 dp.
+
+    ``threshold`` names a column with each row's own threshold (:func:`thresholds_asof`) instead.
+    """
     a = F.col(amount)
-    t = category_threshold(category, thresholds, default)
+    t = F.col(threshold) if threshold else category_threshold(category, thresholds, default)
     conf = round_half_up(F.least(F.lit(1.0), (a / t - F.lit(1.0)) * F.lit(0.5) + F.lit(0.6)), 3)
     reason = F.format_string(S.REASON_HIGH_AMOUNT, a, F.coalesce(F.col(category), F.lit("None")), t)
     return when_rule(a > t, signal(S.RULE_HIGH_AMOUNT, conf, reason))
 
 
+def thresholds_asof(txn: DataFrame, versions: DataFrame, time: str = "event_time", category: str = "merchant_category",
+                    default: float = S.DEFAULT_THRESHOLD, out: str = "threshold") -> DataFrame:
+    """``txn`` with the threshold that was in force at each row's time (batch or stream to static table).
+
+    ``versions`` holds (merchant_category, threshold, valid_from): a version is
+    in force from ``valid_from`` on until the category's next one.  Before the
+    first version, and for an unknown or NULL category, the default applies; of
+    versions with one ``valid_from`` the highest threshold does.  The versions
+    of a category become one sorted array, so the join is on the category alone
+    and a row is neither copied nor matched with several versions; Spark
+    broadcasts the few categories if they are below its threshold.
+    """
+    entry = F.struct(F.col("valid_from").alias("since"), F.col("threshold").cast("double").alias("threshold"))
+    history = (versions.groupBy(F.col("merchant_category").alias("_category"))
+               .agg(F.array_sort(F.collect_set(entry)).alias("_history")))
+    joined = txn.join(history, F.col(category) == F.col("_category"), "left")
+    when = F.col(time) if dict(txn.dtypes)[time] == "timestamp_ntz" else to_utc_ntz(F.col(time))
+    past = F.filter("_history", lambda v: v["since"] <= when)
+    return joined.withColumn(out, F.coalesce(F.try_element_at(past, F.lit(-1))["threshold"], F.lit(float(default)))).drop("_category", "_history")
+
+
 # ---------------------------------------------------------------- R2
 @_reusable
 def international_atm(category="merchant_category", international="is_international", amount="amount",

@@ -235,6 +235,53 @@ def q_insert_if_absent(spark, d):
     return _doubles(sinks.new_rows(batch.unionByName(batch), target))
 
 
+def q_insert_indexed(spark, d):
+    """The whole transactions table written in three overlapping batches through the key filters, and read back."""
+    import os
+    import uuid
+
+    from cardwatch.session import ensure_checkpoint_dir
+    path = os.path.join(ensure_checkpoint_dir(spark), "cardwatch-indexed", uuid.uuid4().hex[:12])
+    t = txn_table(spark, d).withColumn("event_date", F.to_date("event_time"))
+    before = F.col("event_time") < F.lit(INSERT_TARGET_BEFORE).cast("timestamp_ntz")
+    after = F.col("event_time") >= F.lit(INSERT_BATCH_FROM).cast("timestamp_ntz")
+    for part in (t.where(before), t.where(after), t):
+        sinks.insert_if_absent(part, path, partition_by=["event_date"], key_index=True)
+    return _doubles(spark.read.parquet(path).drop("event_date"))
+
+
+def q_review_writeback(spark, d):
+    """Reviews set in the stored alerts table, in the partitions that hold them; the table read back."""
+    import os
+    import uuid
+
+    from cardwatch.session import ensure_checkpoint_dir
+    path = os.path.join(ensure_checkpoint_dir(spark), "cardwatch-reviewed", uuid.uuid4().hex[:12])
+    alerts_table(spark, d).withColumn("event_date", F.to_date("alert_time")).write.partitionBy("event_date").parquet(path)
+    stored = spark.read.parquet(path)
+    feedback.write_back(spark, path, fixtures.reviews(stored))
+    return _doubles(spark.read.parquet(path).drop("event_date"))
+
+
+def threshold_versions(spark) -> DataFrame:
+    """The thresholds in force from the start, and stricter ones for half of the categories from the middle of the month on."""
+    first = [(c, float(v), "2000-01-01 00:00:00") for c, v in S.CATEGORY_THRESHOLDS.items()]
+    second = [(c, float(v) / 2, "2024-01-16 12:00:00") for c, v in S.CATEGORY_THRESHOLDS.items() if v >= 1500]
+    rows = enrich.literal_table(spark, first + second, ["merchant_category", "threshold", "valid_from"])
+    return rows.withColumn("valid_from", F.col("valid_from").cast("timestamp_ntz"))
+
+
+def asof_signals(txn: DataFrame) -> DataFrame:
+    """The high-amount rule with the thresholds in force at each transaction's time."""
+    s = rules.thresholds_asof(txn, threshold_versions(txn.sparkSession)).withColumn("_s", rules.high_amount(threshold="threshold"))
+    return s.select("transaction_id", "threshold", F.col("_s.rule_name").alias("rule_name"),
+                    F.col("_s.confidence").alias("confidence"), F.col("_s.reason").alias("reason"))
+
+
+def q_rule_high_amount_asof(spark, d):
+    return asof_signals(txn(spark, d))
+
+
 def q_fraud_metrics(spark, d):
     return reports.fraud_metrics(txn_table(spark, d))
 
@@ -339,6 +386,9 @@ QUERIES: dict[str, Query] = {
     "transactions_table": q_transactions_table,
     "alerts_table": q_alerts_table,
     "insert_if_absent": q_insert_if_absent,
+    "insert_indexed": q_insert_indexed,
+    "review_writeback": q_review_writeback,
+    "rule_high_amount_asof": q_rule_high_amount_asof,
     "fraud_metrics": q_fraud_metrics,
     "rule_performance": q_rule_performance,
     "pipeline_summary": q_pipeline_summary,

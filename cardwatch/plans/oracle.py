@@ -362,6 +362,37 @@ def oracle_sql() -> dict[str, str]:
                                "else fraud_reason end as fraud_reason from enriched")
     sql["velocity_flag_expansion"] = sql["velocity_flag"]
     sql["velocity_trailing_split"] = sql["velocity_trailing"]
+    sql["insert_indexed"] = sql["transactions_table"]
+    sql["review_writeback"] = sql["review_apply"]
+    asof = ("(case when merchant_category = 'atm' then if(event_time >= timestamp '2024-01-16 12:00:00', 750.0, 1500.0) "
+            "when merchant_category = 'online' then if(event_time >= timestamp '2024-01-16 12:00:00', 1000.0, 2000.0) "
+            "when merchant_category = 'travel' then if(event_time >= timestamp '2024-01-16 12:00:00', 4000.0, 8000.0) "
+            "when merchant_category = 'retail' then if(event_time >= timestamp '2024-01-16 12:00:00', 1500.0, 3000.0) "
+            "when merchant_category = 'grocery' then 800.0 when merchant_category = 'gas' then 400.0 "
+            "when merchant_category = 'restaurant' then 500.0 when merchant_category = 'pharmacy' then 600.0 else 5000.0 end)")
+    sql["rule_high_amount_asof"] = (
+        f"{T}, v as (select *, cast({asof} as double) as threshold from txn) select transaction_id, threshold, "
+        "case when amount > threshold then 'HIGH_AMOUNT' end as rule_name, case when amount > threshold then "
+        f"{_round(f'least({_d(1.0)}, (amount / threshold - {_d(1.0)}) * {_d(0.5)} + {_d(0.6)})', 3)} end as confidence, "
+        f"case when amount > threshold then printf('{S.REASON_HIGH_AMOUNT}', amount, coalesce(merchant_category, 'None'), threshold) end as reason from v")
+    sql["stream_high_amount_asof"] = sql["rule_high_amount_asof"]
+    sql["stream_fraud_metrics"] = sql["fraud_metrics"]
+    sql["stream_state_audit"] = (
+        f"{T} select user_id, ws as window_start, ws + interval '24 hours' as window_end, count(*) as txn_count "
+        "from (select user_id, time_bucket(interval '4 hours', event_time, timestamp '1970-01-01') - k * interval '4 hours' as ws "
+        "from txn, range(6) r(k)) x group by user_id, ws "
+        "having ws + interval '24 hours' > (select max(event_time) from txn) - interval '1 hour'")
+    sql["stream_latency"] = (
+        "with v as (select (event_id * 7919) % 90011 as ms from events), "
+        "b as (select case when ms < 32 then ms else 32 * (length(bin(ms)) - 6) + (ms >> (length(bin(ms)) - 6)) end as bin, count(*) as n "
+        "from v group by 1), c as (select bin, sum(n) over (order by bin) as upto, sum(n) over () as total from b), "
+        "q as (select max(total) as measured, min(case when upto >= ceil(total * 0.5) then bin end) as b1, "
+        "min(case when upto >= ceil(total * 0.95) then bin end) as b2, min(case when upto >= ceil(total * 0.99) then bin end) as b3 from c) "
+        "select cast(measured as bigint) as measured, " + ", ".join(
+            f"cast(case when b{k} < 64 then b{k} else (b{k} - 32 * (b{k} // 32 - 1)) << (b{k} // 32 - 1)::integer end as bigint) as {name}"
+            for k, name in ((1, "p50_ms"), (2, "p95_ms"), (3, "p99_ms"))) + " from q")
+    sql["stream_rapid_use"] = sql["rapid_use"]
+    sql["stream_velocity_trailing"] = sql["velocity_trailing"]
     sql.update(stream_oracle_sql())
     return sql
 

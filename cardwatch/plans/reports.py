@@ -23,13 +23,28 @@ def _money(col: Column) -> Column:
     return col.cast("double")
 
 
-def fraud_metrics(txn_table: DataFrame, ascending: bool = False, bucket: str = "1 hour") -> DataFrame:
-    """Per hour: total, fraud count, fraud rate % (3 dp), total and fraud volume."""
-    g = txn_table.groupBy(floor_time("event_time", bucket).alias("hour")).agg(
+def metric_parts(txn_table: DataFrame, bucket: str = "1 hour") -> DataFrame:
+    """Additive parts of :func:`fraud_metrics`: counts and exact sums per hour, of any share of the rows."""
+    return txn_table.groupBy(floor_time("event_time", bucket).alias("hour")).agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(_fraud()).alias("fraud_count"),
-        F.sum("amount").alias("_vol"),
-        F.sum(F.when(_fraud(), F.col("amount")).otherwise(F.lit(0).cast("decimal(12,2)"))).alias("_fvol"))
+        F.sum("amount").cast("decimal(38,2)").alias("_vol"),
+        F.sum(F.when(_fraud(), F.col("amount")).otherwise(F.lit(0).cast("decimal(12,2)"))).cast("decimal(38,2)").alias("_fvol"))
+
+
+def merged_metrics(parts: DataFrame) -> DataFrame:
+    """The parts of several shares of the rows added up."""
+    return parts.groupBy("hour").agg(*[F.sum(c).alias(c) for c in ("total_transactions", "fraud_count")],
+                                     *[F.sum(c).cast("decimal(38,2)").alias(c) for c in ("_vol", "_fvol")])
+
+
+def fraud_metrics(txn_table: DataFrame, ascending: bool = False, bucket: str = "1 hour") -> DataFrame:
+    """Per hour: total, fraud count, fraud rate % (3 dp), total and fraud volume."""
+    return metrics_of(metric_parts(txn_table, bucket), ascending)
+
+
+def metrics_of(g: DataFrame, ascending: bool = False) -> DataFrame:
+    """:func:`fraud_metrics` from its (merged) parts."""
     out = g.select(
         "hour", "total_transactions", "fraud_count",
         round_half_up(F.lit(100.0) * F.col("fraud_count") / F.col("total_transactions"), 3).alias("fraud_rate_pct"),

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from cardwatch.session import ensure_checkpoint_dir
 from cardwatch.operators import verdict
-from cardwatch.sources import codec, fixtures
-from cardwatch.streaming import jobs, progress
+from cardwatch.sources import codec, commits, fixtures
+from cardwatch.streaming import jobs, progress, trailing
 from cardwatch.streaming import sources as stream_sources
 
 STREAM_DELAY = "1 hour"
@@ -49,13 +49,13 @@ def _txn_stream(spark: SparkSession, d: str, oldest_last: bool = False, close: b
     return _staged(spark, fixtures.transactions(spark, d), "txn", oldest_last, close)
 
 
-def _drain(df: DataFrame, name: str, foreach_batch=None):
+def _drain(df: DataFrame, name: str, foreach_batch=None, **options):
     spark = df.sparkSession
     base = _folder(spark, name)
     out = os.path.join(base, "out")
     q = jobs.start(df, os.path.join(base, "checkpoint"), path=None if foreach_batch else out,
                    foreach_batch=foreach_batch, available_now=True,
-                   shuffle_partitions=spark.sparkContext.defaultParallelism)
+                   shuffle_partitions=spark.sparkContext.defaultParallelism, **options)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {q.exception()}")
@@ -92,6 +92,20 @@ def q_stream_velocity_windows(spark, d):
     return _read(spark, out)
 
 
+def q_stream_rapid_use(spark, d):
+    """Rapid use per transaction as the stream goes: keyed list state, a count as soon as the watermark makes it final."""
+    r = trailing.rapid_use(jobs.watermarked(_txn_stream(spark, d, close=True), STREAM_DELAY), bucket="7 days")
+    _, out = _drain(r, "rapid-use", rocksdb=True)
+    return _read(spark, out).select("transaction_id", "user_id", "rapid_count", "rapid_use")
+
+
+def q_stream_velocity_trailing(spark, d):
+    """The trailing 24 h count per transaction as the stream goes."""
+    r = trailing.trailing(jobs.watermarked(_txn_stream(spark, d, close=True), STREAM_DELAY), WINDOW, THRESHOLD, bucket="7 days")
+    _, out = _drain(r, "velocity-trailing", rocksdb=True)
+    return _read(spark, out).select("transaction_id", "user_id", "trailing_count", "trailing_fraud")
+
+
 def _alerts_sink(path: str):
     from cardwatch.sources import sinks
 
@@ -188,6 +202,60 @@ def q_stream_late_records(spark, d):
     return _doubles(late.select("transaction_id", "user_id", "amount", "event_time", "final_is_fraud", "final_rule", "fraud_confidence"))
 
 
+def q_stream_fraud_metrics(spark, d):
+    """The hourly metrics kept up to date by the stream's batches, some of which are replayed after a lost commit."""
+    timed = jobs.watermarked(_txn_stream(spark, d, close=True), STREAM_DELAY)
+    base = _folder(spark, "metrics")
+    paths = {k: os.path.join(base, k) for k in ("transactions", "alerts", "commits", "metrics", "checkpoint")}
+    write = jobs.pipeline_writer(paths["transactions"], paths["alerts"], created_at=F.lit(STREAM_CREATED_AT).cast("timestamp_ntz"),
+                                 commits_path=paths["commits"], metrics_path=paths["metrics"])
+    log = commits.Commits(spark, paths["commits"])
+
+    def twice(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id % 2:  # as if the driver had died before the commit: the batch comes again
+            log.revoke(commits.stream_id(batch.sparkSession), batch_id)
+            write(batch, batch_id)
+
+    q = jobs.start(jobs.verdicts(timed, WINDOW, SLIDE, THRESHOLD), paths["checkpoint"], available_now=True, foreach_batch=twice,
+                   shuffle_partitions=spark.sparkContext.defaultParallelism)
+    _finish([q])
+    return jobs.current_metrics(spark, paths["metrics"], paths["commits"])
+
+
+def q_stream_high_amount_asof(spark, d):
+    """The high-amount rule on the stream, with the thresholds in force at each transaction's time."""
+    from cardwatch.plans.catalog import asof_signals
+    _, out = _drain(asof_signals(_txn_stream(spark, d)), "asof")
+    return _read(spark, out)
+
+
+def q_stream_state_audit(spark, d):
+    """What a stream that was not closed still holds: its state, read from the checkpoint."""
+    w = jobs.velocity_windows(jobs.watermarked(_txn_stream(spark, d), STREAM_DELAY), WINDOW, SLIDE, 0)
+    base = _folder(spark, "state-audit")
+    checkpoint = os.path.join(base, "checkpoint")
+    q = jobs.start(w, checkpoint, path=os.path.join(base, "out"), available_now=True, rocksdb=True,
+                   shuffle_partitions=spark.sparkContext.defaultParallelism)
+    _finish([q])
+    held = progress.state(spark, checkpoint)
+    return held.select(F.col("key.user_id").alias("user_id"), jobs.as_wall_clock(F.col("key.window.start")).alias("window_start"),
+                       jobs.as_wall_clock(F.col("key.window.end")).alias("window_end"), F.col("value.count").alias("txn_count"))
+
+
+def q_stream_latency(spark, d):
+    """Quantiles of the time from a transaction to its record's arrival, from log-spaced bins kept per batch and merged."""
+    late_by = (fixtures.event_number(F.col("transaction_id")) * 7919) % 90_011
+    t = _txn_stream(spark, d)
+    t = t.withColumn("ingest_time", F.timestamp_add("MILLISECOND", late_by.cast("int"), F.col("event_time")))
+    base = _folder(spark, "latency")
+    paths = {k: os.path.join(base, k) for k in ("bins", "commits", "checkpoint")}
+    q = jobs.start(t.select("event_time", "ingest_time"), paths["checkpoint"], available_now=True,
+                   foreach_batch=progress.latency_writer(paths["bins"], paths["commits"]))
+    _finish([q])
+    return progress.latency(jobs.committed(spark, paths["bins"], paths["commits"]))
+
+
 def _finish(queries) -> None:
     for q in queries:
         q.awaitTermination()
@@ -248,12 +316,18 @@ STREAM_QUERIES = {
     "stream_stateless": q_stream_stateless,
     "stream_velocity_windows": q_stream_velocity_windows,
     "stream_velocity_alerts": q_stream_velocity_alerts,
+    "stream_rapid_use": q_stream_rapid_use,
+    "stream_velocity_trailing": q_stream_velocity_trailing,
     "stream_transactions_table": q_stream_transactions_table,
     "stream_alerts_table": q_stream_alerts_table,
     "stream_current_alerts": q_stream_current_alerts,
     "stream_early_alerts": q_stream_early_alerts,
     "stream_late_data": q_stream_late_data,
     "stream_progress": q_stream_progress,
+    "stream_fraud_metrics": q_stream_fraud_metrics,
+    "stream_high_amount_asof": q_stream_high_amount_asof,
+    "stream_state_audit": q_stream_state_audit,
+    "stream_latency": q_stream_latency,
     "stream_late_records": q_stream_late_records,
     "stream_pipeline_counters": q_stream_pipeline_counters,
     "stream_pipeline_audit": q_stream_pipeline_audit,

@@ -41,7 +41,10 @@ class Commits:
         return sorted(int(n[len(kind) + 1:-5]) for n in found if n.startswith(f"{kind}-") and n.endswith(".json"))
 
     def _file(self, query: str, kind: str, batch: int) -> str:
-        return f"{self.path}/{QUERY}={query}/{kind}-{batch:012d}.json"
+        return f"{self.path}/{QUERY}={query}/{kind}-{batch:+013d}.json"
+
+    def _write(self, query: str, kind: str, batch: int, record: dict) -> None:
+        storage.write_json(self.spark, self._file(query, kind, batch), record)
 
     def last(self, query: str) -> dict:
         """The stream's last commit: ``batch`` (-1 before the first) and its running totals."""
@@ -54,21 +57,33 @@ class Commits:
             return "done"
         again = batch in self._numbers(query, "begin")
         if not again:
-            storage.write_json(self.spark, self._file(query, "begin", batch), {"batch": batch})
+            self._write(query, "begin", batch, {"batch": batch})
         return "again" if again else "new"
 
     def commit(self, query: str, batch: int, counts: dict[str, int]) -> None:
         """Make a batch visible and add its counts to the running totals."""
         before = self.last(query)
-        totals = {k: before.get(k, 0) + n for k, n in counts.items()}
-        kept = {k: v for k, v in before.items() if k not in totals and k != "batch"}
-        storage.write_json(self.spark, self._file(query, "commit", batch), {"batch": batch, **kept, **totals})
+        sums = {k: v for k, v in before.items() if k not in ("batch", "before")}
+        totals = sums | {k: sums.get(k, 0) + n for k, n in counts.items()}
+        self._write(query, "commit", batch, {"batch": batch, **totals, "before": sums})
         # only now is what came before not needed
         for kind in ("begin", "commit"):
             for old in self._numbers(query, kind):
                 if old < batch or kind == "begin":
                     storage.delete(self.spark, self._file(query, kind, old))
 
+    def revoke(self, query: str, batch: int) -> None:
+        """Take a stream's last commit back, as if its batch had been lost just before it (tests and repairs).
+
+        The batch's rows become invisible until it is committed again.
+        """
+        last = self.last(query)
+        if last["batch"] != batch:
+            raise ValueError(f"batch {batch} is not the last commit")
+        self._write(query, "begin", batch, {"batch": batch})
+        self._write(query, "commit", batch - 1, {"batch": batch - 1, **last.get("before", {})})
+        storage.delete(self.spark, self._file(query, "commit", batch))
+
     def streams(self) -> list[str]:
         prefix = f"{QUERY}="
         return [n[len(prefix):] for n in storage.names(self.spark, self.path) if n.startswith(prefix)]

@@ -227,6 +227,18 @@ def jdbc_append(batch: DataFrame, url: str, table: str, properties: dict | None
     return None
 
 
+def write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> int:
+    """Rows of one batch of one stream in a folder of their own, which a replay overwrites; returns how many, writes none for none."""
+    rows = rows.persist()
+    try:
+        n = rows.count()
+        if n:
+            rows.write.mode("overwrite").parquet(f"{path}/{commits.QUERY}={query}/{commits.BATCH}={batch_id}")
+        return n
+    finally:
+        rows.unpersist()
+
+
 def foreach_batch_writer(write_fn, skip_empty: bool = True, persist: bool = True):
     """foreachBatch callback: persist once, skip empty batches, write, unpersist.
 

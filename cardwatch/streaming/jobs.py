@@ -40,6 +40,7 @@ from cardwatch import schema as S
 from cardwatch.functions import epoch_micros, from_epoch_micros, interval_micros
 from cardwatch.operators import rules as R
 from cardwatch.operators import quality, tables, velocity, verdict
+from cardwatch.plans import reports
 from cardwatch.sources import commits, sinks
 
 CONSOLE_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_category", "final_rule", "fraud_confidence"]
@@ -146,7 +147,7 @@ def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
                     partition_by: str | None = "event_date", id_fixes_date: bool = False,
                     jdbc: dict | None = None, key_index: bool = False, commits_path: str | None = None,
                     late_path: str | None = None, checkpoint: str | None = None, rules: R.RuleSet | None = None,
-                    show: bool = False) -> Callable[[DataFrame, int], None]:
+                    show: bool = False, metrics_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch callback for :func:`verdicts`: both tables from one persisted batch.
 
     Each table is keyed on ``transaction_id`` and written with
@@ -170,6 +171,11 @@ def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
     takes the arrivals that Spark's own rule (event time <= watermark of the
     batch before) drops, so every transaction is either decided or late.
     ``show`` prints the batch's fraud rows.
+
+    ``metrics_path`` (with ``commits_path``) keeps the hourly metrics up to
+    date: the additive parts of the rows that the batch added to the
+    transactions table, read back from the files it wrote, in a folder of the
+    batch's own.  :func:`current_metrics` adds up those of committed batches.
     """
 
     def put(rows: DataFrame, target: str, time: str, mark: tuple[str, int, bool] | None) -> int:
@@ -215,10 +221,17 @@ def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
                     mark = (query, batch_id, began == "again") if log else None
                     counts["events"] = put(txn_rows, transactions_path, "event_time", mark)
                     counts["alerts"] = put(alert_rows, alerts_path, "alert_time", mark)
+                    if mark and metrics_path:
+                        added = commits.marked(txn_rows.withColumn(partition_by, F.to_date("event_time")) if partition_by else txn_rows, query, batch_id)
+                        added = sinks.stored_table(added, transactions_path).where((F.col(commits.QUERY) == query) & (F.col(commits.BATCH) == batch_id))
+                        if partition_by:
+                            days = [r[0] for r in txn_rows.select(F.to_date("event_time")).distinct().collect()]  # days of one batch
+                            added = added.where(F.col(partition_by).isin(days))
+                        sinks.write_batch(reports.metric_parts(added), metrics_path, query, batch_id)
                 if "_arrived" in one.columns and late_path:
                     missed = one.where("_arrived").select(*[c for c in one.columns if c in S.TRANSACTION_FIELDS], "event_time")
                     missed = verdict.resolve(score(missed, rules).withColumn("velocity_fraud", F.lit(False)))
-                    counts["late"] = _write_batch(tables.to_transactions_table(missed, created_at), late_path, query, batch_id)
+                    counts["late"] = sinks.write_batch(tables.to_transactions_table(missed, created_at), late_path, query, batch_id)
         finally:
             one.unpersist()
         if log:
@@ -227,16 +240,9 @@ def pipeline_writer(transactions_path: str, alerts_path: str, created_at=None,
     return sinks.foreach_batch_writer(write, persist=False)
 
 
-def _write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> int:
-    """Rows of one batch of one stream in a folder of their own, which a replay overwrites; returns how many, writes none for none."""
-    rows = rows.persist()
-    try:
-        n = rows.count()
-        if n:
-            rows.write.mode("overwrite").parquet(f"{path}/{commits.QUERY}={query}/{commits.BATCH}={batch_id}")
-        return n
-    finally:
-        rows.unpersist()
+def current_metrics(spark, metrics_path: str, commits_path: str) -> DataFrame:
+    """The hourly fraud metrics as of the last committed batch, from the batches' parts instead of the transactions."""
+    return reports.metrics_of(reports.merged_metrics(committed(spark, metrics_path, commits_path)))
 
 
 def committed(spark, path: str, commits_path: str) -> DataFrame:
@@ -244,16 +250,21 @@ def committed(spark, path: str, commits_path: str) -> DataFrame:
     return commits.Commits(spark, commits_path).visible(spark.read.parquet(path))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str = "parquet",
           foreach_batch: Callable[[DataFrame, int], None] | None = None, output_mode: str = "append",
           processing_time: str | None = S.TRIGGER_INTERVAL, available_now: bool = False,
-          query_name: str | None = None, shuffle_partitions: int | None = None) -> StreamingQuery:
+          query_name: str | None = None, shuffle_partitions: int | None = None, rocksdb: bool = False) -> StreamingQuery:
     """Start a query with a required checkpoint; ``available_now`` drains the input and stops.
 
     ``shuffle_partitions`` sets the number of state partitions of this query
     only.  A stream keeps the number it first started with (it is recorded in
     the checkpoint) and adaptive execution does not coalesce it, so size it
     to the cores that will run the stream rather than the batch default.
+    ``rocksdb`` keeps this query's state in RocksDB, on the executors' disks
+    rather than in their memory, with the changes logged to the checkpoint.
     """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
@@ -263,16 +274,21 @@ def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str =
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format(fmt).option("path", path)
-    if shuffle_partitions is None:
-        return w.start()
+    own = {}
+    if shuffle_partitions is not None:
+        own["spark.sql.shuffle.partitions"] = str(int(shuffle_partitions))
+    if rocksdb:
+        own["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+        own["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     conf = df.sparkSession.conf
-    key = "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, str(int(shuffle_partitions)))
+    before = {k: conf.get(k, None) for k in own}
+    for k, v in own.items():
+        conf.set(k, v)
     try:
         return w.start()
     finally:
-        conf.set(key, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def console(df: DataFrame, columns: list[str] | None = None, processing_time: str = S.TRIGGER_INTERVAL) -> StreamingQuery:
@@ -364,7 +380,7 @@ def quarantine_writer(path: str, commits_path: str | None = None) -> Callable[[D
         bad = batch.observe(read, F.count(F.lit(1)).alias("n")).where(quality.blocked()).persist()
         try:
             bad.write.format("noop").mode("overwrite").save()  # one pass over the batch, counted in its last stage
-            n = _write_batch(bad, path, query, batch_id)
+            n = sinks.write_batch(bad, path, query, batch_id)
         finally:
             bad.unpersist()
         if log:

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from cardwatch.functions import round_half_up
-from cardwatch.sources.commits import QUERY, Commits
+from cardwatch.functions import epoch_micros, round_half_up
+from cardwatch.sources.commits import QUERY, Commits, stream_id
 
 PROGRESS_SCHEMA = ("batch_id long, num_input_rows long, input_rows_per_second double, "
                    "processed_rows_per_second double, watermark string, rows_dropped_by_watermark long, "
@@ -128,3 +128,66 @@ def counters(spark: SparkSession, commits_path: str) -> DataFrame:
     rows = rows.groupBy(QUERY).agg(*[F.max_by(F.col(c), F.col("batch")).alias(c) for c in COUNTERS])
     out = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])
     return out.withColumn("alert_rate_pct", round_half_up(F.coalesce(F.try_divide(F.lit(100.0) * F.col("alerts"), F.col("events")), F.lit(0.0)), 3))
+
+
+#: Bins per doubling of the latency: a quantile is at most one part in so many below the exact one.
+LATENCY_STEPS = 32
+
+
+def latency_bin(millis: Column) -> Column:
+    """Log-spaced bin of a duration: exact below ``LATENCY_STEPS``, then that many bins per doubling; integers only. Negative counts as 0."""
+    v = F.greatest(millis.cast("long"), F.lit(0).cast("long"))
+    shift = F.greatest(F.length(F.bin(v)) - F.lit(LATENCY_STEPS.bit_length()), F.lit(0))
+    top = F.call_function("shiftright", v, shift)
+    return (shift * LATENCY_STEPS + top).cast("long")
+
+
+def latency_floor(bin_: Column) -> Column:
+    """The smallest duration of a bin."""
+    shift = F.greatest(F.floor(bin_ / F.lit(LATENCY_STEPS)) - 1, F.lit(0)).cast("int")
+    return F.call_function("shiftleft", bin_ - shift * LATENCY_STEPS, shift)
+
+
+def latency_parts(rows: DataFrame, since: str = "event_time", until: str = "ingest_time") -> DataFrame:
+    """(bin, n) of the time between two columns: additive, so parts of a run are merged by adding."""
+    at = lambda c: F.unix_millis(c) if dict(rows.dtypes)[c] == "timestamp" else F.floor(epoch_micros(c) / 1000)
+    took = at(until) - at(since)
+    return rows.where(took.isNotNull()).groupBy(latency_bin(took).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def latency_writer(path: str, commits_path: str, since: str = "event_time", until: str = "ingest_time"):
+    """foreachBatch callback keeping each batch's histogram (a few hundred rows at most) in a folder of its own."""
+    from cardwatch.sources import sinks
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query, log = stream_id(batch.sparkSession), Commits(batch.sparkSession, commits_path)
+        if log.begin(query, batch_id) == "done":
+            return
+        sinks.write_batch(latency_parts(batch, since, until), path, query, batch_id)
+        log.commit(query, batch_id, {})
+
+    return sinks.foreach_batch_writer(write, persist=False)
+
+
+def latency(parts: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """One row: ``measured`` and per quantile ``p<percent>_ms``, the floor of the bin that holds the exact one.
+
+    The exact quantile is the value whose rank is ceil(q * n); it is less than
+    one part in ``LATENCY_STEPS`` above the floor.  Only bins are ordered, at most some thousands.
+    """
+    bins = parts.groupBy("bin").agg(F.sum("n").alias("n"))
+    upto = bins.withColumn("upto", F.sum("n").over(Window.orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy()))
+    of = [F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * F.lit(q)), F.col("bin"))).alias(f"b{k}") for k, q in enumerate(quantiles)]
+    return upto.agg(F.coalesce(F.max("all"), F.lit(0)).alias("measured"), *of).select(
+        "measured", *[latency_floor(F.col(f"b{k}")).alias(f"p{q * 100:g}_ms") for k, q in enumerate(quantiles)])
+
+
+def state(spark: SparkSession, checkpoint: str, name: str | None = None, operator: int = 0) -> DataFrame:
+    """What a stream holds between batches: a stateful operator's rows as of the checkpoint's last batch.
+
+    ``name`` is the state variable of an operator with several.
+    """
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    if name:
+        reader = reader.option("stateVarName", name)
+    return reader.load(checkpoint)
