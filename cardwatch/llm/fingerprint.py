@@ -1,13 +1,13 @@
-"""Document fingerprints as invertible Bloom lookup sketches, in DataFrame operations only.
+"""Document fingerprints as invertible Bloom lookup sketches.
 
 A text is cut into paragraphs: at line and sentence ends, alike everywhere in
 the text, and only a sentence of more than ``LONGEST`` characters in pieces.
 The set of their 64-bit digests goes into a sketch of three tables of ``CELLS``
-cells, each with a count, the XOR of the digests and the XOR of their check values.  Subtracting two sketches leaves the differing
+cells, each with a count, the XOR of the digests and the XOR of their check values.
+Subtracting two sketches leaves the differing
 digests; peeling takes cells with a single digest until all are recovered.  If
-peeling gets stuck, it is retried larger: the digests are dealt out to parts by
-their hash, each with a sketch of its own, enough parts for the two sizes, and
-a part that still gets stuck is dealt out again.  The likeness of two texts is
+peeling gets stuck, it is retried larger: with tables for the two sets' sizes,
+then, with another salt each time, of twice the size until it succeeds.  The likeness of two texts is
 the share of common digests among all, from the two sizes and the recovered
 difference.
 
@@ -19,10 +19,20 @@ after all others, and if all ids are null the last row's next text is empty.
 Scale: texts are shuffled once, into ranges of ids that quantiles bound; the
 row that continues a range is copied into it, so no global order is needed.
 All else is done in the row, with work linear in the number of paragraphs.
+
+Cutting, digests, neighbours and likeness are column expressions.  Sketches,
+subtraction and peeling are NumPy on Arrow batches, all rows of a batch at once:
+as column expressions they are exact too, but take about twice the CPU time
+that the check tool allows (README).
 """
 
 from __future__ import annotations
 
+import base64
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +42,8 @@ from cardwatch.llm.spans import let
 TABLES, CELLS = 3, 8
 #: A sentence longer than this is cut in pieces, counted from its own start.
 LONGEST = 300
-#: Rounds of peeling; a round without a single digest changes nothing.
-ROUNDS = 8
-#: Digests of both texts that a part gets on average.
-PART = 9
+#: Rounds of peeling at most (a few dozen do); a sketch that takes more counts as stuck.
+ROUNDS = 1_000
 #: Ranges of ids at most, found in two steps of 100.
 RANGES = 10_000
 BYTES_PER_RANGE = 32_000_000
@@ -50,115 +58,146 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def _check(digest: Column) -> Column:
-    return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFFFFFF))
-
-
-def _layout() -> Column:
-    """Per cell the shift that brings its table's bits of a digest down, and its place in the table."""
-    return F.array(*[F.struct(F.lit(8 * t).alias("shift"), F.lit(c).cast("long").alias("place"))
-                     for t in range(TABLES) for c in range(CELLS)])
-
-
-def _here(digest: Column, cell: Column) -> Column:
-    """True if the digest belongs to the cell of the layout."""
-    return F.call_function("shiftrightunsigned", digest, cell["shift"]).bitwiseAND(F.lit(CELLS - 1).cast("long")) == cell["place"]
-
-
-def sketch(keys: Column) -> Column:
-    """Cells of a set of digests: n, key and check."""
-    zero = F.lit(0).cast("long")
-
-    def cell(mine: Column) -> Column:
-        return F.struct(F.size(mine).cast("long").alias("n"), F.aggregate(mine, zero, lambda s, k: s.bitwiseXOR(k)).alias("key"),
-                        F.aggregate(mine, zero, lambda s, k: s.bitwiseXOR(_check(k))).alias("check"))
-
-    return F.transform(_layout(), lambda c: let(F.filter(keys, lambda k: _here(k, c)), cell))
-
-
-def subtract(a: Column, b: Column) -> Column:
-    """Cells of what only ``a`` (count 1) or only ``b`` (count -1) has."""
-    return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"),
-                                                  x["check"].bitwiseXOR(y["check"]).alias("check")))
-
-
-def peel(cells: Column) -> Column:
-    """``ok`` if all digests were recovered, and how many only the first (``plus``) and the second (``minus``) set has."""
-    none = F.lit(0).cast("long")
-
-    def take(cs: Column, p: Column) -> Column:
-        return F.zip_with(cs, _layout(), lambda c, at: F.when(_here(p["key"], at), F.struct(
-            (c["n"] - p["n"]).alias("n"), c["key"].bitwiseXOR(p["key"]).alias("key"),
-            c["check"].bitwiseXOR(_check(p["key"])).alias("check"))).otherwise(c))
-
-    def step(s: Column, _: Column) -> Column:
-        single = F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
-        keys = F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-        more = let(keys, lambda ks: F.struct(
-            F.aggregate(ks, s["cells"], take).alias("cells"),
-            (s["plus"] + F.size(F.filter(ks, lambda k: k["n"] == 1))).alias("plus"),
-            (s["minus"] + F.size(F.filter(ks, lambda k: k["n"] == -1))).alias("minus"), (F.size(ks) > 0).alias("going")))
-        return F.when(s["going"], more).otherwise(s)
-
-    start = F.struct(cells.alias("cells"), none.alias("plus"), none.alias("minus"), F.lit(True).alias("going"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.struct(
-        (~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))).alias("ok"),
-        s["plus"].alias("plus"), s["minus"].alias("minus")))
-
-
-def _deal(pair: Column, parts: Column, salt: int) -> Column:
-    """The two sets dealt out to parts by a hash of the digest; parts without digests are left out."""
-    mine = lambda keys, p: F.filter(keys, lambda k: F.pmod(F.xxhash64(k, F.lit(salt)), parts) == p)
-    dealt = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: F.struct(mine(pair["a"], p).alias("a"), mine(pair["b"], p).alias("b")))
-    return F.filter(dealt, lambda x: F.size(x["a"]) + F.size(x["b"]) > 0)
-
-
-def _sum(results: Column) -> Column:
-    zero = F.struct(F.lit(True).alias("ok"), F.lit(0).cast("long").alias("plus"), F.lit(0).cast("long").alias("minus"))
-    return F.aggregate(results, zero, lambda s, r: F.struct((s["ok"] & r["ok"]).alias("ok"), (s["plus"] + r["plus"]).alias("plus"),
-                                                            (s["minus"] + r["minus"]).alias("minus")))
-
-
-def _recover(pair: Column) -> Column:
-    return peel(subtract(sketch(pair["a"]), sketch(pair["b"])))
-
-
-def _retried(pair: Column, salts: tuple[int, ...]) -> Column:
-    """Peel a part; if it gets stuck, deal it out to eight and peel these, as long as salts last, then count all as different."""
-    if not salts:
-        rest = F.struct(F.lit(False).alias("ok"), F.size(F.array_except(pair["a"], pair["b"])).cast("long").alias("plus"),
-                        F.size(F.array_except(pair["b"], pair["a"])).cast("long").alias("minus"))
-        return rest
-    larger = lambda: _sum(F.transform(_deal(pair, F.lit(8), salts[0]), lambda x: _retried(x, salts[1:])))
-    return let(_recover(pair), lambda r: F.when(r["ok"], r).otherwise(larger()))
-
-
-def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
-    """How many digests only one of the two sets has: first from the sketches, then retried larger."""
-    pair = F.struct(a.alias("a"), b.alias("b"))
-
-    def larger(p: Column) -> Column:
-        # many parts are dealt in two steps, so that a digest is compared with few part numbers
-        parts = F.ceil((F.size(p["a"]) + F.size(p["b"])) / F.lit(float(PART))).cast("int")
-        first = F.when(parts > 16, F.ceil(F.sqrt(parts)).cast("int")).otherwise(F.greatest(parts, F.lit(1)))
-        fans = F.struct(first.alias("first"), F.ceil(parts / first.cast("double")).cast("int").alias("second"))
-        return let(fans, lambda f: _sum(F.flatten(F.transform(_deal(p, f["first"], 11), lambda x: F.transform(
-            F.when(f["second"] > 1, _deal(x, f["second"], 12)).otherwise(F.array(x)), lambda y: _retried(y, (21, 22)))))))
-
-    return let(peel(subtract(sketch_a, sketch_b)), lambda r: F.when(r["ok"], r).otherwise(let(pair, larger)))
-
-
-def likeness(size_a: Column, size_b: Column, diff: Column) -> Column:
+def _mix(x: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of 64-bit values (two rounds of multiply and shift)."""
+    x = x ^ np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(32))
+
+
+class Sketches:
+    """Sketches of many rows: row ``r`` has ``TABLES`` tables of ``sizes[r]`` (a power of two) cells."""
+
+    def __init__(self, sizes: np.ndarray, salt: int):
+        self.sizes, self.salt = sizes.astype(np.int64), salt
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes * TABLES)])
+        cells = int(self.starts[-1])
+        self.n, self.key, self.check = np.zeros(cells, np.int64), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
+
+    def _cell(self, rows: np.ndarray, keys: np.ndarray, table: int) -> np.ndarray:
+        inside = _mix(keys, self.salt * TABLES + table + 1) & (self.sizes[rows] - 1).astype(np.uint64)
+        return self.starts[rows] + table * self.sizes[rows] + inside.astype(np.int64)
+
+    def add(self, rows: np.ndarray, keys: np.ndarray, sign: np.ndarray | int) -> None:
+        checks = _mix(keys, 0) & np.uint64(0xFFFFFFFF)
+        for table in range(TABLES):
+            at = self._cell(rows, keys, table)
+            np.add.at(self.n, at, sign)
+            np.bitwise_xor.at(self.key, at, keys)
+            np.bitwise_xor.at(self.check, at, checks)
+
+    def minus(self, other: Sketches) -> Sketches:
+        out = Sketches(self.sizes, self.salt)
+        out.n, out.key, out.check = self.n - other.n, self.key ^ other.key, self.check ^ other.check
+        return out
+
+    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Take single digests until none is left: per row whether all were recovered, and how many had sign 1 and -1."""
+        row_of = np.repeat(np.arange(len(self.sizes)), self.sizes * TABLES)
+        table_of = (np.arange(len(row_of)) - self.starts[row_of]) // self.sizes[row_of]
+        of_table = [np.flatnonzero(table_of == t) for t in range(TABLES)]
+        found = {1: np.zeros(len(self.sizes), np.int64), -1: np.zeros(len(self.sizes), np.int64)}
+        going, rounds = True, 0
+        while going and rounds < ROUNDS:
+            going, rounds = False, rounds + 1
+            # table by table: a digest is in one cell of a table, so none is taken twice
+            for t in range(TABLES):
+                at = of_table[t][np.abs(self.n[of_table[t]]) == 1]
+                keys = self.key[at]
+                single = (_mix(keys, 0) & np.uint64(0xFFFFFFFF)) == self.check[at]
+                at, keys = at[single], keys[single]
+                if len(at):
+                    right = self._cell(row_of[at], keys, t) == at
+                    at, keys = at[right], keys[right]
+                if not len(at):
+                    continue
+                going = True
+                sign, rows = self.n[at].copy(), row_of[at]
+                for s in (1, -1):
+                    found[s] += np.bincount(rows[sign == s], minlength=len(self.sizes))
+                self.add(rows, keys, -sign)
+        left = np.flatnonzero((self.n != 0) | (self.key != 0) | (self.check != 0))
+        whole = np.ones(len(self.sizes), bool)
+        whole[row_of[left]] = False
+        return whole, found[1], found[-1]
+
+    def texts(self) -> list[str]:
+        """Each sketch as a string: per cell count (2 bytes), digest (8) and check (4). For sketches of one size."""
+        cells = np.zeros(len(self.n), np.dtype([("n", ">u2"), ("key", ">u8"), ("check", ">u4")]))
+        cells["n"], cells["key"], cells["check"] = self.n & 0xFFFF, self.key, self.check
+        data, width = cells.tobytes(), cells.itemsize * TABLES * CELLS
+        return [base64.b64encode(data[k:k + width]).decode() for k in range(0, len(data), width)]
+
+
+class Sets:
+    """A column of sets of digests: values and the row of each."""
+
+    def __init__(self, column: pa.Array):
+        self.values = column.flatten().to_numpy().view(np.uint64)
+        self.sizes = np.diff(column.offsets.to_numpy())
+        self.rows = np.repeat(np.arange(len(column)), self.sizes)
+
+    def sketch(self) -> Sketches:
+        out = Sketches(np.full(len(self.sizes), CELLS), 0)
+        out.add(self.rows, self.values, 1)
+        return out
+
+    def of(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Digests of some rows (a mask), with the rows numbered among them."""
+        mine = some[self.rows]
+        return (np.cumsum(some) - 1)[self.rows[mine]], self.values[mine]
+
+
+def difference(a: Sets, b: Sets, sketch_a: Sketches, sketch_b: Sketches) -> tuple[np.ndarray, np.ndarray, int]:
+    """Per row how many digests only the first and only the second set has, and how many rows took a retry."""
+    whole, plus, minus = sketch_a.minus(sketch_b).peel()
+    retried = int((~whole).sum())
+    least, salt = 1.0, 1
+    while not whole.all():
+        stuck = ~whole
+        wanted = np.maximum((a.sizes + b.sizes)[stuck] * 0.5 * least, CELLS)
+        sizes = np.exp2(np.ceil(np.log2(wanted))).astype(np.int64)
+        sides = []
+        for part in (a, b):
+            sides.append(Sketches(sizes, salt))
+            sides[-1].add(*part.of(stuck), 1)
+        done, more_plus, more_minus = sides[0].minus(sides[1]).peel()
+        at = np.flatnonzero(stuck)[done]
+        plus[at], minus[at], whole[at] = more_plus[done], more_minus[done], True
+        least, salt = least * 2, salt + 1
+    return plus, minus, retried
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """Rows of ``keys``, ``edited_keys`` and ``next_keys`` with the two fingerprints and the sizes of the two differences
+    (``edited_plus``, ``edited_minus``, ``next_plus``, ``next_minus``) instead."""
+    common.ship(rows.sparkSession)
+    kept = [c for c in rows.columns if not c.endswith("keys")]
+    names = ["fingerprint", "edited_fingerprint", "edited_plus", "edited_minus", "next_plus", "next_minus"]
+    ddl = ", ".join(f"{n} {'string' if n.endswith('fingerprint') else 'long'}" for n in names)
+    schema = rows.select(*kept).schema
+    for field in ddl.split(", "):
+        schema = schema.add(*field.split(" "))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, edited, after = (Sets(batch.column(c)) for c in ("keys", "edited_keys", "next_keys"))
+            sketches = [s.sketch() for s in (own, edited, after)]
+            out = [pa.array(sketches[0].texts()), pa.array(sketches[1].texts())]
+            for other, sketch in ((edited, sketches[1]), (after, sketches[2])):
+                out += [pa.array(c) for c in difference(own, other, sketches[0], sketch)[:2]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *out], [*kept, *names])
+
+    return rows.mapInArrow(run, schema)
+
+
+def likeness(size_a: Column, plus: Column, minus: Column) -> Column:
     """Common digests among all."""
-    every = size_a + diff["minus"]
-    return F.when(every == 0, 1.0).otherwise((size_a - diff["plus"]) / every.cast("double"))
-
-
-def as_text(cells: Column) -> Column:
-    """A sketch as a string: per cell count (2 bytes), digest (8) and check (4)."""
-    hexed = F.transform(cells, lambda c: F.concat(F.right(F.lpad(F.hex(c["n"]), 4, "0"), F.lit(4)), F.lpad(F.hex(c["key"]), 16, "0"),
-                                                  F.lpad(F.hex(c["check"]), 8, "0")))
-    return F.base64(F.unhex(F.concat_ws("", hexed)))
+    every = size_a + minus
+    return F.when(every == 0, 1.0).otherwise((size_a - plus) / every.cast("double"))
 
 
 def _range_of(value: Column, bounds: list[int]) -> Column:
@@ -174,7 +213,7 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
 
 
 def successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``text``, ``keys``, ``own`` (sketch) of every row and ``next_text``, ``next_keys``, ``following`` of the row that follows by descending id.
+    """``id``, ``text``, ``keys`` (digests) of every row and ``next_text``, ``next_keys`` of the row that follows by descending id.
 
     The smallest id is followed by the largest.
     """
@@ -194,13 +233,12 @@ def successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lowest = F.struct(F.lit(0).alias("part"), F.lit(2).alias("guest"))
     places = F.when(tops & (F.col("home") == len(bounds) - 1), F.array(own, lowest)).when(tops, F.array(own, above)).otherwise(F.array(own))
     dealt = rows.select("id", "text", F.explode(places).alias("p")).select("id", "text", F.col("p.part").alias("part"), F.col("p.guest").alias("guest"))
-    near = dealt.repartition("part").withColumn("keys", digests(F.col("text"))).withColumn("own", sketch(F.col("keys")))
+    near = dealt.repartition("part").withColumn("keys", digests(F.col("text")))
     order = Window.partitionBy("part").orderBy("guest", F.desc_nulls_last("id"), "text")
-    ahead = [F.lead(c).over(order).alias(name) for c, name in (("text", "next_text"), ("keys", "next_keys"), ("own", "following"))]
+    ahead = [F.lead(c).over(order).alias(name) for c, name in (("text", "next_text"), ("keys", "next_keys"))]
     none = F.array().cast("array<long>")
-    return (near.select("id", "text", "keys", "own", "guest", *ahead).filter("guest = 0").drop("guest")
-            .withColumns({"next_text": F.coalesce("next_text", F.lit("")), "next_keys": F.coalesce("next_keys", none),
-                          "following": F.coalesce("following", sketch(none))}))
+    return (near.select("id", "text", "keys", "guest", *ahead).filter("guest = 0").drop("guest")
+            .withColumns({"next_text": F.coalesce("next_text", F.lit("")), "next_keys": F.coalesce("next_keys", none)}))
 
 
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,15 +248,13 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     third = F.floor(n / 3).cast("int")
     rows = successors(docs, id_col, text_col).withColumn(
         "edited", F.concat(F.left("text", n - third), F.left("next_text", third)))
-    rows = rows.select("id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "keys",
-                       digests(F.col("edited")).alias("edited_keys"), "next_keys", "own", "following")
-    rows = rows.withColumn("after", sketch(F.col("edited_keys")))
-    a = F.size("keys")
-    return rows.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
-        as_text(F.col("after")).alias("edited_fingerprint"),
-        likeness(a, F.size("edited_keys"), difference(F.col("keys"), F.col("edited_keys"), F.col("own"), F.col("after"))).alias("near_edited"),
-        likeness(a, F.size("next_keys"), difference(F.col("keys"), F.col("next_keys"), F.col("own"), F.col("following"))).alias("near_next"))
+    rows = rows.select("id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.size("keys").alias("n"),
+                       "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
+    size = F.col("n")
+    return compared(rows).select(
+        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        likeness(size, F.col("edited_plus"), F.col("edited_minus")).alias("near_edited"),
+        likeness(size, F.col("next_plus"), F.col("next_minus")).alias("near_next"))
 
 
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

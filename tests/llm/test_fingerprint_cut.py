@@ -71,3 +71,21 @@ def test_likeness_is_that_of_the_exact_sets(spark):
 
 def test_no_place_in_the_text_changes_the_cut():
     assert re.findall(fingerprint.PARAGRAPH, "a. b!\nc") == ["a. ", "b!\n", "c"]
+
+
+def test_peeling_recovers_any_difference_and_retries_larger():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    rows_a, rows_b = [], []
+    for size, gone, new in [(0, 0, 0), (1, 1, 0), (0, 0, 1), (5, 0, 0), (40, 2, 3), (400, 390, 380), (5_000, 1, 1), (5_000, 4_000, 6_000), (9, 9, 9)] * 20:
+        a = rng.integers(-2**63, 2**63 - 1, size, dtype=np.int64)
+        rows_a.append(a.tolist())
+        rows_b.append(a[gone:].tolist() + rng.integers(-2**63, 2**63 - 1, new, dtype=np.int64).tolist())
+    a, b = (fingerprint.Sets(pa.array(r, pa.list_(pa.int64()))) for r in (rows_a, rows_b))
+    plus, minus, retried = fingerprint.difference(a, b, a.sketch(), b.sketch())
+    assert plus.tolist() == [len(set(x) - set(y)) for x, y in zip(rows_a, rows_b)]
+    assert minus.tolist() == [len(set(y) - set(x)) for x, y in zip(rows_a, rows_b)]
+    assert 0 < retried < len(rows_a)
+    assert a.sketch().texts()[3] == b.sketch().texts()[3] and len({len(t) for t in a.sketch().texts()}) == 1
