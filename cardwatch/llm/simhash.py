@@ -310,15 +310,17 @@ def components(edges: DataFrame) -> DataFrame:
     """``u``, ``v``: every vertex of ``edges`` that isn't its component's smallest, and the smallest.
 
     Alternates large and small stars until nothing changes.  Minima are
-    partial aggregates and joins are plain, so a vertex with very many links
-    is split.
+    partial aggregates, written before they are joined: both sides of a join
+    are then plain shuffle reads, and adaptive execution splits a vertex with
+    very many links.
     """
     def star(e: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = common.shared(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = (both.join(low, "u").filter(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = common.shared(large)
+        low = common.shared(large.groupBy("u").agg(F.min("v").alias("m")))
         hung = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         return common.shared(hung.union(low.select("u", F.col("m").alias("v"))).distinct())
 
@@ -343,8 +345,9 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     rows = common.shared(fingerprints(slim, "text", shingle).select("id", "text_hash", "fp"))
     vertices = common.shared(rows.groupBy("fp").agg(F.min("id").alias("least_id")))
     tree = components(links(vertices.select("fp"), max_bits))
-    rooted = vertices.join(tree, vertices["fp"] == tree["u"], "left").select("fp", "least_id", F.coalesce("v", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    rooted = common.shared(vertices.join(tree, vertices["fp"] == tree["u"], "left").select("fp", "least_id", F.coalesce("v", "fp").alias("root")))
+    # written, so that the join's sides are plain shuffle reads and a very large component is split
+    named = common.shared(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
     return rows.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp")
 
 
