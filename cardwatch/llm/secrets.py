@@ -15,8 +15,10 @@ repeated rows get the same result; an empty table gives an empty result.
 
 Scale: one pass over the texts, whose (few) candidates are written to the
 shared folder.  Counting is by partial aggregates, first by (hash, owner,
-repository), so a secret in a third of all rows is a few rows per task.  Rows
-without candidates are in no join.
+repository), so a secret in a third of all rows is a few rows per task.  The
+counts are written before spans are joined with them: the spans are then a
+plain shuffle read, which adaptive execution splits where one secret has very
+many.  Rows without candidates are in no join.
 """
 
 from __future__ import annotations
@@ -99,7 +101,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
         "key", "repo", "owner", F.col("s.start").alias("start"), F.col("s.rank").alias("rank"), F.col("s.end").alias("end"),
         F.col("s.kind").alias("kind"), F.col("s.base").alias("base"), F.col("s.hash").alias("hash"))
     known = held.select("hash", "owner", "repo")
-    judged = held.distinct().join(ownership(known), "hash").withColumn("live", F.col("n_owners") < copied_owners).filter("base OR live")
+    judged = held.distinct().join(common.shared(ownership(known)), "hash").withColumn("live", F.col("n_owners") < copied_owners).filter("base OR live")
     per_row = judged.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(
         "start", "rank", "end", "kind", "base", "n_repos", "n_owners", "live"))).alias("secrets"))
     kind = per_row.schema["secrets"].dataType
