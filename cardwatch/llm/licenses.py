@@ -62,7 +62,7 @@ SLACK = 8
 #: Share of a template's words that a span's votes must cover, and how many times the template's length it may be.
 COVER, STRETCH = 0.8, 1.5
 #: Template grams that are broadcast at once, at most.
-BROADCAST = 100_000
+BROADCAST = 5_000
 #: Hash that every text has once, so that texts without votes stay in the result.
 HEADER = -1
 
@@ -108,6 +108,12 @@ def _blocks(templates: list, most: int) -> Iterator[list[tuple]]:
     yield block
 
 
+def _literal(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """A small table of literals."""
+    entries = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*entries)))
+
+
 def votes(docs: DataFrame, templates: list[tuple[int, str, list[str], int]], id_col: str, text_col: str) -> DataFrame:
     """Per text (``id``, ``digest``, ``n_words``), template and diagonal the template positions that match, and per text a
     row without template that counts its copies."""
@@ -117,8 +123,9 @@ def votes(docs: DataFrame, templates: list[tuple[int, str, list[str], int]], id_
     rolled = texts.withColumn("grams", grams(F.col("words"))).withColumn("n_two", F.greatest(F.size("words") - 1, F.lit(0)))
     out = None
     for number, block in enumerate(_blocks(templates, BROADCAST)):
-        table = spark.createDataFrame(block, "template int, at int, gram array<string>")
         # a gram's own hash is the last of its grams
+        table = _literal(spark, [(t, at, " ".join(gram)) for t, at, gram in block], "template", "at", "text").select(
+            "template", "at", F.split("text", " ").alias("gram"))
         table = table.select(F.element_at(grams(F.col("gram")), -1).alias("hash"), "template", "at", "gram")
         every = F.col("grams")
         if number == 0:
@@ -140,7 +147,7 @@ def spans(voted: DataFrame, templates: list[tuple[int, str, list[str], int]], co
     """Spans of one template each (``id``, ``digest``, ``n_words``, ``template``): first and last word of the span, the share
     of the template covered, ``verified`` and, for phrases, ``places``, ``first_place``, ``last_place``; and the rows without template."""
     spark = voted.sparkSession
-    known = spark.createDataFrame([(n, label, len(w), k) for n, label, w, k in templates], "template int, label string, size int, k int")
+    known = _literal(spark, [(n, label, len(w), k) for n, label, w, k in templates], "template", "label", "size", "k")
     # all later groups are within a text
     voted = voted.repartition("id", "digest").join(F.broadcast(known), "template", "left")
     text = ["id", "digest", "n_words", "template"]
