@@ -7,7 +7,13 @@ two-state chain over word, affix and shape features is fitted to the labelled
 tokens; forward-backward marginals give the toxic spans, and a logistic
 function of their document totals, fitted to the document labels, the score.
 
-Defined results: a null or empty text has no span and the score of an
+Tokens are runs of letters and digits of one kind of script; all else (blanks,
+punctuation, markup) parts them.  A run longer than a word usually is, or of a
+script written without blanks, is cut into pieces that are each tagged: at known
+cue words inside it, and else after a fixed number of characters.  So every
+letter of a text is read as part of some token.
+
+Defined results: a null or empty text, or one without letters and digits, has no span and the score of an
 uneventful text; without a toxic and a clean labelled document there is no
 model, every score is 0 and no span is found.  Repeated rows are scored alike,
 extra columns are passed through, and columns named like a result are replaced.
@@ -20,9 +26,12 @@ pass without a shuffle, in batches, over whole texts.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +40,19 @@ from pyspark.sql import types as T
 
 from cardwatch.llm import common
 
-EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—¡¿·"
-WORD = re.compile(r"\S+")
+#: Scripts written without blanks between words: Thai to Khmer, Chinese, Japanese, Korean.
+DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff"
+RUN = re.compile(f"[0-9A-Za-z\u00c0-\u024f]+|[{DENSE}]+|[^\\W_0-9A-Za-z\u00c0-\u024f{DENSE}]+")
+#: Characters of a piece: of a run longer than this, and of a run of a dense script.
+PIECE, DENSE_PIECE = 14, 4
+#: Letters that a cue word has at least to be looked for inside a run.
+INSIDE = 4
 PREFIXES = (3, 4, 5, 6, 7)
 #: Steps of the grid that a text's chain is laid out in; messages go on from one column to the next.
 CHAIN = 64
 #: A message that changes by less than this is not carried further; each step makes a change smaller.
 SAME = 1e-12
-#: Distinct tokens whose features a worker remembers, and the longest of them.
+#: Distinct runs whose scores a worker remembers, and the longest of them.
 REMEMBERED, LONGEST = 150_000, 64
 THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
@@ -51,15 +65,57 @@ FIELDS = [
 ]
 
 
-def core(token: str) -> str:
-    """The token in lower case without punctuation at its ends."""
-    return token.lower().strip(EDGE)
+class Cutter:
+    """Cuts runs into tokens; ``inside`` are the words looked for within long runs."""
+
+    def __init__(self, inside: Iterable[str] = ()):
+        self.automaton = ahocorasick.Automaton()
+        for word in inside:
+            self.automaton.add_word(word, word)
+        if len(self.automaton):
+            self.automaton.make_automaton()
+        self.is_dense = re.compile(f"[{DENSE}]").match
+
+    def sizes(self, run: str) -> list[int]:
+        """Lengths of the run's tokens, in order."""
+        most = DENSE_PIECE if self.is_dense(run) else PIECE
+        if len(run) <= most:
+            return [len(run)]
+        out, at = [], 0
+
+        def even(stop: int) -> None:
+            nonlocal at
+            while at < stop:
+                out.append(min(most, stop - at))
+                at += out[-1]
+
+        if len(self.automaton):
+            lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in run)  # as long as the run
+            for end, word in self.automaton.iter_long(lowered):  # leftmost longest, without overlaps
+                even(end + 1 - len(word))
+                out.append(len(word))
+                at = end + 1
+        even(len(run))
+        return out
+
+    def tokens(self, text: str | None) -> list[str]:
+        """All tokens of a text."""
+        out = []
+        for run in RUN.findall(text or ""):
+            if len(run) <= DENSE_PIECE:
+                out.append(run)
+                continue
+            at = 0
+            for size in self.sizes(run):
+                out.append(run[at:at + size])
+                at += size
+        return out
 
 
 def features(token: str) -> list[str]:
     """Word, beginnings, ending and shape of one token."""
-    w = core(token)
-    out = ["w=" + w] if len(w) <= LONGEST else []
+    w = token.lower()
+    out = ["w=" + w]
     out += [f"p{n}={w[:n]}" for n in PREFIXES if len(w) > n]
     out.append("s3=" + w[-3:])
     if any(c.isdigit() for c in w):
@@ -69,18 +125,19 @@ def features(token: str) -> list[str]:
 
 def cues(token: str) -> list[str]:
     """What may be a cue: the word and its longer beginnings."""
-    w = core(token)
-    return ["w=" + w] + [f"p{n}={w[:n]}" for n in PREFIXES if n >= 4 and len(w) > n] if 3 <= len(w) <= LONGEST else []
+    w = token.lower()
+    return ["w=" + w] + [f"p{n}={w[:n]}" for n in PREFIXES if n >= 4 and len(w) > n] if len(w) >= 3 else []
 
 
 @dataclass
 class Model:
-    """Feature weights of the toxic state, the chain's weights and the document calibration."""
+    """Feature weights of the toxic state, the chain's weights, the document calibration and the words looked for inside runs."""
 
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = -6.0
     move: tuple[float, float, float, float] = (0.0, 0.0, 0.0, 0.0)
     doc: tuple[float, ...] = ()
+    inside: tuple[str, ...] = ()
 
 
 def chains(scores: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,16 +253,23 @@ class Tagger:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, float] = {}
+        self.cutter = Cutter(model.inside)
+        self.known: dict[str, tuple[float, ...]] = {}
 
     def score(self, token: str) -> float:
         w = self.model.weights
-        s = self.model.bias + sum(w.get(f, 0.0) for f in features(token))
+        return self.model.bias + sum(w.get(f, 0.0) for f in features(token))
+
+    def scores(self, run: str) -> tuple[float, ...]:
+        """Scores of a run's tokens."""
+        sizes = self.cutter.sizes(run)
+        ends = np.cumsum(sizes).tolist()
+        got = tuple(self.score(run[e - n:e]) for e, n in zip(ends, sizes))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        if len(token) <= LONGEST:
-            self.known[token] = s
-        return s
+        if len(run) <= LONGEST:
+            self.known[run] = got
+        return got
 
     def totals(self, texts: list[str | None], budget: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """Blocks of texts of at most about ``budget`` characters: totals, marginals and the number of texts."""
@@ -220,24 +284,25 @@ class Tagger:
 
     def block(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Per text the number of tokens, the largest log odds and the sums that the score is made of; and all marginals."""
-        known, score = self.known, self.score
+        known, scores = self.known, self.scores
         values: list[float] = []
         lengths = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             if text:
-                tokens = text.split()
-                lengths[i] = len(tokens)
-                got = list(map(known.get, tokens))
+                found = RUN.findall(text)
+                got = list(map(known.get, found))
                 if None in got:
-                    got = [score(t) if v is None else v for t, v in zip(tokens, got)]
-                values += got
+                    got = [scores(t) if v is None else v for t, v in zip(found, got)]
+                before = len(values)
+                values.extend(chain.from_iterable(got))
+                lengths[i] = len(values) - before
         if not values:
             return np.zeros((len(texts), 3)), np.zeros(0)
-        grid, step, chain = chains(np.array(values), lengths)
+        grid, step, column = chains(np.array(values), lengths)
         follows = np.ones(grid.shape[1], dtype=bool)
-        follows[chain[(np.cumsum(lengths) - lengths)[lengths > 0]]] = False
-        p, _, _ = marginals(grid, self.model.move, np.bincount(chain), follows)
-        p = np.clip(p[step, chain], 1e-9, 1 - 1e-9)
+        follows[column[(np.cumsum(lengths) - lengths)[lengths > 0]]] = False
+        p, _, _ = marginals(grid, self.model.move, np.bincount(column), follows)
+        p = np.clip(p[step, column], 1e-9, 1 - 1e-9)
         ends = np.cumsum(lengths)
         out = np.zeros((len(texts), 3))
         full = np.flatnonzero(lengths)
@@ -263,14 +328,18 @@ class Tagger:
     def spans(self, text: str, p: np.ndarray) -> list[dict]:
         """Offsets in code points of runs of toxic tokens."""
         out: list[dict] = []
-        last = -2
-        for k, m in enumerate(WORD.finditer(text)):
-            if p[k] >= SPAN_MARGINAL:
-                if last == k - 1:
-                    out[-1]["end"] = m.end()
-                else:
-                    out.append({"start": m.start(), "end": m.end()})
-                last = k
+        last, k = -2, 0
+        for m in RUN.finditer(text):
+            start = m.start()
+            for size in self.cutter.sizes(m.group()):
+                if p[k] >= SPAN_MARGINAL:
+                    if last == k - 1:
+                        out[-1]["end"] = start + size
+                    else:
+                        out.append({"start": start, "end": start + size})
+                    last = k
+                start += size
+                k += 1
         return out
 
 
@@ -292,8 +361,9 @@ def fit_score(x: np.ndarray, y: np.ndarray, rounds: int = 60, l2: float = 0.05)
 def count_cues(rows: Iterable[tuple[str | None, int]], most: int = 300_000) -> Iterator[dict[str, tuple[int, int]]]:
     """Numbers of toxic and clean documents with each cue; a part whenever the table is large."""
     seen: dict[str, list[int]] = {}
+    cutter = Cutter()
     for text, toxic in rows:
-        for f in {f for t in set((text or "").split()) for f in cues(t)}:
+        for f in {f for t in set(cutter.tokens(text)) for f in cues(t)}:
             seen.setdefault(f, [0, 0])[0 if toxic else 1] += 1
         if len(seen) > most:
             yield {k: (v[0], v[1]) for k, v in seen.items()}
@@ -301,16 +371,20 @@ def count_cues(rows: Iterable[tuple[str | None, int]], most: int = 300_000) -> I
     yield {k: (v[0], v[1]) for k, v in seen.items()}
 
 
-def windows(text: str | None, toxic: int, strong: frozenset[str], most: int = 3, width: int = CHAIN) -> list[tuple[list[str], list[int]]]:
-    """Labelled chains of one document: around cues in toxic texts, from its start and middle in clean ones."""
-    tokens = (text or "").split()
+def windows(text: str | None, toxic: int, strong: frozenset[str], cutter: Cutter, most: int = 3,
+            width: int = CHAIN) -> list[tuple[list[str], list[int]]]:
+    """Labelled chains of one document, ``most`` at most: around cues in toxic texts, drawn by hash from the whole text in clean ones."""
+    tokens = cutter.tokens(text)
     if not tokens:
         return []
     marks = [int(bool(toxic) and not strong.isdisjoint(cues(t))) for t in tokens]
     hits = [k for k, m in enumerate(marks) if m]
-    begins = [0, len(tokens) // 2][:1 if len(tokens) < 2 * width else 2]
     if hits:
         begins = [max(0, k - width // 2) for k in hits[:: max(1, len(hits) // most)][:most]]
+    else:
+        seed = zlib.crc32((text or "").encode("utf-8", "replace"))
+        last = max(len(tokens) - width, 0)
+        begins = sorted({zlib.crc32(f"{seed}:{k}".encode()) % (last + 1) for k in range(min(most, 1 + last // width))})
     return [(tokens[b:b + width], marks[b:b + width]) for b in begins]
 
 
@@ -325,8 +399,15 @@ def learnable(labels: DataFrame, id_col: str, label_col: str, max_labelled: int)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          max_labelled: int = 16_000, max_chains: int = 6_000, min_docs: int = 3, min_lift: float = 15.0) -> Model:
-    """Fit the model to labelled documents outside the held-out fold (bounds: ``max_labelled``, ``max_chains``)."""
+          max_labelled: int = 16_000, max_chains: int = 6_000, min_docs: int = 3, min_lift: float = 15.0,
+          max_cues: int = 20_000, windows_per_document: int = 3) -> Model:
+    """Fit the model to labelled documents outside the held-out fold.
+
+    Bounds: ``max_labelled`` documents, whose whole texts are read for cues and
+    for the calibration; ``max_cues`` cues, those in most toxic documents first;
+    ``windows_per_document`` chains of 64 tokens a document and ``max_chains`` in
+    all for the chain's weights.
+    """
     common.ship(docs.sparkSession)
     ids = F.broadcast(learnable(labels, id_col, label_col, max_labelled))
     sample = common.shared(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -347,12 +428,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         sample.mapInArrow(counted, "cue string, toxic long, clean long").groupBy("cue")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter((F.col("toxic") >= min(min_docs, max(1, n_toxic // 2))) & (lift >= min_lift))
-        .orderBy(F.desc("toxic"), "cue").limit(20_000).select("cue").collect()))
+        .orderBy(F.desc("toxic"), "cue").limit(max_cues).select("cue").collect()))
+    inside = tuple(sorted(c[2:] for c in strong if c.startswith("w=") and len(c) >= 2 + INSIDE))
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = Cutter(inside)
         for b in batches:
             got = [(i, y, s, m) for i, t, y in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), b.column("y").to_pylist())
-                   for s, m in windows(t, y, strong)]
+                   for s, m in windows(t, y, strong, cutter, windows_per_document)]
             if got:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([str(x[0]) for x in got]), pa.array([x[1] for x in got], pa.int32()),
@@ -366,6 +449,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .union(chosen.filter((F.col("y") == 0)).orderBy(*order).limit(max_chains // 2))).collect()
     of: dict[str, list[str]] = {}  # one list per distinct token, not per token
     model = fit_chain([([of.get(t) or of.setdefault(t, features(t)) for t in r["tokens"]], r["marks"]) for r in rows]) if rows else Model()
+    model.inside = inside
     del rows, of
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
