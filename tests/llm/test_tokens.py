@@ -89,3 +89,20 @@ def test_proven_strings_are_single_tokens():
 def test_empty_tables(spark, none):
     assert bpe.encode(none, PATH, P.PATTERN).count() == 0
     assert token_counts.count(none, P.path(token_counts.VOCABULARY), P.PATTERN).count() == 0
+
+
+def test_long_pieces_take_time_in_proportion():
+    import time
+
+    model = token_counts.prove(common.file_bytes(P.path(token_counts.VOCABULARY)))
+    library = Tokenizer.from_file(P.path(token_counts.VOCABULARY))
+    rng = np.random.default_rng(6)
+    piece = lambda n: "".join(rng.choice(list("etaoinshrdlu"), n))
+    for text in [piece(65), piece(300), piece(5_000), "ab" * 400, "a" * 1_001, "the" * 300]:
+        assert token_counts.merged_size(text.encode(), model.merges) == len(library.encode(text, add_special_tokens=False).ids)
+    seconds = []
+    for n in (100_000, 1_000_000):
+        data, begin = piece(n).encode(), time.process_time()
+        token_counts.merged_size(data, model.merges)
+        seconds.append((time.process_time() - begin) / n)
+    assert seconds[1] < 2.5 * seconds[0], seconds
