@@ -17,13 +17,16 @@ without words match nothing; an item with a null id hits words but is not
 listed; repeated items count once by id; an empty benchmark leaves every
 document clean; an empty table gives an empty result.
 
-Scale: no shuffle.  The benchmark goes out in blocks of at most
-``block_words`` words (that bounds the broadcast); each block is one pass over
-the documents, which carry the ranges found so far.
+Scale: documents are not shuffled.  The benchmark goes out in blocks of about
+``block_words`` words at most; each block is one pass over
+the documents, which carry the ranges found so far.  Spark cuts and deals the
+items into blocks in the shared folder; the driver reads and broadcasts one
+block at a time, and releases it when its pass is written.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
@@ -66,22 +69,52 @@ class Block:
         self.size += len(item)
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[Block]:
-    """The benchmark in blocks; an item longer than a block is cut with an overlap that keeps every window."""
-    block = Block()
-    for row in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).toLocalIterator():
-        item = words(row[1])
-        if not item:
-            continue
-        step = max(block_words - window + 1, 1)
-        pieces = [item] if len(item) <= block_words else [item[k:k + block_words] for k in range(0, len(item) - window + 1, step)]
-        for piece in pieces:
-            if block.size and block.size + len(piece) > block_words:
-                yield block
-                block = Block()
-            block.add(row[0], piece)
-    if block.size:
-        yield block
+PIECES = "id string, words string, n long"
+
+
+def pieces(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> DataFrame:
+    """Items as blank-joined words; one longer than a block is cut with an overlap that keeps every window."""
+    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    step = max(block_words - window + 1, 1)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.blocks(batch, "text"):
+                out = []
+                for id_, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                    item = words(text)
+                    begins = range(0, max(len(item) - window + 1, 1), step) if len(item) > block_words else range(min(len(item), 1))
+                    out += [(id_, b" ".join(item[k:k + block_words]).decode("utf-8"), min(block_words, len(item) - k)) for k in begins]
+                cols = zip(*out) if out else ([], [], [])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()))], ["id", "words", "n"])
+
+    return rows.mapInArrow(cut, PIECES)
+
+
+class Blocks:
+    """The benchmark's blocks: ``count`` of them, read one at a time."""
+
+    def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int):
+        common.ship(benchmark.sparkSession)
+        self.rows = pieces(benchmark, id_col, text_col, window, block_words)
+        size = self.rows.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+        total = size["n"] or 0
+        self.count, self.folder = 1, None
+        if total > block_words:
+            # dealt by hash, half full on average, so that hardly any block is larger than asked for
+            self.count = -(-2 * total // block_words)
+            self.folder = f"{common.shared_folder(benchmark.sparkSession)}/benchmark-{uuid.uuid4().hex}"
+            dealt = self.rows.withColumn("block", F.pmod(F.xxhash64("id", "words"), F.lit(self.count)))
+            dealt.repartition("block").write.partitionBy("block").parquet(self.folder)
+
+    def read(self, number: int) -> Block:
+        rows = self.rows
+        if self.folder:
+            rows = rows.sparkSession.read.schema(f"{PIECES}, block long").parquet(self.folder).filter(F.col("block") == number)
+        block = Block()
+        for r in rows.select("id", "words").toLocalIterator():
+            block.add(r["id"], r["words"].encode("utf-8").split())
+        return block
 
 
 def keys(rows: np.ndarray) -> np.ndarray:
@@ -191,9 +224,10 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_i
     docs = common.without(docs, *[f.name for f in FOUND])
     plain = docs.columns
     schema = T.StructType(list(docs.schema.fields) + FOUND)
-    first = True
-    for block in [*blocks(benchmark, item_id_col, item_text_col, window, block_words)] or [Block()]:
-        packed = docs.sparkSession.sparkContext.broadcast(block)
+    parts = Blocks(benchmark, item_id_col, item_text_col, window, block_words)
+    for number in range(parts.count):
+        first, last = number == 0, number == parts.count - 1
+        packed = docs.sparkSession.sparkContext.broadcast(parts.read(number))
 
         def run(batches: Iterator[pa.RecordBatch], packed=packed, first=first) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(packed.value, window) if packed.value.size else None
@@ -223,9 +257,10 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_i
                     [*[batch.column(c) for c in plain], pa.array(counts, pa.int64()), pa.array(ranges, pa.list_(pa.int32())),
                      pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int64())], [*plain, *[f.name for f in FOUND]])
 
-        docs = docs if first else common.shared(docs)
         docs = docs.mapInArrow(run, schema)
-        first = False
+        if not last:
+            docs = common.shared(docs)
+            packed.destroy()
     return docs
 
 
