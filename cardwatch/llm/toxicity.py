@@ -467,8 +467,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD, only_clean: bool = False) -> DataFrame:
     """``docs`` with ``toxic_score``, ``toxic_spans`` (start and end in code points) and ``is_toxic``.
 
-    ``only_clean`` leaves toxic documents out, in the task.
+    ``only_clean`` leaves toxic documents out, in the task; a column of ``docs`` named like a result
+    then stays as it is, in the result's place.
     """
+    if only_clean:
+        taken = {f.name for f in FIELDS} | {"clean"}
+        aside = {c: f"__own_{k}" for k, c in enumerate(docs.columns) if c.lower() in taken}
+        found = score_kept(docs.withColumnsRenamed(aside), model, text_col, threshold)
+        return common.without(found, *aside).withColumnsRenamed({v: k for k, v in aside.items()})
+    return common.annotate(docs, text_col, scorer(docs, model, threshold), FIELDS)
+
+
+def score_kept(docs: DataFrame, model: Model, text_col: str, threshold: float) -> DataFrame:
+    """Scored rows that are not toxic."""
+    out = common.annotate(docs, text_col, scorer(docs, model, threshold), [*FIELDS, T.StructField("clean", T.BooleanType())], keep="clean")
+    return common.without(out, "clean")
+
+
+def scorer(docs: DataFrame, model: Model, threshold: float) -> Callable[[], Callable[[pa.Array], dict[str, pa.Array]]]:
+    """What :func:`common.annotate` runs in a task."""
     packed = docs.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[pa.Array], dict[str, pa.Array]]:
@@ -491,10 +508,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
 
         return work
 
-    if only_clean:
-        out = common.annotate(docs, text_col, make, [*FIELDS, T.StructField("clean", T.BooleanType())], keep="clean")
-        return common.without(out, "clean")
-    return common.annotate(docs, text_col, make, FIELDS)
+    return make
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
