@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Matches that are gathered step by step; more of them are gathered in such runs.
+RUN = 200
 MATCH = "array<struct<value:string,start:int,end:int,before:string,after:string>>"
 
 
@@ -29,18 +31,35 @@ def matches(text: Column, gate: Column, pattern: str, context: int = 40) -> Colu
                      F.split(text, pattern, -1).alias("gap"))
 
     def places(s: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(MATCH).alias("out"))
-
-        def step(acc: Column, i: Column) -> Column:
-            hit, gap, after = F.get(s["hit"], i), F.get(s["gap"], i), F.get(s["gap"], i + 1)
-            begin = acc["at"] + F.length(gap)
-            end = begin + F.length(hit)
-            one = F.struct(hit.alias("value"), begin.alias("start"), end.alias("end"),
-                           F.right(gap, F.lit(context)).alias("before"), F.left(after, F.lit(context)).alias("after"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-        return F.when(F.size(s["hit"]) > 0,
-                      F.aggregate(F.sequence(F.lit(0), F.size(s["hit"]) - 1), start, step, lambda acc: acc["out"]))
+        def run(first: Column, last: Column) -> Column:
+            """Matches ``first`` to ``last`` with offsets from the end of the match before, and how far they reach."""
+            start = F.struct(F.lit(0).alias("at"), F.array().cast(MATCH).alias("out"))
+
+            def step(acc: Column, i: Column) -> Column:
+                hit, gap, after = F.get(s["hit"], i), F.get(s["gap"], i), F.get(s["gap"], i + 1)
+                begin = acc["at"] + F.length(gap)
+                end = begin + F.length(hit)
+                one = F.struct(hit.alias("value"), begin.alias("start"), end.alias("end"),
+                               F.right(gap, F.lit(context)).alias("before"), F.left(after, F.lit(context)).alias("after"))
+                return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+            return F.aggregate(F.sequence(first, last), start, step)
+
+        n = F.size(s["hit"])
+
+        def long() -> Column:
+            """Runs of ``RUN`` matches, then moved by where each run begins: an array that grows is copied at each step."""
+            runs = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / RUN).cast("int")),
+                               lambda k: run(k * RUN, F.least(k * RUN + (RUN - 1), n - 1)))
+            begins = lambda rs: F.aggregate(rs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                                            lambda acc, r: F.struct((acc["at"] + r["at"]).alias("at"),
+                                                                    F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+            moved = lambda r, by: F.transform(r["out"], lambda m: F.struct(
+                m["value"].alias("value"), (m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["before"].alias("before"),
+                m["after"].alias("after")))
+            return let(runs, lambda rs: let(begins(rs), lambda bs: F.flatten(F.zip_with(rs, bs, moved))))
+
+        return F.when(n > RUN, long()).when(n > 0, run(F.lit(0), n - 1)["out"])
 
     return F.coalesce(F.when(gate, let(parts, places)), F.array().cast(MATCH))
 
