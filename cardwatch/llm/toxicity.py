@@ -43,6 +43,8 @@ from cardwatch.llm import common
 #: Scripts written without blanks between words: Thai to Khmer, Chinese, Japanese, Korean.
 DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff"
 RUN = re.compile(f"[0-9A-Za-z\u00c0-\u024f]+|[{DENSE}]+|[^\\W_0-9A-Za-z\u00c0-\u024f{DENSE}]+")
+#: A text's bytes with blanks for all ASCII but letters and digits: what is left between blanks holds whole runs.
+BLANKED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 #: Characters of a piece: of a run longer than this, and of a run of a dense script.
 PIECE, DENSE_PIECE = 14, 4
 #: Letters that a cue word has at least to be looked for inside a run.
@@ -52,8 +54,8 @@ PREFIXES = (3, 4, 5, 6, 7)
 CHAIN = 64
 #: A message that changes by less than this is not carried further; each step makes a change smaller.
 SAME = 1e-12
-#: Distinct runs whose scores a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 150_000, 64
+#: Distinct stretches of runs whose scores a worker remembers, and the longest of them in bytes.
+REMEMBERED, LONGEST = 300_000, 64
 THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
 
@@ -98,19 +100,27 @@ class Cutter:
         even(len(run))
         return out
 
-    def tokens(self, text: str | None) -> list[str]:
-        """All tokens of a text."""
+    def cut(self, stretch: str) -> list[str]:
+        """Tokens of a stretch of a text."""
+        if len(stretch) <= PIECE and stretch.isascii() and stretch.isalnum():
+            return [stretch]
         out = []
-        for run in RUN.findall(text or ""):
-            if len(run) <= DENSE_PIECE:
-                out.append(run)
-                continue
+        for run in RUN.findall(stretch):
             at = 0
             for size in self.sizes(run):
                 out.append(run[at:at + size])
                 at += size
         return out
 
+    def tokens(self, text: str | None) -> list[str]:
+        """All tokens of a text."""
+        return [t for stretch in stretches(text or "") for t in self.cut(stretch.decode())]
+
+
+def stretches(text: str) -> list[bytes]:
+    """The text between ASCII characters that are no letters or digits, as UTF-8; runs lie within these."""
+    return text.encode("utf-8", "replace").translate(BLANKED).split()
+
 
 def features(token: str) -> list[str]:
     """Word, beginnings, ending and shape of one token."""
@@ -254,21 +264,19 @@ class Tagger:
     def __init__(self, model: Model):
         self.model = model
         self.cutter = Cutter(model.inside)
-        self.known: dict[str, tuple[float, ...]] = {}
+        self.known: dict[bytes, tuple[float, ...]] = {}
 
     def score(self, token: str) -> float:
-        w = self.model.weights
-        return self.model.bias + sum(w.get(f, 0.0) for f in features(token))
-
-    def scores(self, run: str) -> tuple[float, ...]:
-        """Scores of a run's tokens."""
-        sizes = self.cutter.sizes(run)
-        ends = np.cumsum(sizes).tolist()
-        got = tuple(self.score(run[e - n:e]) for e, n in zip(ends, sizes))
+        weight = self.model.weights.get
+        return self.model.bias + sum([weight(f, 0.0) for f in features(token)])
+
+    def scores(self, stretch: bytes) -> tuple[float, ...]:
+        """Scores of the tokens of a stretch."""
+        got = tuple(map(self.score, self.cutter.cut(stretch.decode())))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        if len(run) <= LONGEST:
-            self.known[run] = got
+        if len(stretch) <= LONGEST:
+            self.known[stretch] = got
         return got
 
     def totals(self, texts: list[str | None], budget: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -289,7 +297,7 @@ class Tagger:
         lengths = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             if text:
-                found = RUN.findall(text)
+                found = stretches(text)
                 got = list(map(known.get, found))
                 if None in got:
                     got = [scores(t) if v is None else v for t, v in zip(found, got)]
