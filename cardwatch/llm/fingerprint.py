@@ -2,14 +2,16 @@
 
 A text is cut into paragraphs: at line and sentence ends, alike everywhere in
 the text, and only a sentence of more than ``LONGEST`` characters in pieces.
-The set of their 64-bit digests goes into a sketch of three tables of ``CELLS``
-cells, each with a count, the XOR of the digests and the XOR of their check values.
-Subtracting two sketches leaves the differing
-digests; peeling takes cells with a single digest until all are recovered.  If
-peeling gets stuck, it is retried larger: with tables for the two sets' sizes,
-then, with another salt each time, of twice the size until it succeeds.  The likeness of two texts is
-the share of common digests among all, from the two sizes and the recovered
-difference.
+The set of their 64-bit digests goes into a sketch of three tables of cells, each
+with a count, the XOR of the digests and the XOR of their check values.  The
+fingerprint is the sketch with ``CELLS`` cells a table.
+
+To compare two texts, their sketches with tables for the two sets' sizes are
+subtracted, and peeling takes cells with a single digest until all differing
+digests are recovered.  A row that is not recovered after ``STEPS`` steps is
+retried with another salt and tables of twice the size, until it succeeds.  The
+likeness of two texts is the share of common digests among all, from the two
+sizes and the recovered difference.
 
 Defined results: null counts like the empty text, which has no paragraph; two
 texts without paragraphs have likeness 1, one without and one with have 0.
@@ -18,21 +20,18 @@ after all others, and if all ids are null the last row's next text is empty.
 
 Scale: texts are shuffled once, into ranges of ids that quantiles bound; the
 row that continues a range is copied into it, so no global order is needed.
-All else is done in the row, with work linear in the number of paragraphs.
+Sketches that are compared are rows, one for each cell in use, keyed by range
+and row: adding up a cell with opposite signs for the two texts subtracts them,
+and a step of peeling is an ``explode`` and another sum.  All of it stays in the
+partitions of that one shuffle, with work linear in the number of paragraphs.
 
-Cutting, digests, neighbours and likeness are column expressions.  Sketches,
-subtraction and peeling are NumPy on Arrow batches, all rows of a batch at once:
-as column expressions they are exact too, but take about twice the CPU time
-that the check tool allows (README).
+Built-in functions only.
 """
 
 from __future__ import annotations
 
-import base64
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,11 +41,14 @@ from cardwatch.llm.spans import let
 TABLES, CELLS = 3, 8
 #: A sentence longer than this is cut in pieces, counted from its own start.
 LONGEST = 300
-#: Rounds of peeling at most (a few dozen do); a sketch that takes more counts as stuck.
-ROUNDS = 1_000
+#: Cells of a compared table for each digest of the two sets (rounded up to a power of two).
+SPACE = 2
+#: Steps of peeling in one attempt, each of one table.
+STEPS = 6
 #: Ranges of ids at most, found in two steps of 100.
 RANGES = 10_000
-BYTES_PER_RANGE = 32_000_000
+#: Bytes of text for a task; up to ``RANGES`` tasks.
+BYTES_PER_TASK = 8_000_000
 #: Ends of sentences and lines; blanks after an end belong to it, so the next paragraph is the same at a text's start.
 ENDS = r".!?。！？\n"
 PARAGRAPH = r"[^%s]{1,%d}(?:[%s][%s \t\r]*)?|[%s][%s \t\r]*" % (ENDS, LONGEST, ENDS, ENDS, ENDS, ENDS)
@@ -58,140 +60,121 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def _mix(x: np.ndarray, salt: int) -> np.ndarray:
-    """A 64-bit hash of 64-bit values (two rounds of multiply and shift)."""
-    x = x ^ np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(32))
-
-
-class Sketches:
-    """Sketches of many rows: row ``r`` has ``TABLES`` tables of ``sizes[r]`` (a power of two) cells."""
-
-    def __init__(self, sizes: np.ndarray, salt: int):
-        self.sizes, self.salt = sizes.astype(np.int64), salt
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes * TABLES)])
-        cells = int(self.starts[-1])
-        self.n, self.key, self.check = np.zeros(cells, np.int64), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
-
-    def _cell(self, rows: np.ndarray, keys: np.ndarray, table: int) -> np.ndarray:
-        inside = _mix(keys, self.salt * TABLES + table + 1) & (self.sizes[rows] - 1).astype(np.uint64)
-        return self.starts[rows] + table * self.sizes[rows] + inside.astype(np.int64)
-
-    def add(self, rows: np.ndarray, keys: np.ndarray, sign: np.ndarray | int) -> None:
-        checks = _mix(keys, 0) & np.uint64(0xFFFFFFFF)
-        for table in range(TABLES):
-            at = self._cell(rows, keys, table)
-            np.add.at(self.n, at, sign)
-            np.bitwise_xor.at(self.key, at, keys)
-            np.bitwise_xor.at(self.check, at, checks)
-
-    def minus(self, other: Sketches) -> Sketches:
-        out = Sketches(self.sizes, self.salt)
-        out.n, out.key, out.check = self.n - other.n, self.key ^ other.key, self.check ^ other.check
-        return out
-
-    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Take single digests until none is left: per row whether all were recovered, and how many had sign 1 and -1."""
-        row_of = np.repeat(np.arange(len(self.sizes)), self.sizes * TABLES)
-        table_of = (np.arange(len(row_of)) - self.starts[row_of]) // self.sizes[row_of]
-        of_table = [np.flatnonzero(table_of == t) for t in range(TABLES)]
-        found = {1: np.zeros(len(self.sizes), np.int64), -1: np.zeros(len(self.sizes), np.int64)}
-        going, rounds = True, 0
-        while going and rounds < ROUNDS:
-            going, rounds = False, rounds + 1
-            # table by table: a digest is in one cell of a table, so none is taken twice
-            for t in range(TABLES):
-                at = of_table[t][np.abs(self.n[of_table[t]]) == 1]
-                keys = self.key[at]
-                single = (_mix(keys, 0) & np.uint64(0xFFFFFFFF)) == self.check[at]
-                at, keys = at[single], keys[single]
-                if len(at):
-                    right = self._cell(row_of[at], keys, t) == at
-                    at, keys = at[right], keys[right]
-                if not len(at):
-                    continue
-                going = True
-                sign, rows = self.n[at].copy(), row_of[at]
-                for s in (1, -1):
-                    found[s] += np.bincount(rows[sign == s], minlength=len(self.sizes))
-                self.add(rows, keys, -sign)
-        left = np.flatnonzero((self.n != 0) | (self.key != 0) | (self.check != 0))
-        whole = np.ones(len(self.sizes), bool)
-        whole[row_of[left]] = False
-        return whole, found[1], found[-1]
-
-    def texts(self) -> list[str]:
-        """Each sketch as a string: per cell count (2 bytes), digest (8) and check (4). For sketches of one size."""
-        cells = np.zeros(len(self.n), np.dtype([("n", ">u2"), ("key", ">u8"), ("check", ">u4")]))
-        cells["n"], cells["key"], cells["check"] = self.n & 0xFFFF, self.key, self.check
-        data, width = cells.tobytes(), cells.itemsize * TABLES * CELLS
-        return [base64.b64encode(data[k:k + width]).decode() for k in range(0, len(data), width)]
-
-
-class Sets:
-    """A column of sets of digests: values and the row of each."""
-
-    def __init__(self, column: pa.Array):
-        self.values = column.flatten().to_numpy().view(np.uint64)
-        self.sizes = np.diff(column.offsets.to_numpy())
-        self.rows = np.repeat(np.arange(len(column)), self.sizes)
-
-    def sketch(self) -> Sketches:
-        out = Sketches(np.full(len(self.sizes), CELLS), 0)
-        out.add(self.rows, self.values, 1)
-        return out
-
-    def of(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Digests of some rows (a mask), with the rows numbered among them."""
-        mine = some[self.rows]
-        return (np.cumsum(some) - 1)[self.rows[mine]], self.values[mine]
-
-
-def difference(a: Sets, b: Sets, sketch_a: Sketches, sketch_b: Sketches) -> tuple[np.ndarray, np.ndarray, int]:
-    """Per row how many digests only the first and only the second set has, and how many rows took a retry."""
-    whole, plus, minus = sketch_a.minus(sketch_b).peel()
-    retried = int((~whole).sum())
-    least, salt = 1.0, 1
-    while not whole.all():
-        stuck = ~whole
-        wanted = np.maximum((a.sizes + b.sizes)[stuck] * 0.5 * least, CELLS)
-        sizes = np.exp2(np.ceil(np.log2(wanted))).astype(np.int64)
-        sides = []
-        for part in (a, b):
-            sides.append(Sketches(sizes, salt))
-            sides[-1].add(*part.of(stuck), 1)
-        done, more_plus, more_minus = sides[0].minus(sides[1]).peel()
-        at = np.flatnonzero(stuck)[done]
-        plus[at], minus[at], whole[at] = more_plus[done], more_minus[done], True
-        least, salt = least * 2, salt + 1
-    return plus, minus, retried
-
-
-def compared(rows: DataFrame) -> DataFrame:
-    """Rows of ``keys``, ``edited_keys`` and ``next_keys`` with the two fingerprints and the sizes of the two differences
-    (``edited_plus``, ``edited_minus``, ``next_plus``, ``next_minus``) instead."""
-    common.ship(rows.sparkSession)
-    kept = [c for c in rows.columns if not c.endswith("keys")]
-    names = ["fingerprint", "edited_fingerprint", "edited_plus", "edited_minus", "next_plus", "next_minus"]
-    ddl = ", ".join(f"{n} {'string' if n.endswith('fingerprint') else 'long'}" for n in names)
-    schema = rows.select(*kept).schema
-    for field in ddl.split(", "):
-        schema = schema.add(*field.split(" "))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own, edited, after = (Sets(batch.column(c)) for c in ("keys", "edited_keys", "next_keys"))
-            sketches = [s.sketch() for s in (own, edited, after)]
-            out = [pa.array(sketches[0].texts()), pa.array(sketches[1].texts())]
-            for other, sketch in ((edited, sketches[1]), (after, sketches[2])):
-                out += [pa.array(c) for c in difference(own, other, sketches[0], sketch)[:2]]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *out], [*kept, *names])
-
-    return rows.mapInArrow(run, schema)
+def _check(key: Column) -> Column:
+    return F.xxhash64(key, F.lit(-1)).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _place(key: Column, table: int, mask: Column, salt: int = 0) -> Column:
+    return F.xxhash64(key, F.lit(salt * TABLES + table)).bitwiseAND(mask)
+
+
+def sketch(keys: Column) -> Column:
+    """The fingerprint of a set of digests: per cell count, XOR of digests and XOR of check values in hexadecimal."""
+    zero = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("n", "key", "check")])
+
+    def entry(key: Column) -> Column:
+        places = [_place(key, t, F.lit(CELLS - 1)).alias(f"place{t}") for t in range(TABLES)]
+        return F.struct(key.alias("key"), _check(key).alias("check"), *places)
+
+    def add(cell: Column, e: Column) -> Column:
+        return F.struct((cell["n"] + 1).alias("n"), cell["key"].bitwiseXOR(e["key"]).alias("key"),
+                        cell["check"].bitwiseXOR(e["check"]).alias("check"))
+
+    def text(cell: Column) -> Column:
+        return F.concat(*[F.lpad(F.hex(cell[c]), width, "0") for c, width in (("n", 8), ("key", 16), ("check", 8))])
+
+    def cell(entries: Column, table: int, place: int) -> Column:
+        return F.aggregate(F.filter(entries, lambda e: e[f"place{table}"] == place), zero, add, text)
+
+    cells = let(F.transform(keys, entry), lambda e: F.concat(*[cell(e, t, p) for t in range(TABLES) for p in range(CELLS)]))
+    return F.lower(cells)
+
+
+# A compared cell's number holds the exponent of its table's size, the table and the place; these three are no cells.
+_SIZE_AT, _TABLE_AT = 56, 54
+_ROW, _PLUS, _MINUS = -1, -2, -3
+
+
+def _cell(key: Column, exponent: Column, table: int, salt: int) -> Column:
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), exponent) - 1
+    return F.shiftleft(exponent.cast("long"), _SIZE_AT) + F.lit(table << _TABLE_AT) + _place(key, table, mask, salt)
+
+
+def _entry(cell: Column | int, n: Column | int, key: Column | int, check: Column | int) -> Column:
+    values = {"cell": cell, "n": n, "key": key, "check": check}
+    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).cast("long").alias(c) for c, v in values.items()])
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    """Cells added up, without those that come to nothing."""
+    sums = rows.groupBy("part", "pair", "cell", "payload").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    return sums.filter("cell < 0 or n != 0 or key != 0 or check != 0")
+
+
+def subtracted(rows: DataFrame, others: list[str], space: float, salt: int) -> DataFrame:
+    """The cells of the sketch of ``keys`` minus the sketch of each column of ``others``, and each row itself as a payload."""
+    first = F.struct(*[F.col(c) for c in rows.columns])
+    number = lambda i: F.col("k") * len(others) + i
+    side = lambda i, n, exponent, keys, payload=None: F.struct(
+        number(i).alias("pair"), F.lit(n).cast("long").alias("n"), exponent.cast("int").alias("exponent"), keys.alias("keys"),
+        (first if payload else F.lit(None).cast(rows.select(first.alias("x")).schema["x"].dataType)).alias("payload"))
+    sides = [side(0, 0, F.lit(0), F.array(F.lit(0).cast("long")), payload=True)]
+    for i, other in enumerate(others):
+        cells = F.greatest(F.lit(float(CELLS)), (F.size("keys") + F.size(other)) * F.lit(float(space)))
+        exponent = F.ceil(F.log2(cells))
+        sides += [side(i, 1, exponent, F.col("keys")), side(i, -1, exponent, F.col(other))]
+    digest = (rows.select("part", F.explode(F.array(*sides)).alias("s")).select("part", "s.*")
+              .select("part", "pair", "n", "exponent", "payload", F.explode("keys").alias("key")))
+    cells = F.array(*[_entry(_cell(F.col("key"), F.col("exponent"), t, salt), F.col("n"), F.col("key"), _check(F.col("key")))
+                      for t in range(TABLES)])
+    entries = F.when(F.col("payload").isNotNull(), F.array(_entry(_ROW, 0, 0, 0))).otherwise(cells)
+    return _added(digest.select("part", "pair", "payload", F.explode(entries).alias("e")).select("part", "pair", "payload", "e.*"))
+
+
+def peeled(cells: DataFrame, table: int, salt: int) -> DataFrame:
+    """One step of peeling: the digests that are alone in a cell of this table leave all tables and are counted by their sign.
+
+    A digest is in one cell of a table, so none is taken twice.
+    """
+    key, n, at = F.col("key"), F.col("n"), F.col("cell")
+    exponent = F.shiftright(at, _SIZE_AT).cast("int")
+    single = ((at >= 0) & (F.abs(n) == 1) & (F.shiftright(at, _TABLE_AT).bitwiseAND(F.lit(3)) == table)
+              & (F.col("check") == _check(key)) & (at == _cell(key, exponent, table, salt)))
+    gone = [_entry(_cell(key, exponent, t, salt), -n, key, F.col("check")) for t in range(TABLES) if t != table]
+    taken = F.array(_entry(F.when(n == 1, _PLUS).otherwise(_MINUS), 1, 0, 0), *gone)
+    entries = F.when(single, taken).otherwise(F.array(_entry(at, n, key, F.col("check"))))
+    return _added(cells.select("part", "pair", "payload", F.explode(entries).alias("e")).select("part", "pair", "payload", "e.*"))
+
+
+def recovered(rows: DataFrame, others: list[str], space: float, salt: int) -> DataFrame:
+    """One attempt: ``rows`` with ``plus_`` and ``minus_`` of each column of ``others``, how many digests only ``keys`` and
+    only that column has, and ``left``, the cells that peeling did not clear (0 if all was recovered)."""
+    cells = subtracted(rows, others, space, salt)
+    for step in range(STEPS):
+        cells = peeled(cells, step % TABLES, salt)
+    row = Window.partitionBy("part", "k")
+    total = lambda condition, value: F.coalesce(F.sum(F.when(condition, value)).over(row), F.lit(0).cast("long"))
+    names = {"left": total(F.col("cell") >= 0, 1)}
+    for i, other in enumerate(others):
+        mine = F.pmod("pair", F.lit(len(others))) == i
+        names[f"plus_{other}"] = total(mine & (F.col("cell") == _PLUS), F.col("n"))
+        names[f"minus_{other}"] = total(mine & (F.col("cell") == _MINUS), F.col("n"))
+    cells = cells.withColumn("k", F.floor(F.col("pair") / len(others)))
+    return cells.withColumns(names).filter("payload is not null").select("payload.*", *names)
+
+
+def differences(rows: DataFrame, others: list[str], space: float = SPACE) -> DataFrame:
+    """``rows`` (numbered by ``k`` within ``part``) with the sizes of the differences between ``keys`` and each column of
+    ``others``, all recovered by peeling; ``retries`` says how many larger attempts a row took."""
+    whole, tries = [], 0
+    left = rows
+    while True:
+        tried = common.shared(recovered(left, others, space * 2 ** tries, tries + 1)).withColumn("retries", F.lit(tries))
+        whole.append(tried.filter("left = 0").drop("left"))
+        left = tried.filter("left > 0").select(*rows.columns)
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, whole)
+        tries += 1
 
 
 def likeness(size_a: Column, plus: Column, minus: Column) -> Column:
@@ -215,12 +198,13 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
 def successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``text``, ``keys`` (digests) of every row and ``next_text``, ``next_keys`` of the row that follows by descending id.
 
-    The smallest id is followed by the largest.
+    The smallest id is followed by the largest.  Rows are numbered by ``k`` within ``part``.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    ranges = min(RANGES, max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BYTES_PER_RANGE))
+    tasks = min(RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BYTES_PER_TASK))
+    ranges = min(RANGES, 8 * tasks)
     cuts = F.array(*[F.lit((k + 1) / ranges) for k in range(ranges)])
     bounds = rows.agg(F.percentile_approx("id", cuts, 20 * ranges).alias("b")).first()["b"] or []
     bounds = sorted(set(bounds))
@@ -233,11 +217,12 @@ def successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lowest = F.struct(F.lit(0).alias("part"), F.lit(2).alias("guest"))
     places = F.when(tops & (F.col("home") == len(bounds) - 1), F.array(own, lowest)).when(tops, F.array(own, above)).otherwise(F.array(own))
     dealt = rows.select("id", "text", F.explode(places).alias("p")).select("id", "text", F.col("p.part").alias("part"), F.col("p.guest").alias("guest"))
-    near = dealt.repartition("part").withColumn("keys", digests(F.col("text")))
+    near = dealt.repartition(tasks, "part").withColumn("keys", digests(F.col("text")))
     order = Window.partitionBy("part").orderBy("guest", F.desc_nulls_last("id"), "text")
     ahead = [F.lead(c).over(order).alias(name) for c, name in (("text", "next_text"), ("keys", "next_keys"))]
     none = F.array().cast("array<long>")
-    return (near.select("id", "text", "keys", "guest", *ahead).filter("guest = 0").drop("guest")
+    number = F.row_number().over(order).cast("long").alias("k")
+    return (near.select("part", number, "id", "text", "keys", "guest", *ahead).filter("guest = 0").drop("guest")
             .withColumns({"next_text": F.coalesce("next_text", F.lit("")), "next_keys": F.coalesce("next_keys", none)}))
 
 
@@ -248,13 +233,14 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     third = F.floor(n / 3).cast("int")
     rows = successors(docs, id_col, text_col).withColumn(
         "edited", F.concat(F.left("text", n - third), F.left("next_text", third)))
-    rows = rows.select("id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.size("keys").alias("n"),
-                       "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
-    size = F.col("n")
-    return compared(rows).select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(size, F.col("edited_plus"), F.col("edited_minus")).alias("near_edited"),
-        likeness(size, F.col("next_plus"), F.col("next_minus")).alias("near_next"))
+    rows = rows.select("part", "k", "id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       "keys", digests(F.col("edited")).alias("edited"), "next_keys")
+    size = F.size("keys")
+    return differences(rows.withColumnRenamed("next_keys", "after"), ["edited", "after"]).select(
+        F.col("id").alias(id_col), "n_chars", "edited_sha256",
+        sketch(F.col("keys")).alias("fingerprint"), sketch(F.col("edited")).alias("edited_fingerprint"),
+        likeness(size, F.col("plus_edited"), F.col("minus_edited")).alias("near_edited"),
+        likeness(size, F.col("plus_after"), F.col("minus_after")).alias("near_next"))
 
 
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

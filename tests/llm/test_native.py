@@ -1,4 +1,4 @@
-"""Personal data, secrets and fingerprints against brute force; the first two run no Python on the executors."""
+"""Personal data, secrets and fingerprints against brute force; none of them runs Python on the executors."""
 
 import hashlib
 import re
@@ -165,6 +165,6 @@ def test_empty_tables(spark, none):
 
 
 def test_no_python_on_the_executors(spark):
-    for name in ("op5_pii", "op8_secrets", "op13_licenses"):
+    for name in ("op5_pii", "op6_fingerprint", "op8_secrets", "op13_licenses"):
         plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan), name
