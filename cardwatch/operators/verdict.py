@@ -42,8 +42,8 @@ def enriched(txn: DataFrame, rules: R.RuleSet | None = None, window: str = S.VEL
     return resolve(flagged, mode, window)
 
 
-ALERT_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_category", "merchant_country",
-                 "final_rule", "fraud_confidence", "fraud_reason", "alert_time"]
+#: What an alert holds before it is reviewed.
+ALERT_COLUMNS = S.ALERTS_TABLE_COLUMNS[:S.ALERTS_TABLE_COLUMNS.index("alert_time") + 1]
 
 
 def alerts(enriched_df: DataFrame) -> DataFrame:

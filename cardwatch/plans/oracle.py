@@ -8,30 +8,34 @@ All literals are cast to double where Spark computes in doubles.
 
 from __future__ import annotations
 
-from cardwatch import schema as S
-from cardwatch.sources.fixtures import FIXTURE_MERCHANTS
+# ---- Fixed values: stated here in SQL, apart from those the library reads, so that a slip in either shows.
+MERCHANTS = """
+  ('MCH_001', 'Whole Foods', 'grocery', 'US'), ('MCH_002', 'Shell Gas', 'gas', 'US'), ('MCH_003', 'Amazon', 'online', 'US'),
+  ('MCH_004', 'Chase ATM', 'atm', 'US'), ('MCH_005', 'Chipotle', 'restaurant', 'US'), ('MCH_006', 'Delta Airlines', 'travel', 'US'),
+  ('MCH_007', 'Walgreens', 'pharmacy', 'US'), ('MCH_008', 'Best Buy', 'retail', 'US'), ('MCH_009', 'BP Gas Station', 'gas', 'UK'),
+  ('MCH_010', 'Booking.com', 'travel', 'NL'), ('MCH_011', 'LocalMart', 'grocery', 'US'), ('MCH_012', 'Uber Eats', 'restaurant', 'US'),
+  ('MCH_013', 'Corner Kiosk', 'other', 'CA')"""
 
+THR = ("(case merchant_category when 'atm' then 1500e0 when 'grocery' then 800e0 when 'gas' then 400e0 when 'online' then 2000e0 "
+       "when 'restaurant' then 500e0 when 'travel' then 8000e0 when 'pharmacy' then 600e0 when 'retail' then 3000e0 else 5000e0 end)")
 
-def _d(x: float) -> str:
-    return f"cast({x!r} as double)"
-
+WIRE = ("transaction_id, user_id, amount, currency, merchant_id, merchant_name, merchant_category, merchant_country, card_type, "
+        "card_last4, timestamp, device_id, ip_address, latitude, longitude, is_international, is_fraud")
 
-def _merchants_values() -> str:
-    return ", ".join(f"('{m}', '{n}', '{c}', '{k}')" for m, n, c, k in FIXTURE_MERCHANTS)
+REQUIRED = ["transaction_id", "user_id", "amount", "currency", "merchant_id", "merchant_name", "merchant_category",
+            "merchant_country", "card_type", "card_last4", "timestamp", "is_international"]
+# ---- End of fixed values.
 
 
-def _threshold() -> str:
-    whens = " ".join(f"when '{c}' then {_d(v)}" for c, v in S.CATEGORY_THRESHOLDS.items())
-    return f"(case merchant_category {whens} else {_d(S.DEFAULT_THRESHOLD)} end)"
+def _d(x: float) -> str:
+    return f"cast({x!r} as double)"
 
 
 HOME = ("case when user_num % 5 < 4 then 'US' when user_num % 3 = 0 then 'US' "
         "when user_num % 3 = 1 then 'UK' else 'CA' end")
 
-WIRE = ", ".join(S.TRANSACTION_FIELDS)
-
 TXN_CTE = f"""
-merchants(merchant_id, merchant_name, merchant_category, merchant_country) as (values {_merchants_values()}),
+merchants(merchant_id, merchant_name, merchant_category, merchant_country) as (values {MERCHANTS}),
 base as (
   select event_id, user_id as user_num, ts as event_time,
          'MCH_' || lpad(cast(event_id % 13 + 1 as varchar), 3, '0') as merchant_id,
@@ -51,15 +55,15 @@ txn_all as (
     cast((user_num * 7919) % 9000 + 1000 as varchar) as card_last4,
     strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '+00:00' as "timestamp",
     case when event_id % 20 = 0 then null
-         else 'DEV_' || lpad(cast((user_num * 2) % 10000 + 1 as varchar), 6, '0') end as device_id,
+         else 'device-' || cast(user_num * 2 + event_id % 2 as varchar) end as device_id,
     case when merchant_category = 'online' then '192.0.2.' || cast(event_id % 254 + 1 as varchar) end as ip_address,
     cast((event_id * 37) % 1000 as double) / {_d(1000.0)} * {_d(120.0)} - {_d(60.0)} as latitude,
     cast((event_id * 53) % 1000 as double) / {_d(1000.0)} * {_d(360.0)} - {_d(180.0)} as longitude,
     merchant_country <> home_country as is_international,
-    (amount > {_d(S.EXTREME_AMOUNT)})
-      or (home_country = 'US' and merchant_country <> 'US' and amount > {_d(S.GEO_MIN_AMOUNT)})
-      or (hour(event_time) between {S.OFF_HOURS[0]} and {S.OFF_HOURS[1]} and merchant_category = 'atm'
-          and amount > {_d(S.OFF_HOURS_MIN_AMOUNT)}) as is_fraud,
+    (amount > 5000e0)
+      or (home_country = 'US' and merchant_country <> 'US' and amount > 500e0)
+      or (hour(event_time) between 2 and 5 and merchant_category = 'atm'
+          and amount > 300e0) as is_fraud,
     event_time, event_id, home_country
   from b2),
 txn as (select {WIRE}, event_time from txn_all)"""
@@ -70,28 +74,27 @@ WRITTEN_HOUR = (f"(case when regexp_extract(\"timestamp\", '{HOUR_RE}', 1) <> ''
                 f"then cast(regexp_extract(\"timestamp\", '{HOUR_RE}', 1) as integer) "
                 f"when regexp_matches(\"timestamp\", '^[0-9]{{4}}-?[0-9]{{2}}-?[0-9]{{2}}$') then 0 end)")
 
-THR = _threshold()
 HIGH_PRED = f"amount > {THR}"
 HIGH_CONF = (f"floor(least({_d(1.0)}, (amount / {THR} - {_d(1.0)}) * {_d(0.5)} + {_d(0.6)}) "
              f"* {_d(1000.0)} + {_d(0.5)}) / {_d(1000.0)}")
-HIGH_REASON = f"printf('{S.REASON_HIGH_AMOUNT}', amount, coalesce(merchant_category, 'None'), {THR})"
+HIGH_REASON = f"printf('Amount $%.2f exceeds %s threshold $%.2f', amount, coalesce(merchant_category, 'None'), {THR})"
 INTL_PRED = (f"merchant_category = 'atm' and coalesce(is_international, false) "
-             f"and amount > {_d(S.INTL_ATM_MIN_AMOUNT)}")
-INTL_REASON = f"printf('{S.REASON_INTL_ATM}', amount)"
-ODD_PRED = (f"{WRITTEN_HOUR} between {S.UNUSUAL_HOURS[0]} and {S.UNUSUAL_HOURS[1]} "
-            f"and amount > {_d(S.UNUSUAL_HOUR_MIN_AMOUNT)}")
-ODD_REASON = f"printf('{S.REASON_UNUSUAL_HOUR}', amount, {WRITTEN_HOUR})"
+             f"and amount > 200e0")
+INTL_REASON = f"printf('International ATM withdrawal of $%.2f', amount)"
+ODD_PRED = (f"{WRITTEN_HOUR} between 1 and 4 "
+            f"and amount > 200e0")
+ODD_REASON = f"printf('$%.2f transaction at %02d:xx', amount, {WRITTEN_HOUR})"
 
 SCORED_CTE = f"""
 scored as (
   select *,
     case when {HIGH_PRED} then true when {INTL_PRED} then true when {ODD_PRED} then true else false end as stateless_fraud,
-    case when {HIGH_PRED} then '{S.RULE_HIGH_AMOUNT}' when {INTL_PRED} then '{S.RULE_INTL_ATM}'
-         when {ODD_PRED} then '{S.RULE_UNUSUAL_HOUR}' else '{S.RULE_CLEAN}' end as fraud_rule,
-    case when {HIGH_PRED} then {HIGH_CONF} when {INTL_PRED} then {_d(S.INTL_ATM_CONFIDENCE)}
-         when {ODD_PRED} then {_d(S.UNUSUAL_HOUR_CONFIDENCE)} else {_d(0.0)} end as fraud_confidence,
+    case when {HIGH_PRED} then 'HIGH_AMOUNT' when {INTL_PRED} then 'INTL_ATM_WITHDRAWAL'
+         when {ODD_PRED} then 'UNUSUAL_HOUR' else 'CLEAN' end as fraud_rule,
+    case when {HIGH_PRED} then {HIGH_CONF} when {INTL_PRED} then 0.80e0
+         when {ODD_PRED} then 0.65e0 else {_d(0.0)} end as fraud_confidence,
     case when {HIGH_PRED} then {HIGH_REASON} when {INTL_PRED} then {INTL_REASON}
-         when {ODD_PRED} then {ODD_REASON} else '{S.REASON_CLEAN}' end as fraud_reason
+         when {ODD_PRED} then {ODD_REASON} else 'No fraud signals detected' end as fraud_reason
   from txn)"""
 
 BURSTS_CTE = """
@@ -110,8 +113,8 @@ ENRICHED_CTE = f"""{SCORED_CTE},{BURSTS_CTE},
 enriched as (
   select s.*, v.txn_count, v.txn_count is not null as velocity_fraud,
     s.stateless_fraud or v.txn_count is not null as final_is_fraud,
-    case when v.txn_count is not null then '{S.RULE_VELOCITY}' when s.stateless_fraud then s.fraud_rule
-         else '{S.RULE_CLEAN}' end as final_rule
+    case when v.txn_count is not null then 'VELOCITY_BURST' when s.stateless_fraud then s.fraud_rule
+         else 'CLEAN' end as final_rule
   from scored s left join vflag v on s.transaction_id = v.transaction_id),
 txn_table as (
   select transaction_id, user_id, cast(amount as decimal(12,2)) as amount, coalesce(currency, 'USD') as currency,
@@ -189,9 +192,9 @@ DATETIME_PATTERN = ("^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}(:[0-9]{2}
 
 def _checks_sql() -> str:
     parts = [f"case when {f if f != 'timestamp' else chr(34) + 'timestamp' + chr(34)} is null then 'missing:{f}' end"
-             for f in S.REQUIRED_FIELDS]
-    cats = ", ".join(f"'{c}'" for c in S.CATEGORY_ENUM)
-    cards = ", ".join(f"'{c}'" for c in S.CARD_TYPE_ENUM)
+             for f in REQUIRED]
+    cats = "'grocery', 'gas', 'online', 'atm', 'restaurant', 'travel', 'retail', 'pharmacy'"
+    cards = "'credit', 'debit'"
     parts += [
         f"case when not regexp_matches(transaction_id, '{UUID_PATTERN}') then 'format:transaction_id' end",
         "case when isnan(amount) or isinf(amount) then 'number:amount' end",
@@ -200,7 +203,7 @@ def _checks_sql() -> str:
         "case when length(currency) <> 3 then 'length:currency' end",
         f"case when merchant_category not in ({cats}) then 'enum:merchant_category' end",
         f"case when card_type not in ({cards}) then 'enum:card_type' end",
-        f"case when not regexp_matches(card_last4, '{S.CARD_LAST4_PATTERN}') then 'pattern:card_last4' end",
+        f"case when not regexp_matches(card_last4, '^[0-9]{{4}}$') then 'pattern:card_last4' end",
         f"case when not regexp_matches(\"timestamp\", '{DATETIME_PATTERN}') "
         "or try_cast(upper(\"timestamp\") as timestamptz) is null and \"timestamp\" is not null then 'format:timestamp' end",
     ]
@@ -231,34 +234,34 @@ def oracle_sql() -> dict[str, str]:
     sql["enrich_international"] = (f"{T} select user_id, transaction_id, merchant_country, home_country, "
                                    "merchant_country <> home_country as is_international from txn_all")
     sql["enrich_currency"] = f"{T} select transaction_id, merchant_country, currency from txn"
-    sql["rule_high_amount"] = (f"{T} select transaction_id, case when {HIGH_PRED} then '{S.RULE_HIGH_AMOUNT}' end as rule_name, "
+    sql["rule_high_amount"] = (f"{T} select transaction_id, case when {HIGH_PRED} then 'HIGH_AMOUNT' end as rule_name, "
                                f"case when {HIGH_PRED} then {HIGH_CONF} end as confidence, "
                                f"case when {HIGH_PRED} then {HIGH_REASON} end as reason from txn")
-    sql["rule_international_atm"] = (f"{T} select transaction_id, case when {INTL_PRED} then '{S.RULE_INTL_ATM}' end as rule_name, "
-                                     f"case when {INTL_PRED} then {_d(S.INTL_ATM_CONFIDENCE)} end as confidence, "
+    sql["rule_international_atm"] = (f"{T} select transaction_id, case when {INTL_PRED} then 'INTL_ATM_WITHDRAWAL' end as rule_name, "
+                                     f"case when {INTL_PRED} then 0.80e0 end as confidence, "
                                      f"case when {INTL_PRED} then {INTL_REASON} end as reason from txn")
-    sql["rule_odd_hours"] = (f"{T} select transaction_id, case when {ODD_PRED} then '{S.RULE_UNUSUAL_HOUR}' end as rule_name, "
-                             f"case when {ODD_PRED} then {_d(S.UNUSUAL_HOUR_CONFIDENCE)} end as confidence, "
+    sql["rule_odd_hours"] = (f"{T} select transaction_id, case when {ODD_PRED} then 'UNUSUAL_HOUR' end as rule_name, "
+                             f"case when {ODD_PRED} then 0.65e0 end as confidence, "
                              f"case when {ODD_PRED} then {ODD_REASON} end as reason from txn")
     sql["rule_first_match"] = (f"{S_} select transaction_id, stateless_fraud, fraud_rule, fraud_confidence, "
                                "fraud_reason from scored")
-    names = (f"concat_ws(',', case when {HIGH_PRED} then '{S.RULE_HIGH_AMOUNT}' end, "
-             f"case when {INTL_PRED} then '{S.RULE_INTL_ATM}' end, case when {ODD_PRED} then '{S.RULE_UNUSUAL_HOUR}' end)")
+    names = (f"concat_ws(',', case when {HIGH_PRED} then 'HIGH_AMOUNT' end, "
+             f"case when {INTL_PRED} then 'INTL_ATM_WITHDRAWAL' end, case when {ODD_PRED} then 'UNUSUAL_HOUR' end)")
     fired = (f"(case when {HIGH_PRED} then 1 else 0 end) + (case when {INTL_PRED} then 1 else 0 end) + "
              f"(case when {ODD_PRED} then 1 else 0 end)")
     sql["rule_all_matches"] = (f"{T} select transaction_id, {names} as matched_rules, "
                                f"cast({fired} as integer) as match_count from txn")
-    geo = (f"home_country = 'US' and merchant_country <> 'US' and amount > {_d(S.GEO_MIN_AMOUNT)}")
-    off = (f"hour(event_time) between {S.OFF_HOURS[0]} and {S.OFF_HOURS[1]} and merchant_category = 'atm' "
-           f"and amount > {_d(S.OFF_HOURS_MIN_AMOUNT)}")
-    ext = f"amount > {_d(S.EXTREME_AMOUNT)}"
+    geo = (f"home_country = 'US' and merchant_country <> 'US' and amount > 500e0")
+    off = (f"hour(event_time) between 2 and 5 and merchant_category = 'atm' "
+           f"and amount > 300e0")
+    ext = f"amount > 5000e0"
     sql["rule_geo_anomaly"] = f"{T} select transaction_id, coalesce({geo}, false) as fired from txn_all"
     sql["rule_off_hours_atm"] = f"{T} select transaction_id, coalesce({off}, false) as fired from txn_all"
     sql["rule_extreme_amount"] = f"{T} select transaction_id, coalesce({ext}, false) as fired from txn_all"
     rapid = ("count(*) over (partition by user_id order by event_time "
              "range between interval '59999999 microseconds' preceding and current row)")
     sql["label_set"] = (f"{T}, r as (select *, {rapid} as rapid_count from txn_all), "
-                        f"r2 as (select *, rapid_count >= {S.RAPID_USE_MIN_EVENTS} as rapid_use from r) "
+                        f"r2 as (select *, rapid_count >= 8 as rapid_use from r) "
                         "select transaction_id, rapid_count, rapid_use, "
                         f"case when {ext} then 'EXTREME_AMOUNT' when rapid_use then 'RAPID_USE' "
                         f"when {geo} then 'GEO_ANOMALY' when {off} then 'OFF_HOURS_ATM' else 'NONE' end as label, "
@@ -276,7 +279,7 @@ def oracle_sql() -> dict[str, str]:
                                 "as trailing_count from txn) select transaction_id, user_id, trailing_count, "
                                 "trailing_count > 6 as trailing_fraud from c")
     sql["rapid_use"] = (f"{T}, r as (select transaction_id, user_id, {rapid} as rapid_count from txn) "
-                        f"select transaction_id, user_id, rapid_count, rapid_count >= {S.RAPID_USE_MIN_EVENTS} "
+                        f"select transaction_id, user_id, rapid_count, rapid_count >= 8 "
                         "as rapid_use from r")
     sql["enriched_transactions"] = (f"{E} select transaction_id, user_id, amount, merchant_category, event_time, "
                                     "stateless_fraud, fraud_rule, fraud_confidence, fraud_reason, txn_count, "
@@ -374,7 +377,7 @@ def oracle_sql() -> dict[str, str]:
         f"{T}, v as (select *, cast({asof} as double) as threshold from txn) select transaction_id, threshold, "
         "case when amount > threshold then 'HIGH_AMOUNT' end as rule_name, case when amount > threshold then "
         f"{_round(f'least({_d(1.0)}, (amount / threshold - {_d(1.0)}) * {_d(0.5)} + {_d(0.6)})', 3)} end as confidence, "
-        f"case when amount > threshold then printf('{S.REASON_HIGH_AMOUNT}', amount, coalesce(merchant_category, 'None'), threshold) end as reason from v")
+        f"case when amount > threshold then printf('Amount $%.2f exceeds %s threshold $%.2f', amount, coalesce(merchant_category, 'None'), threshold) end as reason from v")
     sql["stream_high_amount_asof"] = sql["rule_high_amount_asof"]
     sql["stream_fraud_metrics"] = sql["fraud_metrics"]
     sql["stream_state_audit"] = (
@@ -421,7 +424,7 @@ def stream_oracle_sql() -> dict[str, str]:
                                "fraud_confidence, fraud_reason from scored")
     sql["stream_velocity_windows"] = f"{E} select user_id, window_start, window_end, txn_count from bursts"
     sql["stream_velocity_alerts"] = (f"{E} select transaction_id, user_id, amount, merchant_category, merchant_country, "
-                                     f"'{S.RULE_VELOCITY}' as final_rule, fraud_confidence, fraud_reason, "
+                                     f"'VELOCITY_BURST' as final_rule, fraud_confidence, fraud_reason, "
                                      "event_time as alert_time from scored "
                                      "where transaction_id in (select transaction_id from vflag)")
     sql["stream_transactions_table"] = f"{E} select {TXN_TABLE_DOUBLE} from txn_table"
@@ -448,7 +451,7 @@ def stream_oracle_sql() -> dict[str, str]:
         f"cast(cast(fraud_confidence as decimal(5,3)) as double) as fraud_confidence from scored, {oldest[0]} where {oldest[1]}")
     blocking = ", ".join(f"'{b}'" for b in ("missing:transaction_id", "missing:user_id", "missing:amount", "missing:timestamp",
                                             "number:amount", "maximum:amount", "format:timestamp"))
-    every = ",".join(f"missing:{f}" for f in S.REQUIRED_FIELDS)
+    every = ",".join(f"missing:{f}" for f in REQUIRED)
     places = (
         f"{_with(TXN_CTE, DEFECTIVE_CTE.replace('{checks}', _checks_sql()), LATE_CTE)}, outcome as (select d.*, t.event_time, "
         f"case when d.event_id % 40 = 13 then '{every}' else violations end as found "

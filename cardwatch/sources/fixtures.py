@@ -63,7 +63,7 @@ def transactions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False)
         ((F.col("user_num") * 7919) % 9000 + 1000).cast("string").alias("card_last4"),
         F.concat(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("timestamp"),
         F.when(e % 20 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("DEV_"), F.lpad(((F.col("user_num") * 2) % 10000 + 1).cast("string"), 6, "0")))
+         .otherwise(F.concat(F.lit("device-"), (F.col("user_num") * 2 + e % 2).cast("string")))
          .alias("device_id"),
         F.when(cat == "online", F.concat(F.lit("192.0.2."), (e % 254 + 1).cast("string"))).alias("ip_address"),
         ((e * 37) % 1000 / F.lit(1000.0) * F.lit(120.0) - F.lit(60.0)).alias("latitude"),

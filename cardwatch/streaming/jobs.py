@@ -356,7 +356,7 @@ def alerts_writer(path: str, created_at=None, partition_by: str | None = "event_
         if partition_by:
             rows = rows.withColumn(partition_by, F.to_date("alert_time"))
             parts = [partition_by]
-        sinks.insert_if_absent(rows, path, partition_by=parts, order_by=["alert_time"])
+        sinks.insert_if_absent(rows, path, partition_by=parts, order_by=["alert_time"], key_index=True)
 
     return sinks.foreach_batch_writer(write)
 
