@@ -64,6 +64,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, False)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def set_time(spark: SparkSession, path: str, millis: int) -> None:
     """Set a file's modification time, where the storage can."""
     fs, hpath = _fs(spark, path)

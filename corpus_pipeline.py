@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.llm import bpe, common, decontaminate, pii, simhash, toxicity
+from cardwatch.sources import storage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -61,10 +62,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written to the shared folder and read again."""
+    """All stages over ``documents``; what a stage returns is written to the shared folder and read again.
+
+    A stage's rows are deleted once the next one's are written, so the folder holds two copies of the corpus at most and
+    in the end what the last stage reads.
+    """
     folder = f"{common.shared_folder(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
     docs = common.table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            storage.delete_folder(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
