@@ -56,18 +56,25 @@ def filters(keys: DataFrame, key: str, file: str) -> DataFrame:
     return placed.groupBy("file", "power", "block").agg(*[F.bit_or(f"w{k}").alias(f"w{k}") for k in range(4)])
 
 
-def candidates(spark: SparkSession, path: str, batch: DataFrame, key: str) -> list[str]:
-    """Files of the table that may hold a key of the batch (a list of paths, at most as many as the table has files)."""
-    if not storage.exists(spark, f"{path}/{FOLDER}"):
-        return []
-    index = spark.read.schema(SCHEMA).parquet(f"{path}/{FOLDER}")
+def hits(index: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Rows of the filters that a key of the batch matches."""
     keys = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct()
-    probes = keys.select("key", F.explode(F.sequence(F.lit(0), F.lit(MOST))).alias("p_power"))
+    powers = F.broadcast(index.select(F.col("power").alias("p_power")).distinct())  # at most MOST + 1 rows
+    probes = keys.crossJoin(powers)
     probes = probes.select("p_power", _block(F.col("key"), F.col("p_power")).alias("p_block"), *[c.alias(f"p{k}") for k, c in enumerate(_words(F.col("key")))])
     hit = (index["power"] == probes["p_power"]) & (index["block"] == probes["p_block"])
     for k in range(4):
         hit = hit & (F.col(f"w{k}").bitwiseAND(F.col(f"p{k}")) == F.col(f"p{k}"))
-    return [r["file"] for r in index.join(probes, hit, "left_semi").select("file").distinct().collect()]
+    # never broadcast: estimates miss that there is a row per key and power
+    return index.join(probes.hint("merge"), hit, "left_semi")
+
+
+def candidates(spark: SparkSession, path: str, batch: DataFrame, key: str) -> list[str]:
+    """Files of the table that may hold a key of the batch (a list of paths, at most as many as the table has files)."""
+    if not storage.exists(spark, f"{path}/{FOLDER}"):
+        return []
+    index = spark.read.schema(SCHEMA).parquet(f"{path}/{FOLDER}")
+    return [r["file"] for r in hits(index, batch, key).select("file").distinct().collect()]
 
 
 def add(spark: SparkSession, path: str, files: set[str], key: str, fmt: str = "parquet") -> None:

@@ -38,7 +38,8 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "transaction
     if target is None:
         return fresh
     on = list(also_on or []) + [key]
-    return fresh.join(target.select(*on), on, "left_anti")
+    # never broadcast: compressed keys look far smaller than the driver would have to hold them
+    return fresh.join(target.select(*on).hint("merge"), on, "left_anti")
 
 
 def _stored(spark: SparkSession, path: str, fmt: str, schema, partition: str | None, values: list | None) -> DataFrame | None:

@@ -58,6 +58,17 @@ def test_filters_hold_all_keys_and_few_others(spark):
     assert keyindex.candidates(spark, path, spark.createDataFrame([(None,)], "key string"), "key") == []
 
 
+def test_keys_are_not_broadcast(spark):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    keys = spark.range(50).select(F.md5(F.col("id").cast("string")).alias("key"), F.lit("f").alias("file"))
+    index = keyindex.filters(keys, "key", "file")
+    found = keyindex.hits(index, keys.limit(1), "key")
+    assert "SortMergeJoin" in plan(found) and {r["file"] for r in found.collect()} == {"f"}
+    fresh = sinks.new_rows(keys, keys.where(F.col("key") < "8"), "key")
+    assert "SortMergeJoin" in plan(fresh) and "BroadcastHashJoin" not in plan(fresh)
+    assert fresh.count() == keys.where(F.col("key") >= "8").count()
+
+
 def test_files_without_filters_are_found_after_a_crash(spark, scratch, monkeypatch):
     path = os.path.join(scratch, "t")
     insert(batch(spark, range(10)), path)
