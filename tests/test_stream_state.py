@@ -52,6 +52,25 @@ def test_trailing_counts_equal_the_range_frame(spark, scratch, lower_inclusive):
     assert held.select("key.user_id").distinct().collect()[0][0] == "z" and held.count() == 1
 
 
+def test_shards_hold_many_users_under_few_keys(spark, scratch):
+    rng = np.random.default_rng(5)
+    seconds = np.sort(rng.integers(0, 5_000, 300)).tolist()
+    users = [None, "", "hot", *[f"u{k}" for k in range(40)]]
+    rows = [(f"t{k}" if k % 9 else None, users[k % 3 if k % 2 else k % len(users)], int(s)) for k, s in enumerate(seconds)]
+    files = [rows[k:k + 60] for k in range(0, len(rows), 60)] + [[("close", "z", 50_000)]]
+    stream = stream_of(spark, os.path.join(scratch, "in"), files)
+    drain(trailing.trailing(stream, "60 seconds", 6, bucket="20 minutes", shards=3), scratch)
+    batch = spark.createDataFrame([(i, u, T0 + dt.timedelta(seconds=s)) for i, u, s in rows], SCHEMA)
+    cols = ["transaction_id", "user_id", "event_time", "trailing_count", "trailing_fraud"]
+    got = spark.read.parquet(os.path.join(scratch, "out")).select(*cols).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, velocity.trailing(batch, "60 seconds", 6).select(*cols).collect()))
+
+
+def test_counts_of_far_apart_users_and_times():
+    user, us = np.array([0, 1, 1, 2**20, 0]), np.array([-2**60, 5, 5, 6, 2**60])
+    assert trailing.counts_of(user, us, np.array([True, True, False, True, True]), 10).tolist() == [1, 2, 1, 1]
+
+
 def test_a_bucket_holds_a_whole_range(spark, scratch):
     with pytest.raises(ValueError):
         trailing.trailing(stream_of(spark, os.path.join(scratch, "in"), [[("a", "u", 0)]]), "2 hours", bucket="1 hour")
