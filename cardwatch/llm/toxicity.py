@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -217,7 +218,7 @@ def fit_chain(sequences: list[tuple[list[list[str]], list[int]]], rounds: int =
                 count[f] = count.get(f, 0) + 1
     ids = {f: i for i, f in enumerate(sorted(f for f, c in count.items() if c > 1))}
     n = len(sequences)
-    flat, at, label = [], [], np.zeros((CHAIN, n))
+    flat, at, label = array("q"), array("q"), np.zeros((CHAIN, n))  # arrays: lists of numbers take ten times the memory
     real = np.zeros((CHAIN, n), dtype=bool)
     for j, (seq, marks) in enumerate(sequences):
         for k, token in enumerate(seq[:CHAIN]):
@@ -227,7 +228,7 @@ def fit_chain(sequences: list[tuple[list[list[str]], list[int]]], rounds: int =
                 if f in ids:
                     flat.append(ids[f])
                     at.append(k * n + j)
-    flat_a, at_a = np.array(flat, dtype=np.int64), np.array(at, dtype=np.int64)
+    flat_a, at_a = (np.frombuffer(x, dtype=np.int64) if len(x) else np.zeros(0, dtype=np.int64) for x in (flat, at))
     w, bias, move = np.zeros(len(ids)), -4.0, np.zeros(4)
     pairs, size = real[1:], real.sum(axis=0)
     seen = np.array([((label[:-1] == a) & (label[1:] == b) & pairs).sum() for a in (0, 1) for b in (0, 1)], dtype=float)
@@ -454,7 +455,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = F.exists("marks", lambda m: m == 1)
     order = [F.xxhash64("id", "tokens"), "id"]
     rows = (chosen.filter(marked).orderBy(*order).limit(max_chains // 2)
-            .union(chosen.filter((F.col("y") == 0)).orderBy(*order).limit(max_chains // 2))).collect()
+            .union(chosen.filter((F.col("y") == 0)).orderBy(*order).limit(max_chains // 2))).select("tokens", "marks").collect()
     of: dict[str, list[str]] = {}  # one list per distinct token, not per token
     model = fit_chain([([of.get(t) or of.setdefault(t, features(t)) for t in r["tokens"]], r["marks"]) for r in rows]) if rows else Model()
     model.inside = inside
@@ -466,9 +467,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             t = np.concatenate([x[0] for x in tagger.totals(b.column("text").to_pylist())]) if b.num_rows else np.zeros((0, 3))
             yield pa.RecordBatch.from_arrays([b.column("y"), *[pa.array(t[:, k]) for k in range(3)]], ["y", "a", "b", "c"])
 
-    got = sample.mapInArrow(totals, "y int, a double, b double, c double").toPandas().sort_values(["y", "a", "b", "c"])
-    t = got[["a", "b", "c"]].to_numpy(dtype=float)
-    model.doc = fit_score(Tagger(model).evidence(t), got["y"].to_numpy(dtype=float))
+    got = sample.mapInArrow(totals, "y int, a double, b double, c double").collect()
+    t = np.array(sorted(map(tuple, got)), dtype=float).reshape(-1, 4)
+    model.doc = fit_score(Tagger(model).evidence(t[:, 1:]), t[:, 0])
     return model
 
 
