@@ -51,3 +51,18 @@ def test_messages_that_hardly_fade_reach_all_columns():
     tagger = toxicity.Tagger(toxicity.Model({"w=bad": 9.0}, 0.0, (9.0, -9.0, -9.0, 9.0)))
     _, p = tagger.block(["bad" + " x" * 700])
     assert p[-1] > 0.9 and p[300] > 0.9
+
+
+def test_fitting_holds_features_as_arrays():
+    import tracemalloc
+
+    words = [toxicity.features(f"word{k}end") for k in range(50)]
+    sequences = [([words[(7 * j + k) % 50] for k in range(toxicity.CHAIN)], [int((j + k) % 9 == 0) for k in range(toxicity.CHAIN)]) for j in range(400)]
+    numbers = sum(len(t) for s, _ in sequences for t in s)
+    tracemalloc.start()
+    try:
+        toxicity.fit_chain(sequences, rounds=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 52 * numbers  # bytes; lists of numbers beside the arrays took more
