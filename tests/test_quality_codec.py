@@ -61,6 +61,22 @@ def test_decode_and_validate_bad_records(spark):
     assert "missing:transaction_id" in res["empty"]["violations"]
 
 
+def test_a_validated_record_is_parsed_once(spark):
+    whole = json.dumps(GOOD)
+    texts = [whole, "{}", "no json", whole[:60], whole[:-1], f"[{whole}]", None, "", "null", whole.replace("45.99", '"oops"'), whole.replace("45.99", "NaN"),
+             _with(amount=1e12), _with(amount=None), _with(user_id=None), _with(timestamp="2024-02-30T10:00:00Z"), _with(currency="USDX"),
+             _with(transaction_id=None, card_type="prepaid"), whole.replace("false", '"maybe"')]
+    dec = codec.with_event_time(codec.decode(_raw(spark, texts), keep_raw=True))
+    assert dec.count() == len(texts) and dec.where("raw_value is null and transaction_id is null").count() == 1
+    checked = quality.validate(dec)
+    for good in (dec.where(~quality.blocking()), checked.where(~quality.blocked()).drop("violations", "is_valid")):
+        plan = good._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, plan
+        assert sorted(map(repr, good.collect())) == sorted(map(repr, checked.where(~quality.blocked()).select(*dec.columns).collect()))
+    few = codec.decode(_raw(spark, texts), fields=["user_id", "amount"])
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, codec.decode(_raw(spark, texts)).select("user_id", "amount").collect()))
+
+
 def test_split_keeps_every_row(spark):
     texts = [json.dumps(GOOD), "{}", _with(card_last4="12a4")]
     good, bad = quality.split(codec.decode(_raw(spark, texts)))

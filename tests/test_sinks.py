@@ -69,6 +69,14 @@ def test_keys_are_not_broadcast(spark):
     assert fresh.count() == keys.where(F.col("key") >= "8").count()
 
 
+def test_distinct_keys_are_not_grouped_again(spark):
+    keys = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "key string, n long")
+    old = keys.where("key = 'b'")
+    fresh = sinks.new_rows(keys, old, "key", distinct_keys=True)
+    assert "Aggregate" not in fresh._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, fresh.collect())) == sorted(map(repr, sinks.new_rows(keys, old, "key").collect())) and fresh.count() == 3
+
+
 def test_files_without_filters_are_found_after_a_crash(spark, scratch, monkeypatch):
     path = os.path.join(scratch, "t")
     insert(batch(spark, range(10)), path)

@@ -322,6 +322,16 @@ def test_late_transactions_are_kept(spark, scratch):
     assert (c["events"], c["late"]) == (len(kept), late.count())
 
 
+def test_late_rows_keep_all_fields_apart(spark, scratch):
+    """Fields that no table holds stay out of the verdicts, but two late records that differ in one only are two."""
+    twin = [_record(5, device_id="x", latitude=1.0), _record(5, device_id="y", latitude=1.0)]
+    p = _run(spark, scratch, [[_record(1, device_id="x")], [_record(500)], [_record(9000)], [*twin, _record(6)], [_record(9999)]])
+    assert _numbers(jobs.committed(spark, p["late"], p["commits"])) == [5, 5, 6]
+    assert _numbers(jobs.committed(spark, p["txn"], p["commits"])) == [1, 500, 9000]
+    v = jobs.verdicts(jobs.for_tables(_stream(spark, os.path.join(scratch, "in")).withColumns({c: F.lit("x") for c in jobs.UNREAD})))
+    assert not set(jobs.UNREAD) & set(v.columns) and "timestamp" in v.columns
+
+
 def test_a_new_checkpoint_adds_to_the_quarantine(spark, scratch):
     first = _run(spark, scratch, [["not json 1", _record(1)], [_record(9000)]], name="1")
     again = _run(spark, scratch, [["not json 2", _record(1), _record(2)], [_record(9001)]], name="2")
