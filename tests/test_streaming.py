@@ -332,6 +332,28 @@ def test_late_rows_keep_all_fields_apart(spark, scratch):
     assert not set(jobs.UNREAD) & set(v.columns) and "timestamp" in v.columns
 
 
+def test_a_replayed_batch_runs_its_joins_once(spark, scratch):
+    """State operators count their rows once although every other batch is written twice."""
+    from cardwatch.plans import streams
+    from cardwatch.sources import commits
+    held, seen = [], []
+    for name in ("plain", "twice"):
+        log = commits.Commits(spark, os.path.join(scratch, name, "commits"))
+
+        def write(batch, batch_id):
+            query = commits.stream_id(batch.sparkSession)
+            if log.begin(query, batch_id) != "done":
+                seen.append((name, batch_id, batch.count()))
+                log.commit(query, batch_id, {})
+
+        stream = jobs.verdicts(_stream(spark, os.path.join(scratch, name, "in")))
+        q = _drain(stream, os.path.join(scratch, name, "q"), streams._odd_batches_twice(write, log) if name == "twice" else write)
+        held.append({p["batch_id"]: p["state_rows"] for p in progress.progress_rows(q)})
+    assert held[0] == held[1] and max(held[0]) >= 3
+    assert sorted(set(s[1:] for s in seen)) == [s[1:] for s in seen if s[0] == "plain"]
+    assert [s[1] for s in seen if s[0] == "twice"] == [k for k in sorted(held[0]) for _ in range(1 + k % 2)]
+
+
 def test_a_new_checkpoint_adds_to_the_quarantine(spark, scratch):
     first = _run(spark, scratch, [["not json 1", _record(1)], [_record(9000)]], name="1")
     again = _run(spark, scratch, [["not json 2", _record(1), _record(2)], [_record(9001)]], name="2")
