@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from cardwatch import schema as S
 from cardwatch.operators import enrich, quality, tables, verdict
 from cardwatch.sources import codec
 
@@ -185,3 +186,14 @@ def test_current_alerts_final_wins(spark):
     early = spark.createDataFrame([("t1", "HIGH_AMOUNT"), ("t2", "UNUSUAL_HOUR")], cols)
     got = {r["transaction_id"]: r["final_rule"] for r in verdict.current_alerts(final, early).collect()}
     assert got == {"t1": "VELOCITY_BURST", "t2": "UNUSUAL_HOUR"}
+
+
+def test_only_told_rows_are_checked(spark):
+    """Blocked rows have all their violations written out, the others none."""
+    rows = spark.createDataFrame([("t", "u", 5.0, None), ("t", None, 1e12, "not a time"), (None, "u", float("nan"), "2024-01-01T00:00:00Z")],
+                                 "transaction_id string, user_id string, amount double, timestamp string")
+    rows = rows.select("*", *[F.lit(None).cast(S.TRANSACTION_SCHEMA[f].dataType).alias(f) for f in S.TRANSACTION_FIELDS if f not in rows.columns])
+    rows = rows.unionByName(rows.where("amount = 5").withColumn("timestamp", F.lit("2024-01-01T00:00:00Z")))
+    every, told = quality.validate(rows), quality.validate(rows, only=quality.blocking())
+    assert sorted(map(repr, told.where(quality.blocked()).collect())) == sorted(map(repr, every.where(quality.blocked()).collect()))
+    assert told.where(quality.blocked()).count() == 3 and told.where("violations is null and is_valid is null").count() == 1

@@ -168,3 +168,11 @@ def test_a_null_key_is_an_error(spark, derby):
     rows = spark.createDataFrame([(None, 1.0)], "transaction_id string, amount double")
     with pytest.raises(Exception, match="transaction_id is NULL"):
         sinks.jdbc_append(rows, derby, "nulls", PROPS)
+
+
+def test_kept_rows_of_a_batch_are_written_in_one_pass(spark, scratch):
+    path = os.path.join(scratch, "b")
+    rows = batch(spark, range(7))
+    assert [sinks.write_batch(rows, path, "q", 1, kept=True) for _ in range(2)] == [7, 7] and sinks.write_batch(rows.limit(0), path, "q", 2, kept=True) == 0
+    assert stored(spark, path) == list(range(7)) and storage.names(spark, f"{path}/{commits.QUERY}=q") == [f"{commits.BATCH}=1"]
+    assert not rows.is_cached

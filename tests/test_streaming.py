@@ -396,3 +396,34 @@ def test_a_crash_between_the_tables_is_invisible(spark, scratch, monkeypatch):
     assert _numbers(jobs.committed(spark, os.path.join(scratch, "alerts"), log)) == list(range(1, 10))
     c = progress.counters(spark, log).first()
     assert (c["records"], c["quarantined"], c["events"], c["alerts"]) == (12, 1, 10, 9)
+
+
+def test_a_batch_is_decoded_once(spark, scratch, monkeypatch):
+    """The counts, the join and the arrivals of the verdicts' query share one exchange, and so one decoding."""
+    real, queries = jobs.start, []
+    monkeypatch.setattr(jobs, "start", lambda *a, **k: queries.append(real(*a, **k)) or queries[-1])
+    p = _run(spark, scratch, [[_record(1), _record(2, device_id="x"), "not json"], [_record(500)], [_record(3), _record(9000)]])
+    plan = next(q for q in queries if q.name == "verdicts")._jsq.explainInternal(False)
+    assert plan.count("Generate inline") == 1 and plan.count("ReusedExchange") == 2
+    assert _numbers(jobs.committed(spark, p["txn"], p["commits"])) == [1, 2, 3, 500]
+    c = progress.counters(spark, p["commits"]).first()
+    assert (c["records"], c["quarantined"], c["events"], c["late"]) == (6, 1, 4, 0)
+
+
+
+def test_records_meet_their_times_without_a_join(spark, scratch):
+    """Without repeated ids a record's time is its row's own; with them all pairs come out, as of the join; a null id meets none."""
+    from cardwatch.plans import catalog, streams
+    from cardwatch.sources import fixtures
+    at = lambda k: T0 + dt.timedelta(seconds=k)
+    once = [(k, at(k), k % 7, "x", 10.0 * k, "{}") for k in range(60)] + [(None, at(99), 1, "x", 1.0, "{}")]
+    for name, rows in (("once", once), ("twice", [*once, (5, at(500), 3, "x", 2.0, "{}"), (5, at(5), 5, "x", 50.0, "{}")])):
+        d = os.path.join(scratch, name)
+        spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(
+            os.path.join(d, "events.parquet"))
+        got = streams._timed_records(spark, d)
+        t = fixtures.transactions(spark, d, keep_event_id=True).select("event_id", "event_time")
+        want = catalog.defective_records(spark, d, keep_event_id=True).join(t, "event_id")
+        assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert (plan.count("Join") > plan.count("Join LeftOuter")) == (name == "twice"), plan
